@@ -23,9 +23,19 @@ def mean_where(condition: Column, value: str) -> Column:
     return F.avg(F.when(condition, F.col(value)))
 
 
+def _cents(value: str | Column) -> Column:
+    column = F.col(value) if isinstance(value, str) else value
+    return F.round(column * 100).cast("bigint")
+
+
 def money(value: str | Column) -> Column:
-    """Sum of an amount, rounded to whole cents so the result does not depend on summation order."""
-    return F.round(F.sum(value), 2)
+    """Sum of an amount, added in whole cents: exact, so the result does not depend on how rows are split over tasks."""
+    return F.sum(_cents(value)) / F.lit(100.0)
+
+
+def mean_money(value: str | Column) -> Column:
+    """Mean of an amount, from the exact sum of cents."""
+    return F.sum(_cents(value)) / (F.count(value) * F.lit(100.0))
 
 
 def total_value() -> Column:

@@ -42,24 +42,25 @@ def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
         return None
     position = q * (n - 1)
     low_rank, high_rank = math.floor(position), math.ceil(position)
-    low, high = stats["least"], stats["most"]
-    if stats["distinct"] > MAX_RANKED_VALUES // 2:
-        low, high = stats["near"]
-    first = True
+    least, most = stats["least"], stats["most"]
+    low, high = stats["near"] if stats["distinct"] > MAX_RANKED_VALUES // 2 else (least, most)
     while True:
+        below = 0
+        if (low, high) != (least, most):
+            place = values.agg(F.count_if(F.col("value") < low).alias("below"), F.count_if(F.col("value") <= high).alias("upto")).first()
+            below = place["below"]
+            if below > low_rank or place["upto"] <= high_rank:
+                low, high = least, most  # the sketch missed the rank: start again from the full range
+                continue
         inside = values.filter(F.col("value").between(low, high))
-        counts = inside.groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
-        place = values.agg(F.count_if(F.col("value") < low).alias("below"), F.count_if(F.col("value") <= high).alias("upto")).first()
-        if place["below"] > low_rank or place["upto"] <= high_rank:
-            if not first or (low, high) == (stats["least"], stats["most"]):
-                raise AssertionError("quantile bracket lost its rank")
-            low, high, first = stats["least"], stats["most"], False  # the sketch missed: start from the full range
-            continue
-        first = False
-        if counts.limit(MAX_RANKED_VALUES + 1).count() <= MAX_RANKED_VALUES:
-            below_value, above_value = _order_statistics(counts, place["below"], low_rank, high_rank)
-            return below_value + (above_value - below_value) * (position - low_rank)
-        low, high = _narrow(inside, low, high, place["below"], low_rank, high_rank)
+        counts = inside.groupBy("value").agg(F.count(F.lit(1)).alias("rows")).persist()
+        try:
+            if counts.count() <= MAX_RANKED_VALUES:
+                lower, upper = _order_statistics(counts, below, low_rank, high_rank)
+                return lower + (upper - lower) * (position - low_rank)
+        finally:
+            counts.unpersist()
+        low, high = _narrow(inside, low, high, below, low_rank, high_rank)
 
 
 def _narrow(inside: DataFrame, low: float, high: float, below: int, low_rank: int, high_rank: int) -> tuple[float, float]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.measures import mean_where, percent, rows, rows_where, total_value
+from ..functions.measures import mean_money, mean_where, percent, rows, rows_where, total_value
 from ..functions.risk import value_segment
 from .quantiles import exact_quantile
 from .trends import by_category
@@ -26,8 +26,8 @@ def retention_kpis(df: DataFrame) -> DataFrame:
         percent("is_repeated_guest").alias("repeat_rate"),
         (rows_where(high & repeat) * 100.0).alias("_high_repeat"),
         rows_where(high).alias("_high"),
-        mean_where(repeat, "total_value").alias("_spend_repeat"),
-        mean_where(new, "total_value").alias("_spend_new"),
+        mean_money(F.when(repeat, F.col("total_value"))).alias("_spend_repeat"),
+        mean_money(F.when(new, F.col("total_value"))).alias("_spend_new"),
         mean_where(repeat, "total_of_special_requests").alias("_requests_repeat"),
         mean_where(new, "total_of_special_requests").alias("_requests_new"),
     )

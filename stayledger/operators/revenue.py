@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import buckets, calendar
-from ..functions.measures import money, rows
+from ..functions.measures import mean_money, money, rows
 from .trends import by_bucket, by_category, by_month
 
 
 def _revenue_measures():
-    return money("revenue").alias("total_revenue"), rows().alias("booking_count"), F.round(F.avg("adr"), 6).alias("avg_adr")
+    return money("revenue").alias("total_revenue"), rows().alias("booking_count"), F.round(mean_money("adr"), 6).alias("avg_adr")
 
 
 def revenue_kpis(df: DataFrame) -> DataFrame:
     """Total revenue, mean rate, revenue of cancelled bookings, and RevPAR taken as mean rate x kept share."""
     return df.agg(
         money("revenue").alias("total_revenue"),
-        F.round(F.avg("adr"), 6).alias("avg_daily_rate"),
-        F.round(F.avg("adr") * (1 - F.avg("is_canceled")), 6).alias("revpar"),
+        F.round(mean_money("adr"), 6).alias("avg_daily_rate"),
+        F.round(mean_money("adr") * (1 - F.avg("is_canceled")), 6).alias("revpar"),
         F.coalesce(money(F.when(F.col("is_canceled") == 1, F.col("revenue"))), F.lit(0.0)).alias("potential_revenue_lost"),
     )
 
@@ -28,7 +28,7 @@ def monthly_revenue(df: DataFrame) -> DataFrame:
 
 
 def monthly_adr(df: DataFrame) -> DataFrame:
-    return by_month(df, F.round(F.avg("adr"), 6).alias("avg_adr"))
+    return by_month(df, F.round(mean_money("adr"), 6).alias("avg_adr"))
 
 
 def revenue_by(df: DataFrame, name: str) -> DataFrame:

@@ -48,11 +48,11 @@ def bucket_distribution(df: DataFrame, value: str, groups: buckets.Buckets, name
 
 
 def lead_time_distribution(df: DataFrame) -> DataFrame:
-    return bucket_distribution(df, "lead_time", buckets.LEAD_TIME, "lead_time_bucket")
+    return bucket_distribution(df, "lead_time", buckets.LEAD_TIME, "bucket")
 
 
 def stay_distribution(df: DataFrame) -> DataFrame:
-    return bucket_distribution(df, "total_stay_nights", buckets.STAY, "stay_duration_bucket")
+    return bucket_distribution(df, "total_stay_nights", buckets.STAY, "bucket")
 
 
 def lead_bucket_form(df: DataFrame) -> DataFrame:

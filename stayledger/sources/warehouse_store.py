@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -26,6 +28,8 @@ class Warehouse:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._derived: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -54,6 +58,15 @@ class Warehouse:
             return df.select(DIMENSIONS[name][0], *ATTRIBUTES[name])
         return df.select(*FACT_COLUMNS, F.col(YEAR_PARTITION).cast("bigint").alias(YEAR_PARTITION)) if name == "booking_fact" else df
 
+    def derived(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A table computed from the warehouse, written on first use: several passes over it then read columns of
+        files instead of repeating its joins, and a lost executor costs no recomputation."""
+        with self._lock:
+            if name not in self._derived:
+                self.write(f"_derived/{name}", build())
+                self._derived[name] = self.spark.read.parquet(self.path(f"_derived/{name}"))
+            return self._derived[name]
+
     def raw_bookings(self) -> DataFrame:
         """The landed raw rows with their booking number."""
         return dense_number(self.table("raw_bookings"), self.table("raw_offsets"), "_sequence", "booking_id")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.measures import customer_id, percent, rows
+from ..session import reliable_checkpoint
 from .skew import left_join_on_counted_key
 
 SILENCE_FACTOR = 1.5  # fixed value: silence longer than 1.5 x the mean gap counts as churn
@@ -47,7 +48,10 @@ def customer_label(rollup: DataFrame) -> DataFrame:
 def with_churn_label(df: DataFrame) -> DataFrame:
     """Add ``customer_id`` and ``is_churned`` to every booking."""
     identified = with_customer_id(df)
-    labels = customer_label(customer_rollup(identified)).select("customer_id", "bookings", "history_label")
+    # The labels are read three times by the join, so the pass over all bookings behind them is done once.
+    labels = reliable_checkpoint(
+        customer_label(customer_rollup(identified)).select("customer_id", "bookings", "history_label")
+    )
     labelled = left_join_on_counted_key(identified, labels, "customer_id", "bookings", "history_label")
     unhappy = (F.col("is_canceled") == 1) | ((F.col("booking_changes") > 0) & F.col("room_changed"))
     return labelled.withColumn(

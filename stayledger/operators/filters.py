@@ -31,13 +31,19 @@ def apply_filters(
     years: tuple[int, int] | None = None,
     segment: str | None = None,
     customer_type: str | None = None,
+    exclude_cancelled: bool = False,
 ) -> DataFrame:
-    """Keep bookings of one hotel, an inclusive range of years, one market segment, one customer type."""
+    """Keep bookings of one hotel, an inclusive range of years, one market segment, one customer type.
+
+    Figures include cancelled bookings unless ``exclude_cancelled`` is set.
+    """
     for column, value in (("hotel_name", hotel), ("market_segment", segment), ("customer_type", customer_type)):
         if value is not None:
             df = df.filter(F.col(column) == value)
     if years is not None:
         df = df.filter(F.col("year").between(*years))
+    if exclude_cancelled:
+        df = df.filter(F.col("is_canceled") == 0)
     return df
 
 

@@ -1 +1 @@
-
+"""Warehouse build, model flows and the registered queries."""

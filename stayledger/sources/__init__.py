@@ -1 +1 @@
-
+"""Readers and stored tables."""

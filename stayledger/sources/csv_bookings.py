@@ -12,19 +12,22 @@ def read_booking_csv(spark: SparkSession, path: str, extra: tuple[str, ...] = ()
 
     Every column is read as text first: the CSV reader knows only one null token, and a number column holding
     ``NA`` must become null rather than a broken row. ``extra`` names whole-number columns after the 32 raw ones.
-    Identifiers written as ``9.0`` are accepted. Column pruning still reaches the scan.
+    Identifiers written as ``9.0`` are accepted, and a value that is no number becomes null. Column pruning still reaches the scan.
     """
     names = [*RAW_COLUMNS, *extra]
     text = spark.read.schema(text_schema(names)).csv(path, header=True, mode="PERMISSIVE")
     columns = []
     for name in names:
         kind = RAW_COLUMNS.get(name, "long")
-        trimmed = F.trim(F.col(name))
-        value = F.when(~trimmed.isin(NULL_TOKENS), trimmed if kind != "string" else F.col(name))
-        if kind == "long" or kind == "int":
-            value = F.regexp_replace(value, r"\.0+$", "").try_cast("bigint" if kind == "long" else "int")
-        elif kind != "string":
-            value = value.try_cast(typed(name))
+        if kind == "string":
+            value = F.when(~F.trim(F.col(name)).isin(NULL_TOKENS), F.col(name))
+        elif kind in ("long", "int"):
+            whole = "bigint" if kind == "long" else "int"
+            text_number = F.trim(F.col(name))
+            value = F.coalesce(text_number.try_cast(whole), text_number.try_cast("double").try_cast(whole))
+        else:
+            trimmed = F.trim(F.col(name))
+            value = F.when(~trimmed.isin(NULL_TOKENS), trimmed).try_cast(typed(name))
         columns.append(value.alias(name))
     return text.select(columns)
 

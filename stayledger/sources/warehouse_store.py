@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.dimensions import DIMENSIONS
 from ..operators.facts import DERIVED, KEY_COLUMNS, MEASURES, YEAR_PARTITION
+from ..operators.filters import apply_filters
 from ..operators.numbering import dense_number
 
 FACT_COLUMNS = ["booking_id", *KEY_COLUMNS, *MEASURES, *DERIVED]
@@ -28,7 +30,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
-        self._derived: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
 
     def path(self, name: str) -> str:
@@ -36,6 +38,7 @@ class Warehouse:
 
     def write(self, name: str, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(self.path(name))
+        self._tables.pop(name, None)
 
     def write_fact(self, facts: DataFrame) -> None:
         """Store the fact by arrival year.
@@ -51,21 +54,28 @@ class Warehouse:
             .partitionBy(YEAR_PARTITION)
             .parquet(self.path("booking_fact"))
         )
+        self._tables.pop("booking_fact", None)
 
     def table(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(self.path(name))
-        if name in DIMENSIONS:
-            return df.select(DIMENSIONS[name][0], *ATTRIBUTES[name])
-        return df.select(*FACT_COLUMNS, F.col(YEAR_PARTITION).cast("bigint").alias(YEAR_PARTITION)) if name == "booking_fact" else df
+        """A stored table. Files are listed and footers read once per warehouse, not once per query."""
+        with self._lock:
+            if name not in self._tables:
+                df = self.spark.read.parquet(self.path(name))
+                if name in DIMENSIONS:
+                    df = df.select(DIMENSIONS[name][0], *ATTRIBUTES[name])
+                elif name == "booking_fact":
+                    df = df.select(*FACT_COLUMNS, F.col(YEAR_PARTITION).cast("bigint").alias(YEAR_PARTITION))
+                self._tables[name] = df
+            return self._tables[name]
 
     def derived(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A table computed from the warehouse, written on first use: several passes over it then read columns of
         files instead of repeating its joins, and a lost executor costs no recomputation."""
+        table = f"_derived/{name}"
         with self._lock:
-            if name not in self._derived:
-                self.write(f"_derived/{name}", build())
-                self._derived[name] = self.spark.read.parquet(self.path(f"_derived/{name}"))
-            return self._derived[name]
+            if table not in self._tables:
+                self.write(table, build())
+            return self.table(table)
 
     def raw_bookings(self) -> DataFrame:
         """The landed raw rows with their booking number."""
@@ -76,6 +86,19 @@ class Warehouse:
         for name in [*DIMENSIONS, "booking_fact"]:
             self.table(name).createOrReplaceTempView(prefix + name)
 
+    def sql(self, query: str) -> DataFrame:
+        """Run SQL text in which a table is written as ``{booking_fact}``, ``{date_dim}`` and so on."""
+        return self.spark.sql(query, **{name: self.table(name) for name in [*DIMENSIONS, "booking_fact"] if f"{{{name}}}" in query})
+
+    @contextmanager
+    def cached_star(self, *columns: str, **filter_options):
+        """Keep a filtered star in executor memory (spilling to disk) while several figures are computed from it."""
+        kept = apply_filters(self.star(*columns), **filter_options).persist()
+        try:
+            yield kept
+        finally:
+            kept.unpersist()
+
     def star(self, *columns: str) -> DataFrame:
         """Fact columns and dimension attributes by name.
 

@@ -1,0 +1 @@
+"""Bookings are loaded and analysed in batches; there are no streaming operators."""

@@ -9,21 +9,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import shuffle_width
-
 _POSITION_BITS = 33  # monotonically_increasing_id: partition number above, position in the partition below
 
 
-def with_sequence(df: DataFrame, order: list[str], name: str) -> DataFrame:
+def with_sequence(df: DataFrame, order: list[str], name: str, width: int | None = None) -> DataFrame:
     """Add a number that grows along ``order``, nulls last; it has gaps between partitions until :func:`dense_number`.
 
     The scan position of a row is the last sort key. It makes the order total, so a recomputed task yields the same
-    numbers, and it lets equal rows be spread over several partitions.
+    numbers, and it lets equal rows be spread over several partitions. Without a ``width``, adaptive execution merges
+    small partitions.
     """
     tie = "_scan_position"
     keys = [F.col(key).asc_nulls_last() for key in order]
     tagged = df.withColumn(tie, F.monotonically_increasing_id())
-    width = shuffle_width(df)
     ranged = tagged.repartitionByRange(*([width] if width else []), *keys, tie)
     return ranged.sortWithinPartitions(*keys, tie).drop(tie).withColumn(name, F.monotonically_increasing_id())
 

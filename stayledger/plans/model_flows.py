@@ -48,9 +48,14 @@ class Trained:
 
 
 def cancellation_data(house: Warehouse) -> DataFrame:
-    """Features with missing countries filled, and the part each booking belongs to."""
-    data = impute_category(house.star(*CANCELLATION_COLUMNS), ["country"])
-    return stratified_parts(data, "is_canceled", TEST_SHARE)
+    """Features with missing countries filled, and the part each booking belongs to. Written once, as a fit passes
+    over them many times."""
+
+    def build() -> DataFrame:
+        data = impute_category(house.star(*CANCELLATION_COLUMNS), ["country"])
+        return stratified_parts(data, "is_canceled", TEST_SHARE)
+
+    return house.derived("cancellation_data", build)
 
 
 def labelled_bookings(house: Warehouse) -> DataFrame:

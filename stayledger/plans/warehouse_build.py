@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.dimensions import DIMENSIONS
 from ..operators.facts import booking_facts
-from ..operators.numbering import number_rows, sequence_offsets
-from ..session import shared_folder
+from ..operators.numbering import number_rows, sequence_offsets, with_sequence
+from ..session import shared_folder, shuffle_width, shuffles_sized_for
 from ..sources.csv_bookings import read_booking_csv, write_booking_csv
-from ..sources.order_tables import bookings_from_orders
+from ..sources.order_tables import bookings_from_orders, table
 from ..sources.warehouse_store import Warehouse
 
 _lock = threading.RLock()
@@ -30,16 +30,17 @@ def build_warehouse(spark: SparkSession, sequenced: DataFrame, folder: str) -> W
     house = Warehouse(spark, folder)
     house.write("raw_bookings", sequenced)
     landed = house.table("raw_bookings")
-    house.write("raw_offsets", sequence_offsets(landed, "_sequence"))
 
     def write_dimension(name: str) -> None:
         key, members, order = DIMENSIONS[name]
         house.write(name, number_rows(members(landed), order, key, house.path(f"_unnumbered/{name}")))
 
-    # The five dimensions are independent small jobs; submitting them together keeps the executors busy.
-    with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
-        list(pool.map(write_dimension, DIMENSIONS))
-    house.write_fact(booking_facts(house.raw_bookings(), {name: house.table(name) for name in DIMENSIONS}))
+    with shuffles_sized_for(landed):
+        house.write("raw_offsets", sequence_offsets(landed, "_sequence"))
+        # The dimensions are independent small jobs; submitting them together keeps the executors busy.
+        with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+            list(pool.map(write_dimension, DIMENSIONS))
+        house.write_fact(booking_facts(house.raw_bookings(), {name: house.table(name) for name in DIMENSIONS}))
     return house
 
 
@@ -53,12 +54,12 @@ def _once(spark: SparkSession, kind: str, source: str, build):
 
 def warehouse_for(spark: SparkSession, tables_folder: str) -> Warehouse:
     """The warehouse derived from one folder of order tables, built on first use in the shared folder."""
-    return _once(
-        spark,
-        "warehouse",
-        tables_folder,
-        lambda folder: build_warehouse(spark, bookings_from_orders(spark, tables_folder, "_sequence"), folder),
-    )
+
+    def build(folder: str) -> Warehouse:
+        with shuffles_sized_for(table(spark, tables_folder, "lineitem"), table(spark, tables_folder, "orders")):
+            return build_warehouse(spark, bookings_from_orders(spark, tables_folder, "_sequence"), folder)
+
+    return _once(spark, "warehouse", tables_folder, build)
 
 
 def csv_landing_for(spark: SparkSession, tables_folder: str) -> str:
@@ -74,6 +75,5 @@ def csv_landing_for(spark: SparkSession, tables_folder: str) -> str:
 
 def build_from_csv(spark: SparkSession, csv_path: str, folder: str, order: list[str]) -> Warehouse:
     """Build a warehouse from CSV files. ``order`` names the columns whose sorted order numbers the bookings."""
-    from ..operators.numbering import with_sequence
-
-    return build_warehouse(spark, read_booking_csv(spark, csv_path).transform(with_sequence, order, "_sequence"), folder)
+    raw = read_booking_csv(spark, csv_path)
+    return build_warehouse(spark, with_sequence(raw, order, "_sequence", shuffle_width(raw)), folder)

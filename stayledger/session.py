@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-ROW_TARGET_BYTES = 256 * 1024 * 1024
+PARTITION_BYTES = 128 * 1024 * 1024  # file bytes per shuffle partition; rows take several times that in memory
 
 
 def local_session(cpus: str = "8", memory: str = "8g") -> SparkSession:
@@ -17,6 +18,7 @@ def local_session(cpus: str = "8", memory: str = "8g") -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -68,6 +70,24 @@ def shuffle_width(df: DataFrame) -> int | None:
     """
     size = scan_bytes(df)
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if size is None or size <= configured * ROW_TARGET_BYTES:
+    if size is None or size <= configured * PARTITION_BYTES:
         return None
-    return -(-size // ROW_TARGET_BYTES)
+    return -(-size // PARTITION_BYTES)
+
+
+@contextmanager
+def shuffles_sized_for(*scans: DataFrame):
+    """Raise the session's shuffle partitions while working on scans too large for the current setting.
+
+    Adaptive execution merges what turns out small, so only a number that is too low does harm.
+    """
+    spark = scans[0].sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    wanted = [width for width in map(shuffle_width, scans) if width is not None]
+    if wanted:
+        spark.conf.set(key, str(max(wanted)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.numbering import with_sequence
+from ..session import shuffle_width
 from .booking_schema import RAW_COLUMNS, typed
 
 # Order that defines the booking number, and the rest of the line item as tie-break.
@@ -83,7 +84,7 @@ def bookings_from_orders(spark: SparkSession, folder: str, sequence: str | None
     """
     lines = table(spark, folder, "lineitem").select(*LINE_ORDER, *LINE_OTHER)
     if sequence:
-        lines = with_sequence(lines, LINE_ORDER + LINE_OTHER, sequence)
+        lines = with_sequence(lines, LINE_ORDER + LINE_OTHER, sequence, shuffle_width(lines))
     parts = table(spark, folder, "part").select("p_partkey", "p_type", "p_size")
     joined = lines.join(_guests(spark, folder), F.col("l_orderkey") == F.col("o_orderkey")).join(
         parts, F.col("l_partkey") == F.col("p_partkey")

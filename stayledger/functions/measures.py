@@ -42,19 +42,19 @@ def total_value() -> Column:
     return F.col("adr") * F.col("total_stay_nights")
 
 
-def dollars(value: str, decimals: int = 2) -> Column:
+def dollars(value: str | Column, decimals: int = 2) -> Column:
     """Text such as ``$1,234.50``."""
-    return F.concat(F.lit("$"), F.format_number(F.col(value), decimals))
+    return F.concat(F.lit("$"), F.format_number(value, decimals))
 
 
-def percent_text(value: str, decimals: int = 1) -> Column:
+def percent_text(value: str | Column, decimals: int = 1) -> Column:
     """Text such as ``37.0%`` from a number already in percent."""
-    return F.concat(F.format_number(F.col(value), decimals), F.lit("%"))
+    return F.concat(F.format_number(value, decimals), F.lit("%"))
 
 
-def signed_percent_text(value: str, decimals: int = 1) -> Column:
-    """Text such as ``+3.2%``."""
-    return F.format_string(f"%+.{decimals}f%%", F.col(value).cast("double"))
+def signed_percent_text(value: str | Column, decimals: int = 1) -> Column:
+    """Text such as ``+3.2%``; a half goes to the even digit, as in the other texts."""
+    return F.format_string(f"%+.{decimals}f%%", F.bround(value, decimals).cast("double"))
 
 
 def customer_id(country: str = "country", parts: tuple[str, ...] = ("adults", "children", "babies")) -> Column:

@@ -7,8 +7,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MAX_PERIOD = 12
@@ -84,17 +82,42 @@ def acf(series: DataFrame, max_lag: int = 12) -> DataFrame:
     )
 
 
-def _partial(rows: pd.DataFrame) -> pd.DataFrame:
-    """Partial autocorrelations of one series: the last coefficient of each Yule-Walker system."""
-    rho = rows.sort_values("lag")["value"].to_numpy(dtype=float)
-    values = [1.0]
-    for k in range(1, len(rho)):
-        system = rho[np.abs(np.subtract.outer(np.arange(k), np.arange(k)))]
-        solution = np.linalg.lstsq(system, rho[1 : k + 1], rcond=None)[0] if np.isfinite(rho).all() else [np.nan]
-        values.append(float(solution[-1]))
-    return pd.DataFrame({"series_key": rows["series_key"].iloc[0], "lag": range(len(values)), "value": values})
+def _dot(left: Column, right: Column) -> Column:
+    return F.aggregate(F.zip_with(left, right, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
 
 
 def pacf(series: DataFrame, max_lag: int = 12) -> DataFrame:
-    """Partial autocorrelation per series. Each group handed to Python has at most ``max_lag`` + 1 rows."""
-    return acf(series, max_lag).groupBy("series_key").applyInPandas(_partial, "series_key string, lag int, value double")
+    """Partial autocorrelation per series by the Durbin-Levinson recursion on the autocorrelations.
+
+    The recursion folds over an array of at most ``max_lag`` values, so it stays in the JVM.
+    """
+    lists = (
+        acf(series, max_lag)
+        .filter(F.col("lag") > 0)
+        .groupBy("series_key")
+        .agg(F.array_sort(F.collect_list(F.struct("lag", "value"))).getField("value").alias("_rho"))
+    )
+
+    def following(state: Column, k: Column) -> Column:
+        """Coefficients of order k from those of order k - 1; the last one is the partial autocorrelation."""
+        weights, rho = state.getField("weights"), F.col("_rho")
+        lower = F.slice(rho, F.lit(1), k - 1)
+        last = F.try_divide(F.element_at(rho, k) - _dot(weights, F.reverse(lower)), 1 - _dot(weights, lower))
+
+        def extend(p: Column) -> Column:
+            moved = F.zip_with(weights, F.reverse(weights), lambda a, b: a - p * b)
+            return F.struct(
+                F.concat(moved, F.array(p)).alias("weights"), F.concat(state.getField("found"), F.array(p)).alias("found")
+            )
+
+        # A one-element transform names the value, so that it is computed once.
+        return F.element_at(F.transform(F.array(last), extend), 1)
+
+    first = F.slice("_rho", 1, 1)
+    start = F.struct(first.alias("weights"), first.alias("found"))
+    orders = F.when(F.size("_rho") >= 2, F.sequence(F.lit(2), F.size("_rho"))).otherwise(F.array().cast("array<int>"))
+    found = F.aggregate(orders, start, following, lambda state: state.getField("found"))
+    values = lists.select("series_key", F.posexplode(F.concat(F.array(F.lit(1.0)), found)).alias("lag", "value"))
+    alone = series.filter(F.col("value").isNotNull()).groupBy("series_key").agg(F.count(F.lit(1)).alias("_n"))
+    short = alone.filter(F.floor(F.col("_n") * F.lit(0.4)) < 1).select("series_key", F.lit(0).alias("lag"), F.lit(1.0).alias("value"))
+    return values.unionByName(short)

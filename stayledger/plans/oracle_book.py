@@ -11,7 +11,7 @@ from itertools import combinations
 from ..functions.buckets import LEAD_TIME, STAY
 from ..functions.calendar import MONTH_NAMES
 from ..functions.risk import CANCELLATION_ACTIONS, CHURN_ACTIONS, CHURN_STRATEGIES, SEGMENT_RECOMMENDATIONS
-from ..operators import advice
+from ..operators import advice, display
 from ..operators.correlation import DASHBOARD_COLUMNS, MODEL_COLUMNS
 from ..operators.filters import CANCELLATION_COLUMNS, CHURN_COLUMNS, DETAIL_COLUMNS, WIDE_COLUMNS
 from ..operators.facts import DERIVED, KEY_COLUMNS, MEASURES
@@ -273,6 +273,21 @@ SPLIT = """SELECT booking_id, is_canceled, CASE WHEN row_number() OVER (PARTITIO
   ORDER BY md5(booking_id || '-42')) <= floor(count(*) OVER (PARTITION BY is_canceled) * 0.2::DOUBLE + 0.5) THEN 'test' ELSE 'train' END AS part FROM wide"""
 
 
+def _kpi_texts() -> str:
+    money = "'$' || format('{:,.2f}', %s)"
+    texts = {
+        display.CANCELLATION_RATE: "format('{:,.2f}', avg(is_canceled) * 100) || '%'",
+        display.TOTAL: "format('{:,}', count(*))",
+        display.CANCELLED: "format('{:,}', CAST(sum(is_canceled) AS BIGINT))",
+        display.CONFIRMED: "format('{:,}', CAST(count(*) - sum(is_canceled) AS BIGINT))",
+        display.REVENUE: money % _money("revenue"),
+        display.RATE: money % _mean_money("adr"),
+        display.REVPAR: money % f"{_mean_money('adr')} * (1 - avg(is_canceled))",
+        display.LOST: money % _money("revenue", " FILTER (is_canceled = 1)"),
+    }
+    return " UNION ALL ".join(f"SELECT '{name}' AS figure, {text} AS text FROM wide" for name, text in texts.items())
+
+
 def _warehouse() -> dict[str, str]:
     agents = "SELECT DISTINCT coalesce(CAST(agent AS VARCHAR), 'Unknown') AS agent_id, coalesce(CAST(company AS VARCHAR), 'Unknown') AS company_id FROM raw"
     dimensions = {
@@ -359,11 +374,22 @@ FROM wide GROUP BY year, month, hotel_name"""
 ), factors AS (SELECT phase, phase_mean / (SELECT avg(phase_mean) FROM phases) AS seasonal FROM phases)
 SELECT month_start, round(observed, 6) AS observed, round(trend, 6) AS trend, round(seasonal, 6) AS seasonal,
   round(observed / (seasonal * trend), 6) AS resid FROM trended JOIN factors ON phase = i % 12"""
-    acf = _with(RAW, WIDE, _filled(SERIES)) + """, centred AS (
+    acf_parts = _with(RAW, WIDE, _filled(SERIES)) + """, centred AS (
   SELECT row_number() OVER (ORDER BY month_start) AS i, value - (SELECT avg(value) FROM filled) AS d FROM filled
 ), lags AS (SELECT CAST(lag AS INTEGER) AS lag FROM range(0, 13) t(lag) WHERE lag <= (SELECT floor(count(*) * 0.4::DOUBLE) FROM filled))
-SELECT lag, round(sum(a.d * b.d) / (SELECT sum(d * d) FROM centred), 6) AS value
+"""
+    acf_values = """SELECT lag, sum(a.d * b.d) / (SELECT sum(d * d) FROM centred) AS value
 FROM lags, centred a JOIN centred b ON b.i = a.i + lag GROUP BY lag"""
+    acf = f"{acf_parts}SELECT lag, round(value, 6) AS value FROM ({acf_values})"
+    pacf = acf_parts.replace("WITH ", "WITH RECURSIVE ", 1) + f""", rhos AS (SELECT list(value ORDER BY lag) AS rho FROM ({acf_values}) WHERE lag > 0
+), steps AS (
+  SELECT 1 AS k, [rho[1]] AS weights, rho[1] AS last, rho FROM rhos
+  UNION ALL
+  SELECT k + 1, list_append([weights[j] - p * weights[k + 1 - j] FOR j IN range(1, k + 1)], p), p, rho FROM (
+    SELECT *, (rho[k + 1] - list_dot_product(weights, list_reverse(rho[1:k]))) / (1 - list_dot_product(weights, rho[1:k])) AS p
+    FROM steps WHERE k < len(rho))
+)
+SELECT 0::INTEGER AS lag, 1.0::DOUBLE AS value UNION ALL SELECT CAST(k AS INTEGER), round(last, 6) FROM steps"""
     sql = {
         "scan_bookings": _with(RAW) + f"SELECT {raw_columns}, booking_id FROM raw",
         **_warehouse(),
@@ -415,6 +441,7 @@ FROM lags, centred a JOIN centred b ON b.i = a.i + lag GROUP BY lag"""
             f"round({_mean_money('adr')} * (1 - avg(is_canceled)), 6) AS revpar, "
             f"coalesce({_money('revenue', ' FILTER (is_canceled = 1)')}, 0.0) AS potential_revenue_lost FROM wide"
         ),
+        "kpi_texts": _wide(_kpi_texts()),
         "monthly_revenue": _by_month(f"{TOTAL_REVENUE}, count(*) AS booking_count"),
         "monthly_adr": _by_month(MEAN_ADR),
         "revenue_by_market": _wide(TOP_MARKET),
@@ -476,6 +503,7 @@ FROM (SELECT *, adr * total_stay_nights AS v, adr * total_stay_nights >= {VALUE_
         "month_ffill": _with(RAW, WIDE, _filled(GRID_SOURCE)) + "SELECT series_key, month_start, value FROM filled",
         "seasonal_decomposition": decomposition,
         "acf": acf,
+        "pacf": pacf,
         "time_split": _with(RAW, WIDE, _filled(SERIES))
         + "SELECT month_start, value, CASE WHEN row_number() OVER (ORDER BY month_start) <= floor(count(*) OVER () * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS part FROM filled",
         "baseline_forecast": _with(RAW, WIDE, BASELINE) + "SELECT month_start, bookings, lower_ci, upper_ci FROM forecast",

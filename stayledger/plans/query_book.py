@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import buckets, risk
 from ..functions.measures import total_value
 from ..operators import (
-    advice, cancellations, classifiers, churn, correlation, demand, evaluation, filters, forecasting, preparation,
+    advice, cancellations, classifiers, churn, correlation, demand, display, evaluation, filters, forecasting, preparation,
     retention, revenue, seasonality, segments, trends,
 )
 from ..operators.dimensions import DIMENSIONS
@@ -174,6 +174,7 @@ def queries() -> dict[str, Query]:
         "null_profile": _on_warehouse(lambda h: cancellations.null_profile(h.table("raw_bookings").select(*RAW_COLUMNS))),
         # Revenue
         "revenue_kpis": _on_columns(revenue.revenue_kpis, "revenue", "adr", "is_canceled"),
+        "kpi_texts": _on_columns(display.kpi_texts, "is_canceled", "revenue", "adr"),
         "monthly_revenue": _on_columns(revenue.monthly_revenue, "year", "month", "revenue"),
         "monthly_adr": _on_columns(revenue.monthly_adr, "year", "month", "adr"),
         "revenue_by_market": _on_columns(lambda df: revenue.revenue_by(df, "market_segment"), "market_segment", "revenue", "adr"),

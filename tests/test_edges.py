@@ -77,7 +77,7 @@ def test_number_texts(spark):
     row = df.select(
         measures.dollars("a", 0), measures.dollars("a"), measures.percent_text("b"), measures.signed_percent_text("b")
     ).first()
-    assert tuple(row) == ("$1,234,568", "$1,234,567.89", "3.2%", "+3.3%") or tuple(row)[:2] == ("$1,234,568", "$1,234,567.89")
+    assert tuple(row) == ("$1,234,568", "$1,234,567.89", "3.2%", "+3.2%")
 
 
 def test_customer_id(spark):
@@ -96,12 +96,10 @@ def test_risk_borders(spark):
     assert labels(column(spark, [0.5, 0.51], "double").coalesce(1), risk.high_risk("x")) == [False, True]
 
 
-def test_segment_texts_and_table(spark):
+def test_segment_texts(spark):
     df = spark.createDataFrame([("High-Value Loyal",)], "segment string")
     row = segments.segment_recommendations(df).first()
     assert row.recommendations == "Implement recognition programs, Offer premium loyalty benefits, Create exclusive experiences"
-    table = risk.text_table(spark, "segment", "texts", risk.SEGMENT_RECOMMENDATIONS)
-    assert table.count() == 6 and table.filter(F.size("texts") != 5).count() == 0
 
 
 def history(spark, *rows):

@@ -17,7 +17,7 @@ def connection(tables_folder):
 def test_every_sql_belongs_to_a_query():
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {
-        "pacf", "sarima_forecast", "sarima_metrics", "cancellation_scores", "churn_scores", "feature_importance",
+        "sarima_forecast", "sarima_metrics", "cancellation_scores", "churn_scores", "feature_importance",
         "loyalty_recommendations",
     }
 

@@ -45,13 +45,6 @@ RAW_COLUMNS = {
 # Text that stands for a missing value.
 NULL_TOKENS = ["", "NULL", "null", "NA", "N/A", "n/a", "NaN", "nan", "None", "<NA>", "#N/A"]
 
-RAW_SCHEMA = T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in RAW_COLUMNS.items()])
-
-
-def text_schema(names: list[str]) -> T.StructType:
-    """The same columns as plain text, the way a CSV file holds them."""
-    return T.StructType([T.StructField(name, T.StringType()) for name in names])
-
-
-def typed(name: str):
+def typed(name: str) -> T.DataType:
+    """Spark type of a raw column."""
     return _TYPES[RAW_COLUMNS[name]]

@@ -2,34 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .booking_schema import NULL_TOKENS, RAW_COLUMNS, text_schema, typed
+from .booking_schema import NULL_TOKENS, RAW_COLUMNS, typed
 
 
-def read_booking_csv(spark: SparkSession, path: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Read raw bookings from CSV with a fixed schema.
+def _field(name: str) -> T.StructField:
+    """How the CSV parser reads a column: every number as double, so that identifiers written ``9.0`` are accepted."""
+    kind = RAW_COLUMNS.get(name, "id")
+    parsed = {"string": T.StringType(), "date": T.DateType(), "id": T.LongType()}
+    return T.StructField(name, parsed.get(kind, T.DoubleType()))
 
-    Every column is read as text first: the CSV reader knows only one null token, and a number column holding
-    ``NA`` must become null rather than a broken row. ``extra`` names whole-number columns after the 32 raw ones.
-    Identifiers written as ``9.0`` are accepted, and a value that is no number becomes null. Column pruning still reaches the scan.
+
+def read_booking_csv(
+    spark: SparkSession, path: str, extra: tuple[str, ...] = (), date_format: str = "yyyy-MM-dd"
+) -> DataFrame:
+    """Read raw bookings from CSV with a fixed schema; ``extra`` names whole-number columns after the 32 raw ones.
+
+    The parser itself turns text into numbers and dates. It knows one null token, ``NULL``; any other text in a number
+    or date column, such as ``NA``, becomes null for that cell and leaves the rest of its row as it is. In text columns
+    the usual null tokens are replaced afterwards. Only the columns a query asks for are parsed.
     """
     names = [*RAW_COLUMNS, *extra]
-    text = spark.read.schema(text_schema(names)).csv(path, header=True, mode="PERMISSIVE")
+    parsed = spark.read.schema(T.StructType([_field(name) for name in names])).csv(
+        path, header=True, mode="PERMISSIVE", nullValue="NULL", dateFormat=date_format
+    )
     columns = []
     for name in names:
-        kind = RAW_COLUMNS.get(name, "long")
+        kind = RAW_COLUMNS.get(name, "id")
+        value = F.col(name)
         if kind == "string":
-            value = F.when(~F.trim(F.col(name)).isin(NULL_TOKENS), F.col(name))
-        elif kind in ("long", "int"):
-            whole = "bigint" if kind == "long" else "int"
-            text_number = F.trim(F.col(name))
-            value = F.coalesce(text_number.try_cast(whole), text_number.try_cast("double").try_cast(whole))
-        else:
-            trimmed = F.trim(F.col(name))
-            value = F.when(~trimmed.isin(NULL_TOKENS), trimmed).try_cast(typed(name))
+            value = F.when(~F.trim(value).isin(NULL_TOKENS), value)
+        elif kind not in ("date", "id"):
+            value = F.when(~F.isnan(value), value).try_cast(typed(name))
         columns.append(value.alias(name))
-    return text.select(columns)
+    return parsed.select(columns)
 
 
 def write_booking_csv(df: DataFrame, path: str) -> None:

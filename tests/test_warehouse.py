@@ -64,7 +64,7 @@ def test_csv_null_tokens(spark, tmp_path):
 def test_csv_reads_only_wanted_columns(spark, tmp_path):
     (tmp_path / "one.csv").write_text(csv_text({}))
     plan = read_booking_csv(spark, str(tmp_path / "one.csv")).select("adr")._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<adr:string>" in plan
+    assert "ReadSchema: struct<adr:double>" in plan
 
 
 def test_null_country_is_one_member_and_found(small):

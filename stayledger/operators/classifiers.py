@@ -69,21 +69,30 @@ def churn_form(df: DataFrame) -> DataFrame:
     return df.withColumns({c: _long(v) for c, v in defaults.items() if c not in df.columns})
 
 
-def _feature_stages(numeric: list[str], categories: list[str]) -> list:
-    """Scaled numbers and one-hot categories; a category not seen in training becomes an all-zero block."""
+def _feature_stages(numeric: list[str], categories: list[str], one_hot: bool = True) -> list:
+    """Scaled numbers and one-hot categories; a category not seen in training becomes an all-zero block.
+
+    Without ``one_hot`` a category stays one column that the trees split as a set of values. That keeps the training
+    rows several times smaller, which matters more the larger the data; an unseen category is then a value of its own.
+    """
     indexed, encoded = [f"{c}_index" for c in categories], [f"{c}_onehot" for c in categories]
     return [
         StringIndexer(inputCols=categories, outputCols=indexed, handleInvalid="keep"),
-        OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
+        *([OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True)] if one_hot else []),
         VectorAssembler(inputCols=numeric, outputCol="numbers", handleInvalid="error"),
         StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
-        VectorAssembler(inputCols=["scaled", *encoded], outputCol="features"),
+        VectorAssembler(inputCols=["scaled", *(encoded if one_hot else indexed)], outputCol="features"),
     ]
 
 
+def _bins(one_hot: bool, most_categories: int) -> int:
+    """Tree bins: the default, unless whole categories have to fit into them."""
+    return 32 if one_hot else max(32, most_categories + 1)
+
+
 def fit_cancellation(
     train: DataFrame, trees: int = 100, depth: int = 20, min_leaf: int = 1, grid: dict[str, list[int]] | None = None,
-    parallelism: int = 4,
+    parallelism: int = 4, one_hot: bool = True, most_categories: int = 1000,
 ) -> PipelineModel:
     """Random forest on ``is_canceled``. With ``grid`` (trees, depth, min_leaf), the best of a 3-fold search by ROC AUC.
 
@@ -91,9 +100,10 @@ def fit_cancellation(
     has 12 combinations: trees 100 and 200, depth 10, 20 and 30, leaf size 1 and 2.
     """
     forest = RandomForestClassifier(
-        labelCol="is_canceled", featuresCol="features", seed=42, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf
+        labelCol="is_canceled", featuresCol="features", seed=42, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf,
+        maxBins=_bins(one_hot, most_categories),
     )
-    stages = _feature_stages(CANCELLATION_NUMERIC, CANCELLATION_CATEGORIES)
+    stages = _feature_stages(CANCELLATION_NUMERIC, CANCELLATION_CATEGORIES, one_hot)
     if grid is None:
         return Pipeline(stages=[*stages, forest]).fit(train)
     combinations = (
@@ -127,14 +137,16 @@ def churn_features(with_leaking: bool = False) -> tuple[list[str], list[str]]:
 
 
 def fit_churn(
-    train: DataFrame, rounds: int = 200, rate: float = 0.05, depth: int = 5, with_leaking: bool = False
+    train: DataFrame, rounds: int = 200, rate: float = 0.05, depth: int = 5, with_leaking: bool = False,
+    one_hot: bool = True, most_categories: int = 1000,
 ) -> PipelineModel:
     """Gradient-boosted trees on ``is_churned``. The lineage of the rounds is cut in the shared checkpoint folder."""
     shared_folder(train.sparkSession)
     boosted = GBTClassifier(
-        labelCol="is_churned", featuresCol="features", seed=42, maxIter=rounds, stepSize=rate, maxDepth=depth
+        labelCol="is_churned", featuresCol="features", seed=42, maxIter=rounds, stepSize=rate, maxDepth=depth,
+        maxBins=_bins(one_hot, most_categories),
     )
-    return Pipeline(stages=[*_feature_stages(*churn_features(with_leaking)), boosted]).fit(train)
+    return Pipeline(stages=[*_feature_stages(*churn_features(with_leaking), one_hot), boosted]).fit(train)
 
 
 def score(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
@@ -150,7 +162,9 @@ def score(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
 def feature_importance(spark, model: PipelineModel, numeric: list[str], categories: list[str], n: int = 20) -> DataFrame:
     """The n most important features with expanded category names: (feature, importance, rank)."""
     indexer = next(s for s in model.stages if hasattr(s, "labelsArray"))
-    names = numeric + [f"{c}_{label}" for c, labels in zip(categories, indexer.labelsArray) for label in labels]
+    one_hot = any("OneHot" in type(stage).__name__ for stage in model.stages)
+    expanded = [f"{c}_{label}" for c, labels in zip(categories, indexer.labelsArray) for label in labels]
+    names = numeric + (expanded if one_hot else categories)
     weights = model.stages[-1].featureImportances
     values = [float(w) for w in weights.toArray()]
     if len(values) != len(names):

@@ -6,12 +6,18 @@ parallel; the fitted parameters are an ordinary table that can be stored and use
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import calendar
 
+# The functions below travel with their tasks, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SEASONAL_LENGTH = 12
 NORMAL_95 = 1.959963984540054
 PARAMETERS = (
@@ -174,13 +180,17 @@ def fit_sarima(
     series: DataFrame, order: tuple[int, int, int] = (1, 1, 1), seasonal: tuple[int, int, int, int] = (1, 0, 0, 12)
 ) -> DataFrame:
     """Fit every gap-free series; one row of parameters per series."""
+    needed = series.select("series_key", "month_start", "value")
+    return needed.groupBy("series_key").applyInPandas(_fitter(order, seasonal), PARAMETERS)
+
 
+def _fitter(order: tuple[int, int, int], seasonal: tuple[int, int, int, int]):
     def fit_one(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("month_start")
         fit = _fit(rows["value"].to_numpy(dtype=float), order, seasonal)
         return pd.DataFrame([{"series_key": rows["series_key"].iloc[0], "last_month": rows["month_start"].iloc[-1], **fit}])
 
-    return series.select("series_key", "month_start", "value").groupBy("series_key").applyInPandas(fit_one, PARAMETERS)
+    return fit_one
 
 
 def forecast_from(parameters: DataFrame, periods: int = 12, season: int = SEASONAL_LENGTH) -> DataFrame:

@@ -116,3 +116,15 @@ def test_grid_search(house):
     model = classifiers.fit_cancellation(train, grid={"trees": [2, 4], "depth": [2], "min_leaf": [1]}, parallelism=2)
     assert model.stages[-1].getNumTrees in (2, 4)
     assert {k: len(v) for k, v in classifiers.FULL_GRID.items()} == {"trees": 2, "depth": 3, "min_leaf": 2}
+
+
+def test_categories_as_single_columns(house):
+    """The compact encoding trains on one column per category and names importances by column."""
+    data = model_flows.cancellation_data(house).withColumn("deposit_type", F.when(F.col("is_canceled") == 1, "x").otherwise("y"))
+    model = classifiers.fit_cancellation(data.drop("part"), trees=5, depth=3, one_hot=False)
+    scored = classifiers.score(model, data, "p")
+    assert evaluation.roc_auc(scored, "is_canceled", "p").first().roc_auc > 0.99
+    top = classifiers.feature_importance(house.spark, model, classifiers.CANCELLATION_NUMERIC, classifiers.CANCELLATION_CATEGORIES).toPandas()
+    assert top.feature[0] == "deposit_type"
+    unseen = data.limit(5).withColumn("deposit_type", F.lit("never seen"))
+    assert classifiers.score(model, unseen, "p").count() == 5

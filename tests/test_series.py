@@ -1,8 +1,12 @@
 """Grids, decomposition, autocorrelation and forecasts against small numpy calculations."""
 
+import subprocess
+import sys
+
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from stayledger.operators import demand, forecasting, seasonality
@@ -146,3 +150,11 @@ def test_one_hotel_and_whole_flow(house):
     assert total == house.star("hotel_name").filter("hotel_name = 'City Hotel'").count()
     metrics, forecast = model_flows.forecast_demand(house, parts=("hotel_name",), periods=3)
     assert metrics.count() == 2 and forecast.count() == 6
+
+
+def test_fit_runs_where_the_package_is_not_installed(tmp_path):
+    rows = pd.DataFrame({"series_key": "a", "month_start": pd.date_range("2010-01-01", periods=60, freq="MS"), "value": wave(60)})
+    (tmp_path / "task.bin").write_bytes(cloudpickle.dumps((forecasting._fitter((1, 1, 1), (1, 1, 1, 12)), rows)))
+    code = "import sys; from pyspark import cloudpickle; f, rows = cloudpickle.load(open(sys.argv[1], 'rb')); assert 'stayledger' not in sys.modules; print(len(f(rows)))"
+    done = subprocess.run([sys.executable, "-c", code, str(tmp_path / "task.bin")], cwd=tmp_path, capture_output=True, text=True, env={"PATH": "/usr/bin"}, timeout=120)
+    assert done.stdout.strip() == "1", done.stderr

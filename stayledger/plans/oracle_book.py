@@ -353,6 +353,11 @@ def oracle_sql() -> dict[str, str]:
     roc = """, by_score AS (SELECT score, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg FROM predicted GROUP BY score),
 ranked AS (SELECT *, sum(pos) OVER w AS upto_pos, sum(neg) OVER w AS upto_neg, sum(pos) OVER () AS positives, sum(neg) OVER () AS negatives
   FROM by_score WINDOW w AS (ORDER BY score DESC))"""
+    outlook = (
+        "SELECT 'history' AS kind, CAST(year(month_start) AS INTEGER) AS year, monthname(month_start) AS month, value AS bookings, "
+        "NULL::BIGINT AS lower_ci, NULL::BIGINT AS upper_ci FROM history "
+        "UNION ALL SELECT 'forecast', CAST(year(month_start) AS INTEGER), monthname(month_start), bookings, lower_ci, upper_ci FROM forecast"
+    )
     scored_form = f"""SELECT booking_id, hotel_name, lead_time, total_stay_nights, market_segment, distribution_channel, is_repeated_guest,
   deposit_type, customer_type, adr, total_of_special_requests, booking_changes, required_car_parking_spaces,
   least(2, total_stay_nights) AS stays_in_weekend_nights, greatest(0, total_stay_nights - 2) AS stays_in_week_nights,
@@ -365,6 +370,15 @@ ranked AS (SELECT *, sum(pos) OVER w AS upto_pos, sum(neg) OVER w AS upto_neg, s
 FROM (SELECT *, lead_time / 450.0::DOUBLE AS p FROM wide)"""
     demand = f"""SELECT year, month, hotel_name, count(*) AS booking_count, {_money('adr * total_stay_nights')} AS total_revenue, {_mean_money('adr')} AS avg_daily_rate
 FROM wide GROUP BY year, month, hotel_name"""
+    customer_form = f"""SELECT booking_id, hotel_name, customer_type, is_repeated_guest, previous_cancellations, market_segment,
+  distribution_channel, booking_changes, room_changed, adr, total_of_special_requests, previous_bookings_not_canceled, deposit_type,
+  30::BIGINT AS lead_time, 1::BIGINT AS stays_in_weekend_nights, 2::BIGINT AS stays_in_week_nights, 3::BIGINT AS total_stay_nights,
+  0::BIGINT AS is_canceled, 'Check-Out' AS reservation_status, 2::BIGINT AS adults, 0.0::DOUBLE AS children, 0::BIGINT AS babies,
+  0::BIGINT AS required_car_parking_spaces, 0::BIGINT AS days_in_waiting_list, 2.0::DOUBLE AS total_guests, 2017::BIGINT AS year,
+  'August' AS month, 'Summer' AS season, 'BB' AS meal_plan, 'PRT' AS country, 'A' AS reserved_room_type, 'A' AS assigned_room_type,
+  false AS is_weekend, p AS churn_probability, {RISK_LEVEL} AS risk_level, {_case(RISK_LEVEL, CHURN_STRATEGIES)} AS strategy,
+  {_case(RISK_LEVEL, CHURN_ACTIONS)} AS actions
+FROM (SELECT *, (total_of_special_requests + booking_changes) / 8.0::DOUBLE AS p FROM wide)"""
     decomposition = _with(RAW, WIDE, _filled(SERIES)) + """, indexed AS (
   SELECT month_start, CAST(value AS DOUBLE) AS observed, row_number() OVER (ORDER BY month_start) - 1 AS i FROM filled
 ), trended AS (
@@ -494,6 +508,7 @@ FROM (SELECT *, adr * total_stay_nights AS v, adr * total_stay_nights >= {VALUE_
             f"SELECT segment, count(*) AS customer_count, {_case('segment', {k: v[:3] for k, v in SEGMENT_RECOMMENDATIONS.items()})} AS recommendations FROM ({SEGMENT}) GROUP BY segment"
         ),
         "score_bookings": _wide(scored_form),
+        "score_customers": _wide(customer_form),
         "monthly_demand": _wide(f"SELECT * REPLACE (round(total_revenue, 2) AS total_revenue, round(avg_daily_rate, 6) AS avg_daily_rate) FROM ({demand})"),
         "total_demand": _wide(
             f"SELECT make_date(year, {MONTH_NUM}, 1) AS date, CAST(sum(booking_count) AS BIGINT) AS booking_count, round(sum(total_revenue), 2) AS total_revenue, "
@@ -511,9 +526,9 @@ FROM (SELECT *, adr * total_stay_nights AS v, adr * total_stay_nights >= {VALUE_
         + "SELECT (SELECT strftime(month_start, '%B %Y') FROM forecast ORDER BY bookings DESC, month_start LIMIT 1) AS peak_month, max(bookings) AS peak_value, "
         "(SELECT strftime(month_start, '%B %Y') FROM forecast ORDER BY bookings, month_start LIMIT 1) AS low_month, min(bookings) AS low_value, "
         "CAST(sum(bookings) AS BIGINT) AS total, CAST(trunc(avg(bookings)) AS BIGINT) AS average FROM forecast",
-        "demand_outlook": _with(RAW, WIDE, BASELINE)
-        + "SELECT 'history' AS kind, CAST(year(month_start) AS INTEGER) AS year, monthname(month_start) AS month, value AS bookings, NULL::BIGINT AS lower_ci, NULL::BIGINT AS upper_ci FROM history "
-        "UNION ALL SELECT 'forecast', CAST(year(month_start) AS INTEGER), monthname(month_start), bookings, lower_ci, upper_ci FROM forecast",
+        "demand_outlook": _with(RAW, WIDE, BASELINE) + outlook,
+        "hotel_outlook": _with(RAW, WIDE, BASELINE.replace("FROM wide", "FROM wide WHERE hotel_name = 'Resort Hotel'").replace("range(1, 7)", "range(1, 13)"))
+        + outlook,
         "forecast_metrics": _with(RAW, WIDE, _filled(HOTEL_SEGMENT_SOURCE))
         + """, predicted AS (SELECT *, lag(value, 12) OVER (PARTITION BY series_key ORDER BY month_start) AS predicted,
   row_number() OVER (PARTITION BY series_key ORDER BY month_start) > floor(count(*) OVER (PARTITION BY series_key) * 0.8::DOUBLE) AS held_out FROM filled)

@@ -76,6 +76,24 @@ def _score_form(house: Warehouse) -> DataFrame:
     return tiers.withColumn("high_risk", risk.high_risk("cancellation_probability"))
 
 
+def _score_customers(house: Warehouse) -> DataFrame:
+    """Churn form over all bookings; the score stands in for a model: special requests and changes over 8."""
+    asked = [
+        "booking_id", "hotel_name", "customer_type", "is_repeated_guest", "previous_cancellations", "market_segment",
+        "distribution_channel", "booking_changes", "room_changed", "adr", "total_of_special_requests",
+        "previous_bookings_not_canceled", "deposit_type",
+    ]
+    complete = classifiers.churn_form(house.star(*asked))
+    points = F.col("total_of_special_requests") + F.col("booking_changes")
+    return segments.risk_tiers(complete.withColumn("churn_probability", points / 8.0), "churn_probability")
+
+
+def _hotel_outlook(house: Warehouse) -> DataFrame:
+    bookings = filters.apply_filters(house.star("year", "month", "hotel_name"), hotel="Resort Hotel")
+    history = demand.monthly_series(bookings)
+    return forecasting.demand_outlook(history, forecasting.baseline_forecast(history, 12))
+
+
 def _trained_forest(house: Warehouse) -> model_flows.Trained:
     return _fitted(house, "forest", lambda: model_flows.train_cancellation(house, **QUICK_FOREST))
 
@@ -235,6 +253,7 @@ def queries() -> dict[str, Query]:
             lambda h: segments.segment_recommendations(segments.with_risk_value_segment(_churn_scored(h)))
         ),
         "score_bookings": _on_warehouse(_score_form),
+        "score_customers": _on_warehouse(_score_customers),
         # Demand series
         "monthly_demand": _on_columns(
             lambda df: _rounded(_rounded(demand.monthly_demand(df), "avg_daily_rate"), "total_revenue", digits=2),
@@ -262,6 +281,7 @@ def queries() -> dict[str, Query]:
         "baseline_forecast": _on_warehouse(lambda h: _baseline(h).drop("series_key")),
         "forecast_summary": _on_warehouse(lambda h: forecasting.forecast_summary(_baseline(h)).drop("series_key")),
         "demand_outlook": _on_warehouse(lambda h: forecasting.demand_outlook(_history(h), _baseline(h))),
+        "hotel_outlook": _on_warehouse(_hotel_outlook),
         "forecast_metrics": _on_warehouse(
             lambda h: _rounded(
                 forecasting.forecast_metrics(

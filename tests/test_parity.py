@@ -9,6 +9,9 @@ QUERIES, SQL = contract.queries(), contract.oracle_sql()
 DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
 
 
+UNWANTED = ["CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"]
+
+
 @pytest.fixture(scope="module")
 def connection(tables_folder):
     return duck(tables_folder)
@@ -27,6 +30,8 @@ def test_same_as_sql(spark, tables_folder, connection, name):
     df = QUERIES[name](spark, tables_folder)
     types = {row[0]: row[1] for row in connection.execute("DESCRIBE " + SQL[name]).fetchall()}
     assert {c: DUCK_TYPES[t] for c, t in df.dtypes} == types
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [node for node in UNWANTED if node in plan]
     assert difference(df.toPandas(), connection.execute(SQL[name]).fetch_df()) is None
 
 

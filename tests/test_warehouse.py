@@ -5,11 +5,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from stayledger import session
 from stayledger.operators import dimensions, facts
 from stayledger.operators.filters import WIDE_COLUMNS, apply_filters
-from stayledger.operators.numbering import number_rows
+from stayledger.operators.numbering import number_rows, with_sequence
 from stayledger.plans.warehouse_build import build_from_csv, csv_landing_for, warehouse_for
-from stayledger.session import shared_folder
 from stayledger.sources.booking_schema import RAW_COLUMNS
 from stayledger.sources.csv_bookings import read_booking_csv
 from stayledger.sources.warehouse_store import Warehouse
@@ -136,6 +136,21 @@ def test_numbering_spreads_copies(spark, tmp_path):
     assert copies.select(F.shiftright("_sequence", 33).alias("part")).distinct().count() > 1
 
 
+def test_partitions_grow_with_the_scan(spark, tables_folder, monkeypatch):
+    lines = spark.read.parquet(f"{tables_folder}/lineitem.parquet")
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    assert session.shuffle_width(lines) is None
+    monkeypatch.setattr(session, "PARTITION_BYTES", 5000)
+    width = session.shuffle_width(lines)
+    assert width > int(before)
+    with session.shuffles_sized_for(lines):
+        assert spark.conf.get(key) == str(width)
+    assert spark.conf.get(key) == before
+    ranged = with_sequence(lines.select("l_orderkey"), ["l_orderkey"], "n", width)
+    assert ranged.rdd.getNumPartitions() == width
+
+
 def test_missing_shared_folder_is_an_error_on_a_cluster(monkeypatch):
     class Context:
         master = "yarn"
@@ -151,7 +166,7 @@ def test_missing_shared_folder_is_an_error_on_a_cluster(monkeypatch):
         conf, sparkContext = Conf(), Context()
 
     with pytest.raises(RuntimeError):
-        shared_folder(Session())
+        session.shared_folder(Session())
 
 
 def test_csv_landing_is_reused(spark, tables_folder):

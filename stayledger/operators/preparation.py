@@ -6,7 +6,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .quantiles import exact_quantile, most_frequent
+from .quantiles import exact_quantiles, most_frequent
 
 HEX_STEP = 3  # hash digits resolved per pass: 4096 bins per label
 SMALL_BIN = 10_000
@@ -14,7 +14,7 @@ SMALL_BIN = 10_000
 
 def impute_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     """Replace missing numbers by the exact median of their column."""
-    medians = {c: exact_quantile(df, c, 0.5) for c in columns}
+    medians = exact_quantiles(df, columns, 0.5)
     return df.fillna({c: m for c, m in medians.items() if m is not None})
 
 

@@ -14,36 +14,65 @@ MAX_RANKED_VALUES = 100_000
 _SKETCH_ACCURACY = 10_000
 
 
-def _order_statistics(counts: DataFrame, below: int, low_rank: int, high_rank: int) -> tuple[float, float]:
-    """Values at two 0-based ranks from (value, rows) counts of at most MAX_RANKED_VALUES distinct values."""
-    upto = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumn("_upto", F.sum("rows").over(upto) + F.lit(below))
-    found = ranked.agg(
-        F.min(F.when(F.col("_upto") > low_rank, F.col("value"))).alias("low"),
-        F.min(F.when(F.col("_upto") > high_rank, F.col("value"))).alias("high"),
-    ).first()
-    return found["low"], found["high"]
-
-
 def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
     """Linearly interpolated quantile of the non-null values; ``None`` when there are none."""
-    values = df.select(F.col(column).cast("double").alias("value")).filter(F.col("value").isNotNull())
+    return exact_quantiles(df, [column], q)[column]
+
+
+def exact_quantiles(df: DataFrame, columns: list[str], q: float) -> dict[str, float | None]:
+    """The same quantile of several columns. Columns with few distinct values, the usual case, share two passes."""
+    data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     margin = 2.0 / _SKETCH_ACCURACY
     probes = [max(0.0, q - margin), min(1.0, q + margin)]
-    stats = values.agg(
-        F.count("value").alias("n"),
-        F.min("value").alias("least"),
-        F.max("value").alias("most"),
-        F.percentile_approx("value", probes, _SKETCH_ACCURACY).alias("near"),
-        F.approx_count_distinct("value").alias("distinct"),
+    stats = data.agg(
+        *[
+            F.struct(
+                F.count(c).alias("n"),
+                F.min(c).alias("least"),
+                F.max(c).alias("most"),
+                F.percentile_approx(c, probes, _SKETCH_ACCURACY).alias("near"),
+                F.approx_count_distinct(c).alias("distinct"),
+            ).alias(c)
+            for c in columns
+        ]
     ).first()
-    n = stats["n"]
-    if n == 0:
-        return None
-    position = q * (n - 1)
-    low_rank, high_rank = math.floor(position), math.ceil(position)
+    known = [c for c in columns if stats[c]["n"]]
+    positions = {c: q * (stats[c]["n"] - 1) for c in known}
+    few = [c for c in known if stats[c]["distinct"] <= MAX_RANKED_VALUES // 2]
+    found = _ranked_together(data, few, positions) if few else {}
+    for c in set(known) - set(few):
+        values = data.select(F.col(c).alias("value")).filter(F.col("value").isNotNull())
+        found[c] = _bracketed(values, stats[c], math.floor(positions[c]), math.ceil(positions[c]))
+    result: dict[str, float | None] = dict.fromkeys(columns)
+    for c, (low, high) in found.items():
+        result[c] = low + (high - low) * (positions[c] - math.floor(positions[c]))
+    return result
+
+
+def _at_ranks(upto: str, low_rank: int, high_rank: int, condition=None):
+    """Smallest values whose running count passes two 0-based ranks."""
+    chosen = F.col("value") if condition is None else F.when(condition, F.col("value"))
+    return [F.min(F.when(F.col(upto) > rank, chosen)) for rank in (low_rank, high_rank)]
+
+
+def _ranked_together(data: DataFrame, columns: list[str], positions: dict[str, float]) -> dict[str, tuple[float, float]]:
+    """Rank the value counts of several columns; a window partition holds the distinct values of one column."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
+    counts = data.select(F.inline(pairs)).filter("value IS NOT NULL").groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
+    order = Window.partitionBy("column").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumn("_upto", F.sum("rows").over(order))
+    wanted = []
+    for c in columns:
+        bounds = _at_ranks("_upto", math.floor(positions[c]), math.ceil(positions[c]), F.col("column") == c)
+        wanted.append(F.array(*bounds).alias(c))
+    row = ranked.agg(*wanted).first()
+    return {c: tuple(row[c]) for c in columns}
+
+
+def _bracketed(values: DataFrame, stats, low_rank: int, high_rank: int) -> tuple[float, float]:
+    """Values at two 0-based ranks of a column with many distinct values."""
     least, most = stats["least"], stats["most"]
-    low, high = stats["near"] if stats["distinct"] > MAX_RANKED_VALUES // 2 else (least, most)
+    low, high = stats["near"]
     while True:
         below = 0
         if (low, high) != (least, most):
@@ -56,8 +85,9 @@ def exact_quantile(df: DataFrame, column: str, q: float) -> float | None:
         counts = inside.groupBy("value").agg(F.count(F.lit(1)).alias("rows")).persist()
         try:
             if counts.count() <= MAX_RANKED_VALUES:
-                lower, upper = _order_statistics(counts, below, low_rank, high_rank)
-                return lower + (upper - lower) * (position - low_rank)
+                order = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+                ranked = counts.withColumn("_upto", F.sum("rows").over(order) + F.lit(below))
+                return tuple(ranked.agg(*_at_ranks("_upto", low_rank, high_rank)).first())
         finally:
             counts.unpersist()
         low, high = _narrow(inside, low, high, below, low_rank, high_rank)

@@ -25,6 +25,17 @@ def test_exact_quantile(spark, monkeypatch, limit, shape):
         assert quantiles.exact_quantile(df, "x", q) == pytest.approx(np.quantile(values, q), rel=1e-12)
 
 
+def test_several_columns_at_once(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "MAX_RANKED_VALUES", 100)
+    rng = np.random.default_rng(4)
+    few, many = rng.integers(0, 9, 4000).astype(float), rng.normal(size=4000)
+    rows = [(float(a), float(b), None, None if i % 2 else float(i % 8)) for i, (a, b) in enumerate(zip(few, many))]
+    out = quantiles.exact_quantiles(spark.createDataFrame(rows, "few double, many double, none double, half double"), ["few", "many", "none", "half"], 0.75)
+    expected = {"few": np.quantile(few, 0.75), "many": np.quantile(many, 0.75), "half": np.quantile(np.arange(0, 4000, 2) % 8, 0.75)}
+    assert out.pop("none") is None
+    assert out == pytest.approx(expected)
+
+
 def test_quantile_of_nothing(spark):
     assert quantiles.exact_quantile(spark.createDataFrame([(None,)], "x double"), "x", 0.5) is None
 

@@ -3,13 +3,16 @@ production, to its whole table. The contract columns come first; more may follow
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from ..session import shared_folder
+from . import bpe, token_files
 
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -21,5 +24,11 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_digests(read(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
 
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = f"{shared_folder(spark)}/token-files-{uuid.uuid4().hex}"
+    token_files.write_token_files(read(spark, folder, "documents"), WORD_TOKENIZER, 1, files)
+    return token_files.read_token_files(spark, files).drop("ids")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}

@@ -2,6 +2,31 @@
 
 from __future__ import annotations
 
+# The level of the targets is found from running sums in order of cap / weight; documents are in order of their key.
+OP6 = r"""
+WITH d AS (
+  SELECT doc_id, source, md5(coalesce(text, '')) AS tie, len(coalesce(text, '')) AS chars,
+         CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size,
+         (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+  FROM documents),
+k AS (SELECT doc_id, source, size, tie,
+             -ln(u) / CASE WHEN size > 0 THEN 1.0::DOUBLE / (1.0::DOUBLE + abs(chars::DOUBLE / size::DOUBLE - 6.0::DOUBLE)) ELSE 1.0 END AS key FROM d),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM k GROUP BY source),
+w AS (SELECT source, source_size, (source_size * 3)::DOUBLE AS cap,
+             ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS weight FROM s),
+l AS (SELECT *, ((SELECT sum(source_size) FROM s)::DOUBLE - coalesce(sum(cap) OVER before, 0))
+             / ((SELECT sum(weight) FROM w) - coalesce(sum(weight) OVER before, 0)) AS level
+      FROM w WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT min(cap / weight) AS free FROM l WHERE level * weight <= cap),
+t AS (SELECT source, source_size, least(cap, coalesce((SELECT min(level) FROM l WHERE cap / weight = (SELECT free FROM f)) * weight, cap)) AS target FROM l),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM t),
+p AS (SELECT doc_id, source, size, coalesce(sum(size) OVER (
+        PARTITION BY source ORDER BY key, doc_id NULLS LAST, tie ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM k)
+SELECT p.doc_id, p.size, e.source_size, e.target,
+       (e.epochs * p.size + least(p.size, greatest(0, floor(e.target) - e.epochs * e.source_size - p.before)))::BIGINT AS taken
+FROM p JOIN e ON p.source IS NOT DISTINCT FROM e.source
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_source_mix": OP6}

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_folder
-from . import bpe, token_files
+from . import bpe, language, mixing, token_files
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -24,6 +24,15 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_digests(read(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
 
+def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(read(spark, folder, "documents"))
+
+
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return language.identify(docs, language.learn(docs)).select("doc_id", "held_out", "lang_pred", "score", "mean_match")
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = f"{shared_folder(spark)}/token-files-{uuid.uuid4().hex}"
     token_files.write_token_files(read(spark, folder, "documents"), WORD_TOKENIZER, 1, files)

@@ -28,5 +28,28 @@ FROM p JOIN e ON p.source IS NOT DISTINCT FROM e.source
 """
 
 
+# Windows of 1, 2, 4 and 8 lines that have words; those with 8 words and an earlier equal window are deleted.
+OP5 = r"""
+WITH raw AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+every AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM raw),
+counted AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM every),
+w AS (SELECT doc_id, line, i, words, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS pos FROM counted WHERE words > 0),
+runs AS (
+  SELECT doc_id, pos, n, sum(words) OVER ahead AS words, list(line) OVER ahead AS content, count(*) OVER ahead AS found
+  FROM w, (VALUES (1), (2), (4), (8)) AS sizes(n)
+  WINDOW ahead AS (PARTITION BY doc_id, n ORDER BY pos RANGE BETWEEN CURRENT ROW AND n - 1 FOLLOWING)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n, content ORDER BY doc_id, pos) AS copy FROM runs WHERE found = n),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + n)) AS pos FROM ranked WHERE copy > 1 AND words >= 8),
+flagged AS (SELECT w.doc_id, w.i, w.pos, gone.pos IS NOT NULL AS deleted FROM w LEFT JOIN gone ON w.doc_id = gone.doc_id AND w.pos = gone.pos),
+starts AS (SELECT *, deleted AND NOT coalesce(lag(deleted) OVER (PARTITION BY doc_id ORDER BY pos), false) AS starting FROM flagged),
+per_doc AS (SELECT doc_id, count(*) FILTER (WHERE deleted) AS n_removed, count(*) FILTER (WHERE starting) AS n_runs FROM starts GROUP BY doc_id),
+kept AS (SELECT e.doc_id, string_agg(e.line, chr(10) ORDER BY e.i) AS text
+         FROM every e LEFT JOIN flagged f ON e.doc_id = f.doc_id AND e.i = f.i WHERE NOT coalesce(f.deleted, false) GROUP BY e.doc_id)
+SELECT raw.doc_id, coalesce(len(raw.lines), 0)::BIGINT AS n_lines, coalesce(per_doc.n_removed, 0)::BIGINT AS n_removed,
+       coalesce(per_doc.n_runs, 0)::BIGINT AS n_runs, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM raw LEFT JOIN per_doc USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_source_mix": OP6}
+    return {"op5_line_runs": OP5, "op6_source_mix": OP6}

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_folder
-from . import bpe, language, mixing, token_files
+from . import bpe, language, line_runs, mixing, token_files
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -24,6 +24,10 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_digests(read(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
 
+def op5_line_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return line_runs.line_report(read(spark, folder, "documents"))
+
+
 def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"))
 

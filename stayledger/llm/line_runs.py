@@ -18,10 +18,11 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators.numbering import number_rows
 from ..session import shared_folder
+from .keys import fingerprint
 from .mixing import WORD
 from .storage import written
 
@@ -31,12 +32,6 @@ _LINE_BITS = 31  # a position is the document's number above, the line's below
 KEPT, DELETED, WORDLESS = 0, 1, 2
 
 
-def fingerprint(*columns: Column) -> list[Column]:
-    """Two 64-bit hashes, taken in opposite order, so that both differ in what they start from."""
-    marked = [F.coalesce(F.xxhash64(c), F.lit(0)) for c in columns]
-    return [F.xxhash64(*columns, *[c.isNull() for c in columns]), F.xxhash64(F.lit(1), *marked[::-1], *columns[::-1])]
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     """The documents as one struct ``doc``, with two columns that identify doc_id and text."""
     one, two = fingerprint(F.col("doc_id"), F.col("text"))

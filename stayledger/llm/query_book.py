@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_folder
-from . import bpe, language, line_runs, mixing, near_text, token_files
+from . import bpe, cells, language, line_runs, mixing, near_text, token_files
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -41,6 +41,10 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs, language.learn(docs)).select("doc_id", "held_out", "lang_pred", "score", "mean_match")
 
 
+def op8_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return cells.near_vectors(read(spark, folder, "embeddings"))
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = f"{shared_folder(spark)}/token-files-{uuid.uuid4().hex}"
     token_files.write_token_files(read(spark, folder, "documents"), WORD_TOKENIZER, 1, files)

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_folder
-from . import bpe, cells, language, line_runs, mixing, near_text, token_files
+from . import bpe, cells, language, line_runs, mixing, near_text, posting_lists, token_files
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -20,6 +20,10 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_posting_lists(spark: SparkSession, folder: str) -> DataFrame:
+    return posting_lists.nearest(read(spark, folder, "embeddings"))
+
+
 def op2_near_text(spark: SparkSession, folder: str) -> DataFrame:
     return near_text.near_duplicates(read(spark, folder, "documents"))
 

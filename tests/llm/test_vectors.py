@@ -5,7 +5,9 @@ import numpy as np
 import pytest
 
 from stayledger.llm import cells
+from stayledger.llm import posting_lists
 from stayledger.llm.cells import near_vectors
+from stayledger.llm.posting_lists import nearest
 
 
 def rows_of(n=700, d=8, seed=1):
@@ -60,3 +62,55 @@ def test_nothing_to_compare(spark):
     assert near_vectors(table).collect() == []
     table = spark.createDataFrame([(1, None), (2, [])], "vec_id long, embedding array<float>")
     assert sorted(map(tuple, near_vectors(table).collect())) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+def exact_nearest(rows, every=20, k=20):
+    usable = [r for r in rows if r[0] is not None and good(r[1])]
+    out = {}
+    for query in usable:
+        if query[0] % every == 0:
+            scored = sorted((-math.fsum(x * y for x, y in zip(query[1], r[1])), r[0]) for r in usable if r[0] != query[0])
+            out[query[0]] = [(i, -s) for s, i in scored[:k]]
+    return out
+
+
+def _answers(found):
+    out = {}
+    for row in sorted(found, key=lambda r: (r.query_id, r.rank)):
+        out.setdefault(row.query_id, []).append((row.vec_id, row.score))
+        assert row.rank == len(out[row.query_id])
+    return out
+
+
+def test_nearest_is_exact_where_all_lists_are_searched(spark, monkeypatch):
+    monkeypatch.setattr(posting_lists, "BLOCK", 200)
+    rows = [r for r in rows_of() if r[0] != 5 and not (r[1] and any(abs(x or 0) > 1e100 for x in r[1] if x and math.isfinite(x)))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, node string, cell int")
+    got, want = _answers(nearest(table.repartition(4)).collect()), exact_nearest(rows)
+    assert got.keys() == want.keys()
+    right = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert right >= 0.97 * sum(map(len, want.values()))
+    for q in want:
+        for (i, s), (j, t) in zip(got[q], want[q]):
+            assert s <= t + 1e-9
+            if i == j:
+                assert s == pytest.approx(t)
+
+
+def test_few_candidates_and_ties(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (40, [0.0, 2.0]), (7, None)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert _answers(nearest(table).collect()) == {0: [(1, 1.0), (2, 1.0), (40, 0.0)], 40: [(0, 0.0), (1, 0.0), (2, 0.0)]}
+    assert nearest(table.limit(0)).collect() == []
+    many = spark.createDataFrame([(i, [3.0, 4.0]) for i in range(500)], "vec_id long, embedding array<float>")
+    found = _answers(nearest(many).collect())
+    assert found[0] == [(i, 25.0) for i in range(1, 21)] and found[480] == [(i, 25.0) for i in range(20)]
+
+
+def test_recall(spark):
+    pick = np.random.default_rng(9)
+    rows = [(i, v.tolist()) for i, v in enumerate(pick.normal(size=(6000, 24)))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got, want = _answers(nearest(table, every=100).collect()), exact_nearest(rows, 100)
+    right = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert right >= 0.9 * 20 * len(want)

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_folder
-from . import bpe, cells, language, line_runs, mixing, near_text, posting_lists, token_files
+from . import bpe, cells, language, line_runs, mixing, near_text, posting_lists, run_index, token_files
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -28,6 +28,10 @@ def op2_near_text(spark: SparkSession, folder: str) -> DataFrame:
     return near_text.near_duplicates(read(spark, folder, "documents"))
 
 
+def op3_run_index(spark: SparkSession, folder: str) -> DataFrame:
+    return run_index.without_repeats(read(spark, folder, "documents")).drop("kept")
+
+
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_digests(read(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_folder
-from . import bpe, cells, language, line_runs, mixing, near_text, posting_lists, run_index, token_files
+from . import bpe, cells, context_mixing, language, line_runs, mixing, near_text, posting_lists, run_index, token_files
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -53,6 +53,10 @@ def op8_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return cells.near_vectors(read(spark, folder, "embeddings"))
 
 
+def op9_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return context_mixing.score(read(spark, folder, "documents"))
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = f"{shared_folder(spark)}/token-files-{uuid.uuid4().hex}"
     token_files.write_token_files(read(spark, folder, "documents"), WORD_TOKENIZER, 1, files)

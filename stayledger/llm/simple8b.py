@@ -25,12 +25,14 @@ def pack(values: np.ndarray) -> np.ndarray:
     n = len(values)
     if not n:
         return np.zeros(0, np.uint64)
-    place = np.arange(n)
+    width = np.zeros(n + 60, np.int8)  # bits of each value; what follows the last one counts as zeros
+    width[:n] = np.frexp(values.astype(np.float64))[1]
     selector = np.zeros(n, np.int64)
     for code, (count, bits) in LAYOUTS.items():
-        # the first place from here on whose value is too wide, the end of the values if there is none
-        wide = np.minimum.accumulate(np.where(values >> np.uint64(bits) != 0, place, n + 60)[::-1])[::-1]
-        selector[(selector == 0) & (wide - place >= count)] = code
+        wide = np.zeros(n + 61, np.int32)
+        np.cumsum(width > bits, out=wide[1:])
+        fits = wide[count : count + n] == wide[:n]
+        selector[fits & (selector == 0)] = code
     step = _COUNTS[selector].tolist()
     starts, at = [], 0
     while at < n:
@@ -43,8 +45,11 @@ def pack(values: np.ndarray) -> np.ndarray:
     padded = np.concatenate([values, np.zeros(60, np.uint64)])
     for code, (count, bits) in LAYOUTS.items():
         here = np.flatnonzero(chosen == code)
-        for k in range(count if len(here) else 0):
-            words[here] |= padded[starts[here] + k] << np.uint64(4 + k * bits)
+        if len(here):
+            first, filled = starts[here], np.full(len(here), code, np.uint64)
+            for k in range(count):
+                filled |= padded[first + k] << np.uint64(4 + k * bits)
+            words[here] = filled
     if escaped.any():
         words = np.insert(words, np.flatnonzero(escaped) + 1, values[starts[escaped]])
     return words

@@ -18,6 +18,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ from . import simple8b
 
 BLOCK_IDS = 1 << 16
 FRAME_WORDS = 1024
+WORD_END = "</w>"  # the mark on a token that closes a word
 KEPT_WORDS = 400_000  # per generation of a worker's cache
 _PLAIN = re.compile(r"([^\W\d_]+)([.,;:!?]*)")
 
@@ -37,9 +39,8 @@ BLOCK_SCHEMA = "part int, block int, doc_ids array<long>, counts array<long>, fr
 class WordEncoder:
     """Ids of texts by a tokenizer that drops white space and lets no token cross it.
 
-    Words repeat, so each is looked up first. A word of letters with punctuation behind it is two pre-tokens, which
-    are kept apart; ASCII letters are lower-cased before, as the tokenizer would. Anything else goes to the library as
-    it stands.
+    Words repeat, so each is looked up first. Letters with punctuation behind them are two pre-tokens, which are kept
+    apart; ASCII letters are lower-cased before, as the tokenizer would. Anything else goes to the library as it stands.
     """
 
     def __init__(self, path: str) -> None:
@@ -47,16 +48,20 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
+        vocabulary = self._library.get_vocab()
+        self._closing = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._closing[[number for token, number in vocabulary.items() if token.endswith(WORD_END)]] = True
         self._words: dict[bytes, bytes] = {}
         self._old: dict[bytes, bytes] = {}
         self._parts: dict[str, bytes] = {}
+        self._old_parts: dict[str, bytes] = {}
 
     def encode_many(self, texts: list[str]) -> Iterator[np.ndarray]:
         for at in range(0, len(texts), 1000):
             yield from self._encode([text.encode().split() for text in texts[at : at + 1000]])
 
     def _encode(self, texts: list[list[bytes]]) -> Iterator[np.ndarray]:
-        absent = {word for words in texts for word in words if word not in self._words}
+        absent = set(chain.from_iterable(texts)).difference(self._words)
         moved = absent.intersection(self._old)
         self._words.update((word, self._old[word]) for word in moved)
         self._learn(list(absent - moved))
@@ -64,23 +69,45 @@ class WordEncoder:
         for words in texts:
             yield np.frombuffer(b"".join(map(known, words)), "<u4")
         if len(self._words) > KEPT_WORDS:
-            self._words, self._old, self._parts = {}, self._words, {}
+            self._words, self._old = {}, self._words
+        if len(self._parts) > KEPT_WORDS:
+            self._parts, self._old_parts = {}, self._parts
 
     def _learn(self, words: list[bytes]) -> None:
-        split = {}
+        """Look up new words: letters and the punctuation behind them by themselves, other words as they stand."""
+        plain, other = {}, []
         for word in words:
             text = word.decode()
-            plain = _PLAIN.fullmatch(text)
-            if plain and plain[1].isalpha():
-                core = plain[1].lower() if plain[1].isascii() else plain[1]
-                split[word] = (core, plain[2]) if plain[2] else (core,)
+            found = _PLAIN.fullmatch(text)
+            if found and found[1].isalpha():
+                core = found[1]
+                plain[word] = (core.lower() if core.isascii() else core, found[2])
             else:
-                split[word] = (text,)
-        fresh = list({part for parts in split.values() for part in parts}.difference(self._parts))
-        for part, found in zip(fresh, self._library.encode_batch(fresh, add_special_tokens=False)):
-            self._parts[part] = np.array(found.ids, "<u4").tobytes()
-        for word, parts in split.items():
-            self._words[word] = b"".join(map(self._parts.__getitem__, parts))
+                other.append(text)
+        fresh = {part for parts in plain.values() for part in parts}.difference(self._parts)
+        fresh.discard("")
+        moved = fresh.intersection(self._old_parts)
+        self._parts.update((part, self._old_parts[part]) for part in moved)
+        fresh -= moved
+        self._encode_parts(list(fresh))
+        known = self._parts
+        self._words.update((word, known[core] + known[rest] if rest else known[core]) for word, (core, rest) in plain.items())
+        for text, ids in zip(other, self._library.encode_batch(other, add_special_tokens=False)):
+            self._words[text.encode()] = np.array(ids.ids, "<u4").tobytes()
+
+    def _encode_parts(self, parts: list[str]) -> None:
+        """Many pre-tokens in one call: the last id of each closes a word, which tells them apart. If their number is
+        not right, the library cuts one of them differently, and each is encoded by itself."""
+        for at in range(0, len(parts), 1000):
+            some = parts[at : at + 1000]
+            ids = np.array(self._library.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self._closing[ids]) + 1
+            if len(ends) == len(some):
+                data, borders = ids.tobytes(), [0, *(ends * 4).tolist()]
+                self._parts.update((part, data[a:b]) for part, a, b in zip(some, borders, borders[1:]))
+            else:
+                for part, found in zip(some, self._library.encode_batch(some, add_special_tokens=False)):
+                    self._parts[part] = np.array(found.ids, "<u4").tobytes()
 
 
 @lru_cache(maxsize=1)

@@ -235,3 +235,17 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*kept, "held_out", *added])
 
     return rows.mapInArrow(run, result.schema)
+
+
+def in_known_language(docs: DataFrame, model: Model, least_match: float) -> DataFrame:
+    """The rows of ``docs`` whose text is in a learned language: not ``und``, and matched over ``least_match`` symbols a
+    phrase by its best language. No column is added or looked at but ``text``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = shared.value.predict(batch.column(at).to_pylist())
+            yield batch.filter(pa.array([name != UNKNOWN and match >= least_match for name, _, match in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -4,7 +4,8 @@ Spark brings together the places that can match. In every window of ``SPAN`` byt
 the window's anchor; equal windows have equal anchors in the same place, so windows only need to be compared within an
 anchor. Neighbouring windows with one anchor form a context, at most 2 * SPAN bytes long. An anchor seen once, which is
 nearly all text that is not repeated, settles its windows without looking at them again, and so does a context that
-occurs twice as a whole.
+occurs twice as a whole. Of the 368 other bytes of a window at least half lie on one side of its anchor, so a context is also
+settled if no other has the same ``HALF`` bytes before the anchor, and none the same ones after it.
 
 What is left, contexts that differ but share an anchor, is highly repetitive. A task sorts the suffixes of such
 contexts, takes the Burrows-Wheeler transform, and keeps of it the runs: at the first and last suffix of each run the
@@ -34,6 +35,7 @@ from .storage import written
 
 SPAN = 400
 GRAM = 32  # bytes of the k-gram; a power of two
+HALF = (SPAN - GRAM) // 2
 CHUNK = 1 << 20  # window starts hashed together
 BATCH = 1 << 21
 MOST_CONTEXTS = 4096
@@ -92,8 +94,9 @@ def window_anchors(hashes: np.ndarray) -> np.ndarray:
 
 
 def contexts(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
-    """Arrays (text, start, count, anchor, one, two): runs of ``count`` windows from byte ``start`` of a text that share an
-    anchor, with the anchor's hash and two hashes of the bytes that the windows cover."""
+    """Arrays (text, start, count, anchor, one, two, left, right): runs of ``count`` windows from byte ``start`` of a text
+    that share an anchor, with the anchor's hash, two hashes of the bytes that the windows cover, and the hashes of
+    ``HALF`` bytes on either side of the anchor (masked where no window reaches as far)."""
     pieces, size = [], 0
     for number, text in enumerate(texts):
         for start in range(0, max(0, len(text) - SPAN + 1), CHUNK):
@@ -121,10 +124,15 @@ def _contexts(pieces: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
     head = np.flatnonzero(new)
     count = np.diff(np.append(head, len(starts)))
     begin = starts[head]
-    one, two = (Prefix(codes, k).of(begin, begin + count + SPAN - 1) for k in (0, 1))
+    end, gram = begin + count + SPAN - 1, anchor[head]
+    prefixes = [Prefix(codes, k) for k in (0, 1)]
+    one, two = (prefix.of(begin, end).view(np.int64) for prefix in prefixes)
+    before, after = np.maximum(gram - HALF, 0), np.minimum(gram + GRAM + HALF, len(codes))
+    left = np.ma.array(prefixes[0].of(before, gram).view(np.int64), mask=gram - HALF < begin)
+    right = np.ma.array(prefixes[0].of(gram + GRAM, after).view(np.int64), mask=gram + GRAM + HALF > end)
     number = np.array([p[0] for p in pieces])[owner[head]]
     offset = np.array([p[1] for p in pieces])[owner[head]] + within[head]
-    return number, offset, count, hashes[anchor[head]].view(np.int64), one.view(np.int64), two.view(np.int64)
+    return number, offset, count, hashes[gram].view(np.int64), one, two, left, right
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
@@ -234,10 +242,11 @@ def _all_contexts(keyed: DataFrame) -> DataFrame:
             texts = [text.encode() for text in batch.column(2).to_pylist()]
             for number, *found in contexts(texts):
                 owner = batch.select(_KEYS).take(pa.array(number))
-                yield pa.RecordBatch.from_arrays([*owner.columns, *map(pa.array, found)], [*_KEYS, "start", "count", "anchor", "one", "two"])
+                columns = [pa.array(f.data, mask=np.ma.getmaskarray(f)) if np.ma.isMaskedArray(f) else pa.array(f) for f in found]
+                yield pa.RecordBatch.from_arrays([*owner.columns, *columns], [*_KEYS, "start", "count", "anchor", "one", "two", "left", "right"])
 
     rows = keyed.filter(F.octet_length("text") >= SPAN).select(*_KEYS, "text")
-    return rows.mapInArrow(run, "k1 long, k2 long, start long, count long, anchor long, one long, two long")
+    return rows.mapInArrow(run, "k1 long, k2 long, start long, count long, anchor long, one long, two long, left long, right long")
 
 
 def _with_bytes(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -312,13 +321,19 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
     shared = anchors.select(F.struct("anchor").alias("at"), (F.col("low") != F.col("high")).alias("several"))
     rows = written(every.withColumn("at", F.struct("anchor")).join(shared, "at").drop("at"), "shared-contexts")
     kinds = ["anchor", "one", "two", "count"]
-    distinct = rows.groupBy(*kinds).agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct(*_KEYS, "start")).alias("at"), F.first("several").alias("several"))
+    first = [F.first(name).alias(name) for name in ("several", "left", "right")]
+    distinct = rows.groupBy(*kinds).agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct(*_KEYS, "start")).alias("at"), *first)
     distinct = written(distinct, "distinct-contexts")
     copied = distinct.filter("copies > 1").select(F.struct(*kinds).alias("kind"))
     whole = rows.withColumn("kind", F.struct(*kinds)).join(copied, "kind", "left_semi")
     spans = whole.select(*_KEYS, "start", (F.col("start") + F.col("count") + SPAN - 1).alias("end"))
 
     several = distinct.filter("several")
+    for side in ("left", "right"):
+        halves = several.groupBy("anchor", side).agg(F.count(F.lit(1)).alias("n")).filter(F.col(side).isNotNull() & (F.col("n") > 1))
+        same = halves.select(F.struct("anchor", side).alias("on"), F.lit(True).alias(f"same_{side}"))
+        several = several.withColumn("on", F.struct("anchor", side)).join(same, "on", "left").drop("on")
+    several = written(several.filter("same_left OR same_right"), "open-contexts")
     groups = several.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts"), F.min("copies").alias("least")).filter("contexts > 1 AND least = 1")
     open_ = several.withColumn("on", F.struct("anchor")).join(groups.select(F.struct("anchor").alias("on"), "contexts"), "on")
     wanted = open_.select("anchor", "at.k1", "at.k2", "at.start", "count", "copies")

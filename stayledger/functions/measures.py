@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def percent(flag: str | Column) -> Column:
-    """Mean of a 0/1 flag in percent."""
+def exact_percent(flag: str | Column) -> Column:
+    """Mean of a 0/1 flag in percent, as rankings need it."""
     column = F.col(flag) if isinstance(flag, str) else flag
-    return F.round(F.avg(column) * 100, 6)
+    return F.avg(column) * 100
+
+
+def percent(flag: str | Column) -> Column:
+    """Mean of a 0/1 flag in percent, rounded for display."""
+    return F.round(exact_percent(flag), 6)
 
 
 def rows() -> Column:

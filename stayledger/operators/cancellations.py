@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import buckets
-from ..functions.measures import mean_where, percent, rows
+from ..functions.measures import exact_percent, mean_where, percent, rows
 from .trends import by_bucket, by_category, by_month
 
 
@@ -24,13 +24,19 @@ def cancellation_kpis(df: DataFrame) -> DataFrame:
 
 
 def cancel_by_lead_time(df: DataFrame) -> DataFrame:
-    rates = by_bucket(df, "lead_time", buckets.LEAD_TIME, "lead_time_bucket", *_rate_and_count())
-    return rates.withColumn("count", F.coalesce("count", F.lit(0))).orderBy("bucket_order")
+    return _exact_by_lead_time(df).drop("exact_rate").orderBy("bucket_order")
+
+
+def _exact_by_lead_time(df: DataFrame) -> DataFrame:
+    exact = exact_percent("is_canceled").alias("exact_rate")
+    rates = by_bucket(df, "lead_time", buckets.LEAD_TIME, "lead_time_bucket", *_rate_and_count(), exact)
+    return rates.withColumn("count", F.coalesce("count", F.lit(0)))
 
 
 def cancel_by(df: DataFrame, name: str) -> DataFrame:
     """Cancellation rate and bookings per value, highest rate first."""
-    return by_category(df, name, *_rate_and_count()).orderBy(F.desc("cancellation_rate"), name)
+    rates = by_category(df, name, *_rate_and_count(), exact_percent("is_canceled").alias("exact_rate"))
+    return rates.orderBy(F.desc("exact_rate"), name).drop("exact_rate")
 
 
 def cancel_trend(df: DataFrame) -> DataFrame:
@@ -52,11 +58,11 @@ def mean_by_status(df: DataFrame, value: str) -> DataFrame:
 
 def worst_lead_bucket(df: DataFrame) -> DataFrame:
     """Lead-time bucket with the highest cancellation rate."""
-    rates = cancel_by_lead_time(df)
-    return rates.orderBy(F.desc_nulls_last("cancellation_rate"), "bucket_order").limit(1)
+    return _exact_by_lead_time(df).orderBy(F.desc_nulls_last("exact_rate"), "bucket_order").limit(1).drop("exact_rate")
 
 
 def worst(df: DataFrame, name: str) -> DataFrame:
+    """Value with the highest cancellation rate, compared before rounding."""
     return cancel_by(df, name).limit(1)
 
 

@@ -28,7 +28,7 @@ def customer_rollup(df: DataFrame) -> DataFrame:
         F.min("reservation_status_date").alias("first_date"),
         F.max("reservation_status_date").alias("last_date"),
     )
-    last_day = df.agg(F.max("reservation_status_date").alias("last_day")).scalar()
+    last_day = history.agg(F.max("last_date").alias("last_day")).scalar()
     span = F.date_diff("last_date", "first_date")
     return history.withColumns(
         {

@@ -73,8 +73,14 @@ def with_derived_measures(rows: DataFrame) -> DataFrame:
 
 
 def booking_facts(numbered: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
-    """Facts from numbered raw bookings. ``arrival_year`` only serves the file layout."""
-    keyed = with_default_key(with_foreign_keys(numbered, dimensions))
-    return with_derived_measures(keyed).select(
-        "booking_id", *KEY_COLUMNS, *MEASURES, *DERIVED, F.col("arrival_date_year").alias(YEAR_PARTITION)
-    )
+    """Facts from numbered raw bookings, with the year of their date member.
+
+    That is the booking's own year, null included; a booking without a date member has the year of the member it is
+    pointed to. So ``arrival_year`` stands for the dimension's ``year`` in every query, and lays out the files.
+    """
+    found = with_foreign_keys(numbered, dimensions)
+    dates = dimensions["date_dim"]
+    default_year = dates.filter(F.col("date_key") == MISSING_MEMBER_KEY).select("year").first()
+    year = F.when(F.col("date_key").isNull(), F.lit(default_year.year if default_year else None)).otherwise(F.col("arrival_date_year"))
+    keyed = with_default_key(found.withColumn(YEAR_PARTITION, year.cast("bigint")))
+    return with_derived_measures(keyed).select("booking_id", *KEY_COLUMNS, *MEASURES, *DERIVED, YEAR_PARTITION)

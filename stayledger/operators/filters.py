@@ -64,6 +64,9 @@ def filter_options(hotels: DataFrame, years: DataFrame, customers: DataFrame) ->
     return reduce(DataFrame.unionByName, choices + limits).orderBy("filter_name", "option")
 
 
-def booking_detail(df: DataFrame, limit: int = 100) -> DataFrame:
+DETAIL_ROWS = 100
+
+
+def booking_detail(df: DataFrame, limit: int = DETAIL_ROWS) -> DataFrame:
     """The first bookings for display."""
     return df.select("booking_id", *DETAIL_COLUMNS).orderBy("booking_id").limit(limit)

@@ -13,9 +13,14 @@ SMALL_BIN = 10_000
 
 
 def impute_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Replace missing numbers by the exact median of their column."""
-    medians = exact_quantiles(df, columns, 0.5)
-    return df.fillna({c: m for c, m in medians.items() if m is not None})
+    """Replace missing numbers by the exact median of their column.
+
+    A column of whole numbers or booleans comes back as double, since its median may lie between two of them. A column
+    without any number stays as it is.
+    """
+    as_double = df.withColumns({c: F.col(c).cast("double") for c in columns})
+    medians = exact_quantiles(as_double, columns, 0.5)
+    return as_double.fillna({c: m for c, m in medians.items() if m is not None})
 
 
 def impute_category(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -95,10 +100,13 @@ def stratified_parts(
     """Assign every row to a named part so that each label is divided in the given shares, to the nearest row.
 
     Rows are taken in the order of a hash of their id, so the assignment does not depend on partitioning and can be
-    repeated anywhere. Exact borders come from counts per hash prefix instead of a window over all rows.
+    repeated anywhere. Exact borders come from counts per hash prefix instead of a window over all rows. A row without
+    label belongs to no part, so it is an error.
     """
     hashed = df.select(row_id, label).withColumn("_hash", row_hash(row_id, seed))
     sizes = {r[label]: r["n"] for r in hashed.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per label
+    if None in sizes:
+        raise ValueError(f"{sizes[None]} rows have no {label}")
     steps = list(accumulate(shares.values()))[:-1]
     ranks = {}
     for value, n in sizes.items():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.measures import mean_money, mean_where, percent, rows, rows_where, total_value
+from ..functions.measures import exact_percent, mean_money, mean_where, percent, rows, rows_where, total_value
 from ..functions.risk import value_segment
 from .quantiles import exact_quantile
 from .trends import by_category
@@ -45,8 +45,9 @@ def retention_kpis(df: DataFrame) -> DataFrame:
 
 def retention_by(df: DataFrame, name: str) -> DataFrame:
     """Repeat rate and bookings per value, highest rate first."""
-    rates = by_category(df, name, percent("is_repeated_guest").alias("repeat_rate"), rows().alias("booking_count"))
-    return rates.orderBy(F.desc("repeat_rate"), name)
+    figures = percent("is_repeated_guest").alias("repeat_rate"), rows().alias("booking_count")
+    rates = by_category(df, name, *figures, exact_percent("is_repeated_guest").alias("exact_rate"))
+    return rates.orderBy(F.desc("exact_rate"), name).drop("exact_rate")
 
 
 def operational_kpis(df: DataFrame) -> DataFrame:

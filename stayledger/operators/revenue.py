@@ -57,9 +57,9 @@ def seasons_by_revenue(df: DataFrame) -> DataFrame:
 
 
 def top_rooms(df: DataFrame, n: int = 3) -> DataFrame:
-    """Room types with the highest mean rate."""
-    rooms = by_category(df, "reserved_room_type", *_revenue_measures())
-    return rooms.orderBy(F.desc("avg_adr"), "reserved_room_type").limit(n)
+    """Room types with the highest mean rate, compared before rounding."""
+    rooms = by_category(df, "reserved_room_type", *_revenue_measures(), mean_money("adr").alias("exact_adr"))
+    return rooms.orderBy(F.desc("exact_adr"), "reserved_room_type").limit(n).drop("exact_adr")
 
 
 def top_stays(df: DataFrame, n: int = 3) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import reliable_checkpoint
 
+ROWS_IN_PART = 1_000_000  # what one task sorts
+
 
 def running_totals_descending(df: DataFrame, order: str, amounts: list[str]) -> DataFrame:
     """Add ``upto_<amount>``: the sum over all rows with an ``order`` value at least as high. ``order`` is unique.
@@ -13,7 +15,10 @@ def running_totals_descending(df: DataFrame, order: str, amounts: list[str]) ->
     Range partitions are kept in the shared folder, so the totals of the partitions and the sums inside them see the
     same cuts. The only unpartitioned window works on one row per partition.
     """
-    ranged = reliable_checkpoint(df.repartitionByRange(F.desc(order)).withColumn("_part", F.spark_partition_id()))
+    once = reliable_checkpoint(df)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = max(usual, -(-once.count() // ROWS_IN_PART))
+    ranged = reliable_checkpoint(once.repartitionByRange(width, F.desc(order)).withColumn("_part", F.spark_partition_id()))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy("_part").agg(*[F.sum(a).alias(f"_{a}") for a in amounts])
     offsets = totals.select("_part", *[F.coalesce(F.sum(f"_{a}").over(before), F.lit(0)).alias(f"_before_{a}") for a in amounts])

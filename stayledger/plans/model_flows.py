@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import classifiers, demand, evaluation, forecasting
 from ..operators.churn import with_churn_label
 from ..operators.filters import CANCELLATION_COLUMNS, CHURN_COLUMNS
-from ..operators.preparation import impute_category, stratified_parts
+from ..operators.preparation import impute_category, impute_numeric, stratified_parts
 from ..operators.segments import segment_recommendations, with_risk_value_segment
 from ..sources.warehouse_store import Warehouse
 
@@ -47,12 +47,18 @@ class Trained:
         return evaluation.roc_curve(self.scored, self.label, self.probability)
 
 
+def filled(data: DataFrame, numeric: list[str], categories: list[str]) -> DataFrame:
+    """Missing numbers replaced by their column's median, missing texts by the most frequent one."""
+    return impute_category(impute_numeric(data, numeric), categories)
+
+
 def cancellation_data(house: Warehouse) -> DataFrame:
-    """Features with missing countries filled, and the part each booking belongs to. Written once, as a fit passes
-    over them many times."""
+    """Features without gaps, and the part each booking belongs to. Written once, as a fit passes over them many
+    times."""
 
     def build() -> DataFrame:
-        data = impute_category(house.star(*CANCELLATION_COLUMNS), ["country"])
+        wide = house.derived("cancellation_rows", lambda: house.star(*CANCELLATION_COLUMNS))
+        data = filled(wide, classifiers.CANCELLATION_NUMERIC, classifiers.CANCELLATION_CATEGORIES)
         return stratified_parts(data, "is_canceled", TEST_SHARE)
 
     return house.derived("cancellation_data", build)
@@ -64,7 +70,13 @@ def labelled_bookings(house: Warehouse) -> DataFrame:
 
 
 def churn_data(house: Warehouse) -> DataFrame:
-    return stratified_parts(impute_category(labelled_bookings(house), ["country"]), "is_churned", TEST_SHARE)
+    """Churn features without gaps, and the part each booking belongs to."""
+
+    def build() -> DataFrame:
+        data = filled(labelled_bookings(house), classifiers.CHURN_NUMERIC, classifiers.CHURN_CATEGORIES)
+        return stratified_parts(data, "is_churned", TEST_SHARE)
+
+    return house.derived("churn_data", build)
 
 
 def train_cancellation(house: Warehouse, **options) -> Trained:
@@ -85,7 +97,7 @@ def train_churn(house: Warehouse, **options) -> Trained:
 
 def loyalty_recommendations(house: Warehouse, model: PipelineModel) -> DataFrame:
     """Score every booking for churn, segment by risk and value, and attach recommendations."""
-    data = impute_category(house.star(*CHURN_COLUMNS), ["country"])
+    data = filled(house.star(*CHURN_COLUMNS), classifiers.CHURN_NUMERIC, classifiers.CHURN_CATEGORIES)
     scored = classifiers.score(model, data, "churn_probability")
     return segment_recommendations(with_risk_value_segment(scored))
 

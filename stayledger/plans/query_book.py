@@ -151,7 +151,9 @@ def queries() -> dict[str, Query]:
         "filter_options": _on_warehouse(
             lambda h: filters.filter_options(h.table("hotel_dim"), h.table("date_dim"), h.table("customer_dim"))
         ),
-        "booking_detail": _on_columns(filters.booking_detail, "booking_id", *filters.DETAIL_COLUMNS),
+        "booking_detail": _on_warehouse(
+            lambda h: filters.booking_detail(h.star("booking_id", *filters.DETAIL_COLUMNS, first=filters.DETAIL_ROWS))
+        ),
         # Booking trends
         "monthly_bookings": _on_columns(trends.monthly_bookings, "year", "month"),
         "seasonal_bookings": _on_columns(trends.seasonal_bookings, "season"),

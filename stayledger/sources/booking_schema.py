@@ -42,8 +42,12 @@ RAW_COLUMNS = {
     "reservation_status_date": "date",
 }
 
-# Text that stands for a missing value.
-NULL_TOKENS = ["", "NULL", "null", "NA", "N/A", "n/a", "NaN", "nan", "None", "<NA>", "#N/A"]
+# Text that stands for a missing value (the default tokens of pandas 1.5).
+NULL_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "n/a", "nan", "null",
+]
+
 
 def typed(name: str) -> T.DataType:
     """Spark type of a raw column."""

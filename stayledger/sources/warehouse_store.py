@@ -99,29 +99,28 @@ class Warehouse:
         finally:
             kept.unpersist()
 
-    def star(self, *columns: str) -> DataFrame:
+    def star(self, *columns: str, first: int | None = None) -> DataFrame:
         """Fact columns and dimension attributes by name.
 
-        Only dimensions that own a requested column are joined. Every booking has a member in every dimension, so
-        leaving a dimension out keeps the rows the same. ``year`` is also matched against the fact's partition
-        column, which turns a filter on it into partition pruning.
+        Only dimensions that own a requested column are joined, by key alone. Every booking has a member in every
+        dimension, so leaving a dimension out keeps the rows the same. ``year`` is the fact's partition column, which
+        equals the date member's year: it needs no join, and a filter on it prunes partitions. With ``first``, only that
+        many bookings, in order of their number, are looked up.
         """
         wanted = list(columns)
-        owners = [name for name, owned in ATTRIBUTES.items() if set(owned) & set(wanted)]
+        owners = [name for name, owned in ATTRIBUTES.items() if (set(owned) - {"year"}) & set(wanted)]
         keys = [DIMENSIONS[name][0] for name in owners]
         unknown = set(wanted) - set(FACT_COLUMNS) - {c for owned in ATTRIBUTES.values() for c in owned}
         if unknown:
             raise ValueError(f"unknown columns: {sorted(unknown)}")
         fact_columns = [c for c in FACT_COLUMNS if c in wanted or c in keys]
-        rows = self.table("booking_fact").select(*fact_columns, YEAR_PARTITION)
+        facts = self.table("booking_fact")
+        if first is not None:
+            facts = facts.orderBy("booking_id").limit(first)
+        rows = facts.select(*fact_columns, F.col(YEAR_PARTITION).alias("year"))
         for name, key in zip(owners, keys):
-            attributes = [c for c in ATTRIBUTES[name] if c in wanted]
-            if name == "date_dim":
-                members = self.table(name).select(key, F.col("year").alias("_year"), *[c for c in attributes if c != "year"])
-                on = (rows[key] == members[key]) & (rows[YEAR_PARTITION] == members["_year"])
-                rows = rows.join(members, on).drop(members[key]).withColumnRenamed("_year", "year")
-            else:
-                rows = rows.join(self.table(name).select(key, *attributes), key)
+            attributes = [c for c in ATTRIBUTES[name] if c in wanted and c != "year"]
+            rows = rows.join(self.table(name).select(key, *attributes), key)
         return rows.select(*wanted)
 
     def row_counts(self) -> DataFrame:

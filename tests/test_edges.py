@@ -180,6 +180,24 @@ def test_mode_median_and_scaling(spark):
     assert x.mean() == pytest.approx(0) and x.std() == pytest.approx(1) and labels(scaled, F.col("k")) == [0.0, 0.0, 0.0]
 
 
+def test_median_of_whole_numbers_is_not_cut(spark):
+    df = spark.createDataFrame([(3, True), (4, True), (None, None)], "n int, b boolean").coalesce(1)
+    filled = preparation.impute_numeric(df, ["n", "b"]).collect()
+    assert sorted(r.n for r in filled) == [3.0, 3.5, 4.0] and [r.b for r in filled] == [1.0] * 3
+
+
+def test_rows_without_label_are_refused(spark):
+    df = spark.createDataFrame([(1, 0), (2, None)], "booking_id long, y int")
+    with pytest.raises(ValueError, match="1 rows have no y"):
+        preparation.stratified_parts(df, "y", {"test": 0.5, "train": 0.5})
+
+
+def test_rankings_compare_before_rounding(spark):
+    rows = spark.range(20_000_000).select(F.lit("a").alias("market_segment"), F.lit(0).alias("is_canceled"))
+    rows = rows.unionAll(spark.range(300_000_000).select(F.lit("b"), (F.col("id") == 7).cast("int")))
+    assert cancellations.worst(rows, "market_segment").first().market_segment == "b"
+
+
 def test_value_border_belongs_to_high(spark):
     df = spark.createDataFrame([(1.0, 1), (2.0, 1), (3.0, 1), (3.0, 1), (3.0, 1)], "adr double, total_stay_nights long")
     assert with_value_segment(df).filter("value_segment = 'High Value'").count() == 3

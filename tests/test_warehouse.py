@@ -11,7 +11,7 @@ from stayledger.operators.filters import WIDE_COLUMNS, apply_filters
 from stayledger.operators.numbering import number_rows, with_sequence
 from stayledger.plans.warehouse_build import build_from_csv, csv_landing_for, warehouse_for
 from stayledger.sources.booking_schema import RAW_COLUMNS
-from stayledger.sources.csv_bookings import read_booking_csv
+from stayledger.sources.csv_bookings import damaged_cells, read_booking_csv
 from stayledger.sources.warehouse_store import Warehouse
 
 BOOKING = {
@@ -64,7 +64,7 @@ def test_csv_null_tokens(spark, tmp_path):
 def test_csv_reads_only_wanted_columns(spark, tmp_path):
     (tmp_path / "one.csv").write_text(csv_text({}))
     plan = read_booking_csv(spark, str(tmp_path / "one.csv")).select("adr")._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<adr:double>" in plan
+    assert "ReadSchema: struct<adr:string>" in plan
 
 
 def test_null_country_is_one_member_and_found(small):
@@ -203,3 +203,51 @@ def test_cached_star(house):
     with house.cached_star("year", "hotel_name", "is_canceled", hotel="City Hotel") as kept:
         assert kept.is_cached and kept.count() == kept.filter("hotel_name = 'City Hotel'").count()
     assert not kept.is_cached
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    lines = csv_text({"country": "PRT", "market_segment": "Online"}).splitlines()
+    at, to = list(RAW_COLUMNS).index("country"), list(RAW_COLUMNS).index("market_segment")
+    swapped = []
+    for line in lines:
+        cells = line.split(",")
+        cells[at], cells[to] = cells[to], cells[at]
+        swapped.append(",".join([*cells, "more"]))
+    (tmp_path / "swapped.csv").write_text("\n".join(swapped) + "\n")
+    (tmp_path / "plain.csv").write_text("\n".join(lines) + "\n")
+    found = read_booking_csv(spark, str(tmp_path / "swapped.csv")).first()
+    assert found == read_booking_csv(spark, str(tmp_path / "plain.csv")).first() and found.country == "PRT"
+    (tmp_path / "short.csv").write_text("hotel,adr\nx,1\n")
+    with pytest.raises(ValueError, match="is_canceled"):
+        read_booking_csv(spark, str(tmp_path / "short.csv"))
+
+
+def test_csv_damage_is_counted_and_large_ids_survive(spark, tmp_path):
+    source = tmp_path / "odd.csv"
+    source.write_text(csv_text({"lead_time": "3.7", "agent": 9007199254740993}, {"lead_time": "12.0", "adr": "x"}, {"adr": "#NA", "country": "None"}))
+    rows = read_booking_csv(spark, str(source)).select("lead_time", "agent", "adr", "country").collect()
+    assert [r.lead_time for r in rows] == [None, 12, 10] and rows[0].agent == 9007199254740993
+    assert rows[1].adr is None and rows[2].adr is None and rows[2].country == "None"
+    damaged = {r.column_name: r.damaged for r in damaged_cells(spark, str(source)).collect() if r.damaged}
+    assert damaged == {"lead_time": 1, "adr": 1}
+
+
+def test_star_keeps_every_booking_whatever_is_asked(spark, tmp_path):
+    source = tmp_path / "years.csv"
+    source.write_text(csv_text(*({"lead_time": i, "arrival_date_year": "?" if i % 5 == 0 else 2015 + i % 2} for i in range(10))))
+    house = build_from_csv(spark, str(source), str(tmp_path / "years"), ["lead_time"])
+    for columns in (["lead_time"], ["lead_time", "season"], ["year"], ["year", "month", "season"], ["lead_time", "hotel_name", "country"]):
+        assert house.star(*columns).count() == 10
+    assert sorted(str(r.year) for r in house.star("year", "full_date").collect()) == sorted(["None"] * 2 + ["2015"] * 4 + ["2016"] * 4)
+
+
+def test_bookings_without_a_date_member_take_the_default(spark, small):
+    from stayledger.operators.dimensions import DIMENSIONS
+    from stayledger.operators.facts import booking_facts
+
+    tables = {name: small.table(name) for name in DIMENSIONS}
+    dates = tables["date_dim"]
+    tables["date_dim"] = dates.filter("date_key = 1").withColumn("year", F.col("year") - 3)
+    facts = booking_facts(small.raw_bookings(), tables)
+    year = tables["date_dim"].first().year
+    assert {r.arrival_year for r in facts.collect()} == {year} and facts.count() == small.table("booking_fact").count()

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import buckets
 from ..functions.risk import high_risk
 from ..session import shared_folder
-from .preparation import stratified_parts
+from .preparation import row_hash, stratified_parts
 
 # Feature columns.
 SHARED_NUMERIC = [
@@ -85,23 +85,38 @@ def _feature_stages(numeric: list[str], categories: list[str], one_hot: bool = T
     ]
 
 
-def _bins(one_hot: bool, most_categories: int) -> int:
-    """Tree bins: the default, unless whole categories have to fit into them."""
-    return 32 if one_hot else max(32, most_categories + 1)
+def _bins(train: DataFrame, categories: list[str], one_hot: bool) -> int:
+    """Tree bins: the default, unless whole categories have to fit into them, unseen values included."""
+    if one_hot:
+        return 32
+    most = train.agg(*[F.count_distinct(c).alias(c) for c in categories]).first()
+    return max(32, max(most) + 1)
+
+
+def bounded(train: DataFrame, most_rows: int | None, row_id: str = "booking_id", seed: int = 42) -> DataFrame:
+    """At most ``most_rows`` labelled rows, those with the smallest hash of their id; all of them without a bound.
+
+    Only the fit is bounded: splitting, scoring and evaluation go over all rows.
+    """
+    if most_rows is None:
+        return train
+    return train.orderBy(row_hash(row_id, seed), row_id).limit(most_rows)
 
 
 def fit_cancellation(
     train: DataFrame, trees: int = 100, depth: int = 20, min_leaf: int = 1, grid: dict[str, list[int]] | None = None,
-    parallelism: int = 4, one_hot: bool = True, most_categories: int = 1000,
+    parallelism: int = 4, one_hot: bool = True, most_rows: int | None = None,
 ) -> PipelineModel:
     """Random forest on ``is_canceled``. With ``grid`` (trees, depth, min_leaf), the best of a 3-fold search by ROC AUC.
+    ``most_rows`` bounds the labelled rows of the fit, see :func:`bounded`.
 
     Spark ML limits the depth to 30, which stands for "no limit", and has no minimum split size, so the full search
     has 12 combinations: trees 100 and 200, depth 10, 20 and 30, leaf size 1 and 2.
     """
+    train = bounded(train, most_rows)
     forest = RandomForestClassifier(
         labelCol="is_canceled", featuresCol="features", seed=42, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf,
-        maxBins=_bins(one_hot, most_categories),
+        maxBins=_bins(train, CANCELLATION_CATEGORIES, one_hot),
     )
     stages = _feature_stages(CANCELLATION_NUMERIC, CANCELLATION_CATEGORIES, one_hot)
     if grid is None:
@@ -138,13 +153,15 @@ def churn_features(with_leaking: bool = False) -> tuple[list[str], list[str]]:
 
 def fit_churn(
     train: DataFrame, rounds: int = 200, rate: float = 0.05, depth: int = 5, with_leaking: bool = False,
-    one_hot: bool = True, most_categories: int = 1000,
+    one_hot: bool = True, most_rows: int | None = None,
 ) -> PipelineModel:
-    """Gradient-boosted trees on ``is_churned``. The lineage of the rounds is cut in the shared checkpoint folder."""
+    """Gradient-boosted trees on ``is_churned``. The lineage of the rounds is cut in the shared checkpoint folder.
+    ``most_rows`` bounds the labelled rows of the fit, see :func:`bounded`."""
+    train = bounded(train, most_rows)
     shared_folder(train.sparkSession)
     boosted = GBTClassifier(
         labelCol="is_churned", featuresCol="features", seed=42, maxIter=rounds, stepSize=rate, maxDepth=depth,
-        maxBins=_bins(one_hot, most_categories),
+        maxBins=_bins(train, churn_features(with_leaking)[1], one_hot),
     )
     return Pipeline(stages=[*_feature_stages(*churn_features(with_leaking), one_hot), boosted]).fit(train)
 

@@ -12,6 +12,7 @@ from ..operators.churn import with_churn_label
 from ..operators.filters import CANCELLATION_COLUMNS, CHURN_COLUMNS
 from ..operators.preparation import impute_category, impute_numeric, stratified_parts
 from ..operators.segments import segment_recommendations, with_risk_value_segment
+from ..session import reliable_checkpoint
 from ..sources.warehouse_store import Warehouse
 
 TEST_SHARE = {"test": 0.2, "train": 0.8}
@@ -64,6 +65,21 @@ def cancellation_data(house: Warehouse) -> DataFrame:
     return house.derived("cancellation_data", build)
 
 
+LABEL_COLUMNS = [
+    "booking_id", "country", "adults", "children", "babies", "is_canceled", "is_repeated_guest", "reservation_status_date",
+    "booking_changes", "room_changed",
+]
+
+
+def churn_labels(house: Warehouse) -> DataFrame:
+    """booking_id, customer_id and is_churned of every booking, from the columns that decide it."""
+
+    def build() -> DataFrame:
+        return with_churn_label(house.star(*LABEL_COLUMNS)).select("booking_id", "customer_id", "is_churned")
+
+    return house.derived("churn_labels", build)
+
+
 def labelled_bookings(house: Warehouse) -> DataFrame:
     """Churn features with their label. Written once, as training passes over them many times."""
     return house.derived("labelled_bookings", lambda: with_churn_label(house.star(*CHURN_COLUMNS)))
@@ -83,7 +99,7 @@ def train_cancellation(house: Warehouse, **options) -> Trained:
     data = cancellation_data(house)
     train, test = data.filter("part = 'train'").drop("part"), data.filter("part = 'test'").drop("part")
     model = classifiers.fit_cancellation(train, **options)
-    scored = classifiers.score(model, test, "cancellation_probability")
+    scored = reliable_checkpoint(classifiers.score(model, test, "cancellation_probability"))  # each quality table reads it
     return Trained(model, scored, "is_canceled", "cancellation_probability")
 
 
@@ -91,7 +107,7 @@ def train_churn(house: Warehouse, **options) -> Trained:
     data = churn_data(house)
     train, test = data.filter("part = 'train'").drop("part"), data.filter("part = 'test'").drop("part")
     model = classifiers.fit_churn(train, **options)
-    scored = classifiers.score(model, test, "churn_probability")
+    scored = reliable_checkpoint(classifiers.score(model, test, "churn_probability"))
     return Trained(model, scored, "is_churned", "churn_probability")
 
 

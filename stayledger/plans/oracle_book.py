@@ -544,6 +544,13 @@ FROM predicted WHERE held_out AND predicted IS NOT NULL GROUP BY series_key""",
         ),
         "stratified_split": _wide(f"SELECT part, is_canceled AS label, count(*) AS count FROM ({SPLIT}) GROUP BY 1, 2"),
         "split_assignment": _wide(SPLIT),
+        "cancellation_holdout": _wide(f"SELECT booking_id, is_canceled AS label, true AS consistent FROM ({SPLIT}) WHERE part = 'test'"),
+        "churn_holdout": _labelled(
+            "SELECT booking_id, is_churned AS label, true AS consistent FROM (SELECT booking_id, is_churned, row_number() OVER "
+            "(PARTITION BY is_churned ORDER BY md5(booking_id || '-42')) <= floor(count(*) OVER (PARTITION BY is_churned) * 0.2::DOUBLE + 0.5) AS held "
+            "FROM labelled) WHERE held"
+        ),
+        "loyalty_total": _wide("SELECT count(*) AS bookings FROM wide"),
         "standardize": _wide(
             "SELECT booking_id, "
             + ", ".join(f"round(({c} - (SELECT avg({c}) FROM wide)) / (SELECT stddev_pop({c}) FROM wide), 6) AS {c}" for c in ("lead_time", "adr", "total_stay_nights", "total_guests"))

@@ -22,9 +22,8 @@ from .warehouse_build import csv_landing_for, warehouse_for
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Smaller fits than the defaults of the model functions, so that the whole book runs in minutes on one machine.
-QUICK_FOREST = {"trees": 20, "depth": 8}
-QUICK_BOOSTING = {"rounds": 20}
+# The registered fits have the full number of trees and rounds, on at most so many labelled rows.
+LABELLED_ROWS = 20_000
 SERIES_PARTS = ("hotel_name", "country", "meal_plan", "market_segment")
 
 
@@ -65,12 +64,7 @@ def _churn_scored(house: Warehouse) -> DataFrame:
 
 
 def _score_form(house: Warehouse) -> DataFrame:
-    asked = [
-        "booking_id", "hotel_name", "lead_time", "total_stay_nights", "market_segment", "distribution_channel",
-        "is_repeated_guest", "deposit_type", "customer_type", "adr", "total_of_special_requests", "booking_changes",
-        "required_car_parking_spaces",
-    ]
-    complete = classifiers.cancellation_form(house.star(*asked))
+    complete = classifiers.cancellation_form(house.star(*FORM_FIELDS))
     scored = complete.withColumn("cancellation_probability", F.col("lead_time") / 450.0)
     tiers = segments.risk_tiers(scored, "cancellation_probability", kind="cancellation")
     return tiers.withColumn("high_risk", risk.high_risk("cancellation_probability"))
@@ -95,11 +89,11 @@ def _hotel_outlook(house: Warehouse) -> DataFrame:
 
 
 def _trained_forest(house: Warehouse) -> model_flows.Trained:
-    return _fitted(house, "forest", lambda: model_flows.train_cancellation(house, **QUICK_FOREST))
+    return _fitted(house, "forest", lambda: model_flows.train_cancellation(house, most_rows=LABELLED_ROWS))
 
 
 def _trained_boosting(house: Warehouse) -> model_flows.Trained:
-    return _fitted(house, "boosting", lambda: model_flows.train_churn(house, **QUICK_BOOSTING))
+    return _fitted(house, "boosting", lambda: model_flows.train_churn(house, most_rows=LABELLED_ROWS))
 
 
 _models: dict[tuple[str, str], model_flows.Trained] = {}
@@ -118,6 +112,44 @@ def _importance(house: Warehouse) -> DataFrame:
     )
 
 
+def _churn_importance(house: Warehouse) -> DataFrame:
+    numeric, categories = classifiers.churn_features()
+    return classifiers.feature_importance(house.spark, _trained_boosting(house).model, numeric, categories)
+
+
+def _holdout(trained: model_flows.Trained) -> DataFrame:
+    """Every booking of the test part, and whether its prediction follows from a probability between 0 and 1."""
+    probability = F.col(trained.probability)
+    follows = probability.between(0, 1) & (F.col("prediction") == (probability > 0.5).cast("int"))
+    return trained.scored.select("booking_id", F.col(trained.label).alias("label"), follows.alias("consistent"))
+
+
+def _quality(name: str, trained: Callable[[Warehouse], model_flows.Trained]) -> dict[str, Query]:
+    """The quality tables of a fitted model on its test part."""
+    return {
+        f"{name}_metrics": _on_warehouse(lambda h: trained(h).metrics),
+        f"{name}_report": _on_warehouse(lambda h: trained(h).report),
+        f"{name}_confusion": _on_warehouse(lambda h: trained(h).confusion),
+        f"{name}_roc_auc": _on_warehouse(lambda h: trained(h).roc_auc),
+        f"{name}_roc_curve": _on_warehouse(lambda h: trained(h).roc_curve),
+    }
+
+
+FORM_FIELDS = [
+    "booking_id", "hotel_name", "lead_time", "total_stay_nights", "market_segment", "distribution_channel",
+    "is_repeated_guest", "deposit_type", "customer_type", "adr", "total_of_special_requests", "booking_changes",
+    "required_car_parking_spaces",
+]
+
+
+def _model_form(house: Warehouse) -> DataFrame:
+    """The fields a form asks for, completed, scored by the fitted forest, and turned into a tier with its actions."""
+    complete = classifiers.cancellation_form(house.star(*FORM_FIELDS))
+    scored = classifiers.score(_trained_forest(house).model, complete, "cancellation_probability")
+    tiers = segments.risk_tiers(scored, "cancellation_probability", kind="cancellation")
+    return tiers.select("booking_id", F.round("cancellation_probability", 6).alias("cancellation_probability"), "risk_level", "actions", "high_risk")
+
+
 def _scan_csv(spark: SparkSession, folder: str) -> DataFrame:
     return read_booking_csv(spark, csv_landing_for(spark, folder), extra=("booking_id",))
 
@@ -229,10 +261,8 @@ def queries() -> dict[str, Query]:
             lambda df: _rounded(churn.customer_rollup(churn.with_customer_id(df)), "cancel_rate", "avg_return_gap_days"),
             "country", "adults", "children", "babies", "is_canceled", "is_repeated_guest", "reservation_status_date",
         ),
-        "churn_label": _on_warehouse(
-            lambda h: model_flows.labelled_bookings(h).select("booking_id", "customer_id", "is_churned")
-        ),
-        "churn_summary": _on_warehouse(lambda h: churn.churn_summary(model_flows.labelled_bookings(h))),
+        "churn_label": _on_warehouse(model_flows.churn_labels),
+        "churn_summary": _on_warehouse(lambda h: churn.churn_summary(model_flows.churn_labels(h))),
         "churn_crosstab": _on_warehouse(
             lambda h: cancellations.crosstab(
                 model_flows.labelled_bookings(h),
@@ -306,9 +336,9 @@ def queries() -> dict[str, Query]:
         ),
         # Preparation and evaluation
         "impute_numeric": _on_warehouse(
-            lambda h: preparation.impute_numeric(h.raw_bookings().select("booking_id", "children", "agent", "company").withColumns(
-                {"agent": F.col("agent").cast("double"), "company": F.col("company").cast("double")}
-            ), ["children", "agent", "company"])
+            lambda h: preparation.impute_numeric(
+                h.raw_bookings().select("booking_id", "children", "agent", "company"), ["children", "agent", "company"]
+            )
         ),
         "impute_category": _on_columns(
             lambda df: preparation.impute_category(df, ["country", "market_segment"]), "booking_id", "country", "market_segment"
@@ -337,7 +367,16 @@ def queries() -> dict[str, Query]:
         "churn_scores": _on_warehouse(
             lambda h: _trained_boosting(h).scored.select("booking_id", F.col("churn_probability").alias("probability"), "prediction")
         ),
+        "cancellation_holdout": _on_warehouse(lambda h: _holdout(_trained_forest(h))),
+        "churn_holdout": _on_warehouse(lambda h: _holdout(_trained_boosting(h))),
+        **_quality("cancellation_model", _trained_forest),
+        **_quality("churn_model", _trained_boosting),
         "feature_importance": _on_warehouse(_importance),
+        "churn_feature_importance": _on_warehouse(_churn_importance),
+        "model_form_tiers": _on_warehouse(_model_form),
+        "loyalty_total": _on_warehouse(
+            lambda h: model_flows.loyalty_recommendations(h, _trained_boosting(h).model).agg(F.sum("customer_count").alias("bookings"))
+        ),
         "loyalty_recommendations": _on_warehouse(
             lambda h: model_flows.loyalty_recommendations(h, _trained_boosting(h).model)
         ),

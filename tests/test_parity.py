@@ -5,7 +5,9 @@ import pytest
 import __spark_entry__ as contract
 from parity import difference, duck
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+from stayledger.plans import oracle_book, query_book
+
+QUERIES, SQL = query_book.queries(), oracle_book.oracle_sql()
 DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
 
 
@@ -21,8 +23,10 @@ def test_every_sql_belongs_to_a_query():
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {
         "sarima_forecast", "sarima_metrics", "cancellation_scores", "churn_scores", "feature_importance",
-        "loyalty_recommendations",
+        "loyalty_recommendations", "churn_feature_importance", "model_form_tiers",
+        *(f"{kind}_model_{table}" for kind in ("cancellation", "churn") for table in ("metrics", "report", "confusion", "roc_auc", "roc_curve")),
     }
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -52,6 +56,20 @@ def test_importances(spark, tables_folder):
     assert top.importance.is_monotonic_decreasing
 
 
+def test_quality_of_the_fitted_models(spark, tables_folder):
+    for kind, positive in (("cancellation", "is_canceled"), ("churn", "is_churned")):
+        cells = QUERIES[f"{kind}_model_confusion"](spark, tables_folder).toPandas()
+        assert cells["count"].sum() == 1200, positive
+        metrics = QUERIES[f"{kind}_model_metrics"](spark, tables_folder).first().asDict()
+        assert all(0 <= value <= 1 for value in metrics.values() if value is not None)
+        assert 0.4 <= QUERIES[f"{kind}_model_roc_auc"](spark, tables_folder).first()[0] <= 1
+
+
+def test_form_to_tier(spark, tables_folder):
+    tiers = QUERIES["model_form_tiers"](spark, tables_folder).toPandas()
+    assert len(tiers) == 6000 and tiers.cancellation_probability.between(0, 1).all() and tiers.actions.str.len().gt(0).all()
+
+
 def test_loyalty_counts_every_booking(spark, tables_folder):
     assert QUERIES["loyalty_recommendations"](spark, tables_folder).toPandas().customer_count.sum() == 6000
 

@@ -10,7 +10,8 @@ the full sets.
 Pairs inside a bucket are not listed. First each member is compared with the bucket's smallest node only. Most groups of
 copies are one component after that and their buckets are done, since links inside a component change nothing. In
 buckets that still hold several components, the members outside the largest one are compared with all members of other
-components, in blocks of the bucket, and only pairs that pass the signature test become rows.
+components, in blocks of the bucket. The likeliest pair of a member and a component is verified first, more only where the
+two are still apart, until every pair that passes the signature test is verified or inside one component.
 
 Set hashes have 64 bits: with n different shingles or sets, two are taken for one with probability n^2 / 2^65.
 """
@@ -135,9 +136,11 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "one", "two").mapInArrow(run, "a long, b long")
 
 
-def _across(mixed: DataFrame) -> DataFrame:
-    """Pairs from buckets of several components: ``mixed`` has key, node, component, signature, is_query, block and
-    blocks. Every member is a target in its block; queries go to all blocks of their bucket."""
+def _across(mixed: DataFrame, most: int) -> DataFrame:
+    """Pairs (a, b, cut) from buckets of several components: ``mixed`` has key, node, component, signature, is_query,
+    block and blocks. Every member is a target in its block; queries go to all blocks of their bucket. Of a query's
+    likely pairs with one other component, the ``most`` with the most matches are given; ``cut`` says that there are
+    more."""
     targets = mixed.select("key", "block", "node", "component", "signature", F.lit(False).alias("asks"))
     queries = mixed.filter("is_query").select(
         "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "node", "component", "signature", F.lit(True).alias("asks")
@@ -147,15 +150,38 @@ def _across(mixed: DataFrame) -> DataFrame:
         signatures = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint32).reshape(-1, shingles.HASHES)
         node, component, asks = (table[name].to_numpy() for name in ("node", "component", "asks"))
         query, target = np.flatnonzero(asks), np.flatnonzero(~asks)
-        found: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
+        found: list[np.ndarray] = [np.zeros((0, 3), np.int64)]
         for q in query.tolist():
             other = target[component[target] != component[q]]
             hits = other[likely(np.broadcast_to(signatures[q], (len(other), shingles.HASHES)), signatures[other])]
-            found.append(np.column_stack([np.minimum(node[q], node[hits]), np.maximum(node[q], node[hits])]))
+            matches = (signatures[hits] == signatures[q]).sum(axis=1)
+            order = np.lexsort([node[hits], -matches, component[hits]])
+            hits = hits[order]
+            place = np.arange(len(hits)) - np.searchsorted(component[hits], component[hits])
+            size = np.searchsorted(component[hits], component[hits], side="right") - np.searchsorted(component[hits], component[hits])
+            hits, more = hits[place < most], (size > most)[place < most]
+            found.append(np.column_stack([np.minimum(node[q], node[hits]), np.maximum(node[q], node[hits]), more]))
         pairs = np.unique(np.concatenate(found), axis=0)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64()), "cut": pa.array(pairs[:, 2] > 0)})
 
-    return targets.unionAll(queries).groupBy("key", "block").applyInArrow(compare, "a long, b long").distinct()
+    found = targets.unionAll(queries).groupBy("key", "block").applyInArrow(compare, "a long, b long, cut boolean")
+    return found.groupBy("a", "b").agg(F.max("cut").alias("cut"))
+
+
+def _mixed_buckets(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with their blocks; those outside the largest one ask."""
+    labels = linked.select(F.struct("node").alias("of"), "component")
+    labelled = members.select("key", "node", F.struct("node").alias("of")).join(labels, "of", "left")
+    labelled = written(labelled.select("key", "node", F.coalesce("component", "node").alias("component")), "bucket-components")
+    sizes = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("all"), F.count(F.lit(1)).alias("kinds"))
+    several = largest.filter("kinds > 1").select(
+        F.struct("key").alias("at"), F.col("top.component").alias("main"), F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks")
+    )
+    spread = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int").alias("block")
+    return labelled.withColumn("at", F.struct("key")).join(several, "at").select(
+        "key", "node", "component", (F.col("component") != F.col("main")).alias("is_query"), spread, "blocks"
+    )
 
 
 def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -181,29 +207,27 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     chosen = written(chosen.select("node", "doc.k1", "doc.k2"), "chosen")
     own = signed.select("node", "k1", "k2", "signature").join(chosen, ["node", "k1", "k2"], "left_semi").dropDuplicates(["node"])
     signatures = written(own.select("node", "signature"), "node-signatures")
-    texts = keyed.join(chosen, ["k1", "k2"]).dropDuplicates(["node"]).select("node", "text")
+    # Merge joins at every size: a table of texts or sets is shuffled the same way on a small corpus as on a large one.
+    texts = keyed.join(chosen.hint("merge"), ["k1", "k2"]).dropDuplicates(["node"]).select("node", "text")
     sets = written(_sets(texts), "node-shingles")
 
     first = members.filter("first < node").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     links = written(_verified(written(_tested(first, signatures), "likely"), sets), "links")
     linked = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "components")
 
-    labelled = members.join(linked, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    labelled = written(labelled, "bucket-components")
-    sizes = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("all"), F.count(F.lit(1)).alias("kinds"))
-    several = largest.filter("kinds > 1").select(
-        F.struct("key").alias("at"), F.col("top.component").alias("main"), F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks")
-    )
-    spread = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int").alias("block")
-    mixed = labelled.withColumn("at", F.struct("key")).join(several, "at").select(
-        "key", "node", "component", (F.col("component") != F.col("main")).alias("is_query"), spread, "blocks"
-    )
-    pairs = written(_across(mixed.join(signatures, "node")), "likely-across")
-    fresh = pairs.join(first, ["a", "b"], "left_anti")
-    more = written(_verified(fresh, sets), "links-across")
-    if not more.isEmpty():
-        linked = written(components(links.unionAll(more).select(F.col("a").alias("u"), F.col("b").alias("v"))), "components")
+    tested, most = first, 1
+    while True:
+        # The likeliest pairs of a member with each other component first: one link is enough to join the two. What is
+        # left apart then is compared with more, until nothing likely is left out.
+        pairs = written(_across(_mixed_buckets(members, linked).join(signatures, "node"), most), "likely-across")
+        fresh = pairs.select("a", "b").join(tested, ["a", "b"], "left_anti")
+        more = written(_verified(fresh, sets), "links-across")
+        if not more.isEmpty():
+            links = links.unionAll(more)
+            linked = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "components")
+        if pairs.filter("cut").isEmpty():
+            break
+        tested, most = tested.unionAll(pairs.select("a", "b")), most * 16
     found = signed.select("id", "n", "node").withColumn("at", F.struct("node"))
     answer = found.join(linked.select(F.struct("node").alias("at"), "component"), "at", "left")
     return answer.select("id", "n", F.coalesce("component", F.col("node")).alias("component"))

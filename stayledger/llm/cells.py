@@ -100,7 +100,9 @@ def compare_blocks(table: pa.Table, cosine: float) -> pa.Table:
     table = table.sort_by("node")
     unit = _unit(vectors.matrix(table["vec"]))
     node, copies, home, cell, side = (table[name].to_numpy() for name in ("node", "copies", "home", "cell", "side"))
-    visits = table["visits"].to_pylist()
+    visited = table["visits"].to_pylist()
+    visits = np.zeros((len(node), max([int(home.max(initial=0)), *(max(v, default=0) for v in visited)]) + 1), bool)
+    visits[np.repeat(np.arange(len(node)), [len(v) for v in visited]), [c for v in visited for c in v]] = True
     left = np.flatnonzero(side == 0)
     right = np.flatnonzero(side == 1) if (side == 1).any() else left
     links = np.zeros(len(node), np.int64)
@@ -112,7 +114,7 @@ def compare_blocks(table: pa.Table, cosine: float) -> pa.Table:
         if right is left:
             fresh = a < b
         else:
-            twice = np.array([home[x] in visits[y] and home[y] in visits[x] for x, y in zip(a, b)], bool)
+            twice = visits[b, home[a]] & visits[a, home[b]]
             fresh = (home[a] == home[b]) | ~twice | (cell[a] == np.minimum(home[a], home[b]))
         a, b = a[fresh], b[fresh]
         np.add.at(links, a, copies[b])

@@ -4,8 +4,8 @@ and others 2021).
 Inner products are turned into Euclidean distances by one more coordinate, sqrt(M^2 - |x|^2) for vectors (M is the
 largest norm of all) and 0 for queries. Lists come from a balanced bisection of a bounded sample: each cut is at the
 median of the projection on the difference of two means, so all lists of the sample are equally long. Every vector is
-then put into its nearest list and, as a boundary vector, into up to ``COPIES`` - 1 others that are nearly as near,
-unless a list already chosen is closer to the other list than the vector is.
+then put into its nearest list and, as a boundary vector, into up to ``COPIES`` - 1 others that are nearly as near, unless
+the other list is close to one already chosen.
 
 The centroids (at most ``MOST_LISTS``) and a graph of their neighbours go to every executor. A query walks the graph,
 always expanding the nearest centroid seen, and takes all lists whose distance is within a ratio of the nearest one's. The
@@ -33,8 +33,11 @@ LIST = 256  # vectors wanted in a list
 MOST_LISTS = 16_384
 SHARD = 64
 BLOCK = 65_536  # vectors of a shard searched in one task
+QUERIES = 64  # queries of a block scored together
 COPIES = 4
+BEAM = 16  # nearest centroids that a vector's walk settles
 CLOSE = 1.15  # a boundary vector's other lists are at most this many times as far as its own
+SPREAD = 0.5  # a further list is taken if its distance from those already taken is at least so much of the vector's
 NEIGHBOURS = 16
 RECALL = 0.97
 TRIALS = 256  # queries on which the ratio is measured
@@ -75,7 +78,8 @@ class Index(NamedTuple):
 
     def search(self, points: np.ndarray, ratio: float, least: int) -> tuple[np.ndarray, np.ndarray]:
         """Distances to the centroids that each point's walk has seen (infinite for others), and which of these lie
-        within ``ratio`` times the nearest or are among the ``least`` nearest."""
+        within ``ratio`` times the nearest. A walk ends when all centroids within the ratio are expanded, or with
+        ``least`` over 1, when the ``least`` nearest are."""
         n, k = len(points), len(self.centroids)
         seen = np.full((n, k), np.inf)
         open_ = np.full((n, k), np.inf)  # distance of what is seen and not yet expanded
@@ -86,9 +90,10 @@ class Index(NamedTuple):
         while True:
             at = open_.argmin(axis=1)
             nearest = open_[every, at]
-            limit = ratio * seen.min(axis=1)
             if least > 1:
-                limit = np.maximum(limit, np.partition(seen, min(k, least) - 1, axis=1)[:, min(k, least) - 1])
+                limit = np.partition(seen, min(k, least) - 1, axis=1)[:, min(k, least) - 1]
+            else:
+                limit = ratio * seen.min(axis=1)
             live = np.flatnonzero(np.isfinite(nearest) & (nearest <= limit))
             if not len(live):
                 break
@@ -104,17 +109,20 @@ class Index(NamedTuple):
     def assign(self, rows: np.ndarray) -> list[np.ndarray]:
         """The lists of each vector, its nearest first."""
         points = self.lifted(rows, queries=False)
-        seen, close = self.search(points, CLOSE, COPIES)
+        seen, close = self.search(points, CLOSE, BEAM)
         out = []
         for distances, inside in zip(seen, close):
-            chosen: list[int] = []
             order = np.flatnonzero(inside)
-            for c in order[np.argsort(distances[order], kind="stable")].tolist():
-                if all(np.linalg.norm(self.centroids[c] - self.centroids[other]) >= distances[c] for other in chosen):
-                    chosen.append(c)
+            order = order[np.argsort(distances[order], kind="stable")][:BEAM]
+            around = self.centroids[order]
+            apart = np.linalg.norm(around[:, None, :] - around[None, :, :], axis=2)
+            chosen: list[int] = []
+            for i in range(len(order)):
+                if all(apart[i, j] >= SPREAD * distances[order[i]] for j in chosen):
+                    chosen.append(i)
                     if len(chosen) == COPIES:
                         break
-            out.append(np.array(chosen))
+            out.append(order[chosen])
         return out
 
     def probe(self, queries: np.ndarray) -> list[np.ndarray]:
@@ -189,31 +197,28 @@ def search_block(table: pa.Table, wanted: int) -> pa.Table:
     listed = table["lists"].combine_chunks()
     sizes = np.diff(listed.offsets.to_numpy())
     flat, owner = listed.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
-    kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for which in np.unique(flat[asks[owner]]):
-        inside = owner[flat == which]
-        queries, members = inside[asks[inside]], inside[~asks[inside]]
-        if not len(members):
-            continue
-        for start in range(0, len(queries), 256):
-            some = queries[start : start + 256]
-            scores = vec[some] @ vec[members].T
-            if len(members) > wanted:
-                border = np.partition(scores, len(members) - wanted, axis=1)[:, len(members) - wanted]
-                q, m = np.nonzero(scores >= border[:, None])
-            else:
-                q, m = np.nonzero(np.ones_like(scores, bool))
-            kept.append((some[q], members[m], scores[q, m]))
-    if not kept:
-        return pa.table({"asking": pa.array([], pa.int64()), "node": pa.array([], pa.int64()), "least_id": pa.array([], pa.int64())})
-    q, m = (np.concatenate([k[i] for k in kept]) for i in (0, 1))
-    q, m = np.unique(np.column_stack([q, m]), axis=0).T
-    scores = np.einsum("ij,ij->i", vec[q], vec[m])
-    order = np.lexsort([node[m], least_id[m], -scores, q])
-    q, m = q[order], m[order]
-    first = np.searchsorted(q, q)
-    best = np.arange(len(q)) - first < wanted
-    return pa.table({"asking": node[q[best]], "node": node[m[best]], "least_id": least_id[m[best]]})
+    everyone = np.flatnonzero(asks)
+    members = {int(c): owner[(flat == c) & ~asks[owner]] for c in np.unique(flat[asks[owner]])}
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    for start in range(0, len(everyone), QUERIES):
+        some = everyone[start : start + QUERIES]
+        scores = np.full((len(some), len(node)), -np.inf)
+        here = np.isin(owner, some)
+        for c in np.unique(flat[here]):
+            inside, row = members[int(c)], np.searchsorted(some, owner[here & (flat == c)])
+            if len(inside):
+                scores[np.ix_(row, inside)] = vec[some[row]] @ vec[inside].T
+        if len(node) > wanted:
+            border = np.partition(scores, len(node) - wanted, axis=1)[:, [len(node) - wanted]]
+            q, m = np.nonzero((scores >= border) & np.isfinite(scores))
+        else:
+            q, m = np.nonzero(np.isfinite(scores))
+        order = np.lexsort([node[m], least_id[m], -scores[q, m], q])
+        q, m = q[order], m[order]
+        best = np.arange(len(q)) - np.searchsorted(q, q) < wanted
+        parts.append((some[q[best]], m[best]))
+    q, m = (np.concatenate([np.zeros(0, np.int64), *(part[i] for part in parts)]) for i in (0, 1))
+    return pa.table({"asking": node[q], "node": node[m], "least_id": least_id[m]})
 
 
 def nearest(rows: DataFrame, every: int = 20, neighbours: int = 20, id: str = "vec_id", vector: str = "embedding") -> DataFrame:

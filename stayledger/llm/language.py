@@ -2,11 +2,13 @@
 
 A suffix automaton of each language's labelled text accepts exactly its substrings. Parsing a text greedily into
 longest matches gives a number of phrases; times the bits that point at one (log2 of the labelled text's length) and
-per character, that is the cross entropy of Ziv and Merhav. The language with the least wins.
+per character, that is the cross entropy of Ziv and Merhav. A letter that the labelled text lacks has to be spelled as
+well, with the bits of one letter of all. The language with the least wins.
 
 The automata are fitted on a bounded sample of labelled rows (``SAMPLE_DOCS`` documents a language, ``SAMPLE_CHARS``
-characters each, ``ALL_CHARS`` characters in all), so the table that goes to the executors has a fixed bound. Whole
-texts are then parsed, in lanes of ``LANE`` symbols that step through the automata side by side; a phrase ends with
+characters each, ``ALL_CHARS`` characters in all), so the table that goes to the executors has a fixed bound. Every
+letter of the sample has a symbol of its own: the most frequent have a column in a dense table, the steps of all others
+are in a sorted list. Whole texts are then parsed, in lanes of ``LANE`` symbols that step through the automata side by side; a phrase ends with
 its lane, whatever rows happen to share a batch. No rows are shuffled but those of the sample.
 """
 
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 SAMPLE_DOCS = 128
 SAMPLE_CHARS = 512
 ALL_CHARS = 400_000
-LETTERS = 60  # letters of the labelled texts that get a symbol of their own
+LETTERS = 60  # letters of the labelled texts that get a column in the dense table
 LANE = 1024
 GROUP = 1 << 21  # symbols parsed together
 UNKNOWN = "und"
@@ -50,7 +52,7 @@ def symbols(codes: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
     letter = _letters()[codes]
     at = np.searchsorted(alphabet, codes).clip(max=max(0, len(alphabet) - 1))
     known = alphabet[at] == codes if len(alphabet) else np.zeros(len(codes), bool)
-    out = np.where(letter, np.where(known, at + 3, _OTHER), _SPACE).astype(np.uint8)
+    out = np.where(letter, np.where(known, at + 3, _OTHER), _SPACE).astype(np.int32)
     keep = letter.copy()
     keep[1:] |= letter[:-1]  # the first of a run of others
     return out[keep]
@@ -87,16 +89,21 @@ class SuffixAutomaton:
                         at = link[at]
             last = state
 
-    def parser(self, size: int) -> np.ndarray:
-        """Table over state and symbol: where a greedy parse goes next, times 4, plus the phrases that end there.
+    def parser(self, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Table over state and column: where a greedy parse goes next, times 4, plus the phrases that end there. And
+        the steps of symbols that have no column (-1): state, symbol, next state.
 
         A dead end closes the phrase and starts the next one with the same symbol; a symbol that the labelled text
         lacks is a phrase by itself. Past the end nothing happens.
         """
-        table = np.full((len(self.edges), size), -1, np.int64)
+        table = np.full((len(self.edges), int(column.max()) + 1), -1, np.int64)
+        columns, others = column.tolist(), []
         for state, edges in enumerate(self.edges):
             for symbol, to in edges.items():
-                table[state, symbol] = to
+                if columns[symbol] >= 0:
+                    table[state, columns[symbol]] = to
+                else:
+                    others.append((state, symbol, to))
         table[:, _OTHER] = -1
         dead = table < 0
         from_root = np.broadcast_to(table[0], table.shape)
@@ -105,7 +112,7 @@ class SuffixAutomaton:
         alone = (from_root < 0).astype(np.int64)
         out = np.where(dead, np.maximum(from_root, 0) * 4 + ended + alone, table * 4)
         out[:, _END] = np.arange(len(table)) * 4
-        return out
+        return out, np.array(others, np.int64).reshape(-1, 3)
 
 
 class Model:
@@ -118,20 +125,47 @@ class Model:
         for parts in codes.values():
             for part in parts:
                 counts.update(part[_letters()[part]].tolist())
+        self.alphabet = np.array(sorted(counts), np.int64)
         often = sorted(counts, key=lambda code: (-counts[code], code))[:LETTERS]
-        self.alphabet = np.array(sorted(often), np.int64)
+        self.column = np.full(len(counts) + 3, -1, np.int64)  # in the table, of each symbol
+        self.column[:3] = range(3)
+        self.column[np.searchsorted(self.alphabet, sorted(often)) + 3] = np.arange(len(often)) + 3
         self.size = len(often) + 3
-        tables, self.roots, self.bits, rows = [], [], [], 0
-        for name in self.languages:
+        # Bytes of each symbol in UTF-8, by language; a letter that the language's sample lacks counts as one.
+        wide = [1, 1, 1, *(len(chr(code).encode("utf-8", "surrogatepass")) for code in self.alphabet.tolist())]
+        self.bytes = np.ones((len(self.languages), len(wide)), np.int64)
+        self.known = np.zeros(self.bytes.shape, bool)
+        tables, steps, self.roots, self.bits, rows = [], [], [], [], 0
+        for at, name in enumerate(self.languages):
             sequence: list[int] = []
             for part in codes[name]:
                 sequence += symbols(part, self.alphabet).tolist() + [_OTHER]
-            table = SuffixAutomaton(sequence).parser(self.size)
+            own = np.unique(np.array(sequence, np.int64))
+            self.bytes[at, own] = np.array(wide)[own]
+            self.known[at, own[own != _OTHER]] = True
+            table, others = SuffixAutomaton(sequence).parser(self.column)
             tables.append(((table >> 2) + rows) * self.size << 2 | table & 3)
+            steps.append(others + [rows, 0, rows])
             self.roots.append(rows * self.size)
             self.bits.append(float(np.log2(max(2, len(sequence)))))
             rows += len(table)
         self.table = np.concatenate(tables).ravel().astype(np.int32 if rows * self.size < 1 << 29 else np.int64) if tables else None
+        listed = np.concatenate([*steps, np.zeros((0, 3), np.int64)])
+        keys = listed[:, 0] * len(self.column) + listed[:, 1]
+        order = np.argsort(keys)
+        self.keys, self.goals = keys[order], listed[order, 2]
+
+    def _listed(self, state: np.ndarray, symbol: np.ndarray, root: np.ndarray) -> np.ndarray:
+        """What the table would hold for symbols without a column."""
+
+        def goal(row: np.ndarray) -> np.ndarray:
+            wanted = row * len(self.column) + symbol
+            at = np.searchsorted(self.keys, wanted).clip(max=len(self.keys) - 1)
+            return np.where(self.keys[at] == wanted, self.goals[at], -1)
+
+        on, again = goal(state.astype(np.int64) // self.size), goal(root.astype(np.int64) // self.size)
+        restart = np.where(again < 0, root, again * self.size) * 4 + (state != root) + (again < 0)
+        return np.where(on < 0, restart, on * self.size * 4)
 
     def phrases(self, parts: list[np.ndarray]) -> np.ndarray:
         """Phrases of each symbol sequence in each language."""
@@ -142,7 +176,10 @@ class Model:
         within = np.arange(int(lanes.sum())) - first[owner]
         length = np.minimum(LANE, sizes[owner] - within * LANE)
         order = np.argsort(-length, kind="stable")
-        flat = np.concatenate([*parts, np.zeros(0, np.uint8)])
+        flat = np.concatenate([*parts, np.zeros(0, np.int32)])
+        column = self.column[flat]
+        unlisted = column >= 0
+        listed_too = not unlisted.all()
         begin = ((np.cumsum(sizes) - sizes)[owner] + within * LANE)[order]
         length = length[order]
         roots = np.array(self.roots, self.table.dtype)[:, None]
@@ -151,7 +188,10 @@ class Model:
         live = np.searchsorted(-length, -np.arange(1, LANE + 1), side="right")
         for step in range(int(length[0]) if len(length) else 0):
             k = live[step]
-            found = self.table[state[:, :k] + flat[begin[:k] + step]]
+            at = begin[:k] + step
+            found = self.table[state[:, :k] + column[at]]
+            if listed_too and len(rest := np.flatnonzero(~unlisted[at])):
+                found[:, rest] = self._listed(state[:, rest], flat[at[rest]], np.broadcast_to(roots, (len(roots), len(rest))))
             state[:, :k] = found >> 2
             count[:, :k] += found & 3
         count += state != roots  # the phrase that the end of a lane cuts off
@@ -159,8 +199,10 @@ class Model:
         np.add.at(out, owner[order], count.T)
         return out
 
-    def predict(self, texts: list[str | None]) -> Iterator[tuple[str, float, float]]:
-        """(language, score, symbols per phrase) of each text."""
+    def predict(self, texts: list[str | None]) -> Iterator[tuple[str, float, float, float]]:
+        """(language, score, symbols per phrase, fit) of each text. The fit is the matched bytes per phrase, so that a
+        script of many letters, whose phrases have few, is measured like others; a text that is a single phrase of
+        learned letters fits without limit."""
         group: list[np.ndarray | None] = []
         size = 0
         for text in texts:
@@ -174,19 +216,22 @@ class Model:
         if group:
             yield from self._decide(group)
 
-    def _decide(self, group: list[np.ndarray | None]) -> Iterator[tuple[str, float, float]]:
+    def _decide(self, group: list[np.ndarray | None]) -> Iterator[tuple[str, float, float, float]]:
         known = [part for part in group if part is not None]
         counts = iter(self.phrases(known)) if known else iter(())
         for part in group:
             if part is None:
-                yield UNKNOWN, 0.0, 0.0
+                yield UNKNOWN, 0.0, 0.0, 0.0
                 continue
             phrases = next(counts)
-            cost = phrases * np.array(self.bits)
+            counts_of = np.bincount(part, minlength=len(self.column))
+            cost = phrases * np.array(self.bits) + ~self.known @ counts_of * np.log2(len(self.column))
             best = int(np.argmin(cost))  # the first by name among equals
             others = np.delete(cost, best)
             score = float(others.min() / (others.min() + cost[best])) if len(others) else 1.0
-            yield self.languages[best], score, float(len(part) / phrases[best])
+            whole = phrases[best] == 1 and bool(self.known[best, part].all())
+            fit = float("inf") if whole else float(self.bytes[best, part].sum() / phrases[best])
+            yield self.languages[best], score, float(len(part) / phrases[best]), fit
 
 
 def learn(docs: DataFrame) -> Model:
@@ -230,7 +275,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = list(shared.value.predict(batch.column("text").to_pylist()))
-            names, scores, matches = zip(*found) if found else ((), (), ())
+            names, scores, matches, _ = zip(*found) if found else ((), (), (), ())
             columns = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(matches, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*kept, "held_out", *added])
 
@@ -238,14 +283,14 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def in_known_language(docs: DataFrame, model: Model, least_match: float) -> DataFrame:
-    """The rows of ``docs`` whose text is in a learned language: not ``und``, and matched over ``least_match`` symbols a
-    phrase by its best language. No column is added or looked at but ``text``."""
+    """The rows of ``docs`` whose text is in a learned language: not ``und``, and with a fit (see ``Model.predict``) of
+    at least ``least_match`` in its best language. No column is added or looked at but ``text``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = shared.value.predict(batch.column(at).to_pylist())
-            yield batch.filter(pa.array([name != UNKNOWN and match >= least_match for name, _, match in found], pa.bool_()))
+            yield batch.filter(pa.array([name != UNKNOWN and match >= least_match for name, _, _, match in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

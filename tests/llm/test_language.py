@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import corpus_pipeline
 import numpy as np
 from test_pipeline import prose
 
@@ -72,3 +73,36 @@ def test_nothing_to_learn(spark):
     model = learn(docs)
     assert [(r.lang_pred, r.score) for r in identify(docs, model).collect()] == [("und", 0.0)]
     assert identify(docs.limit(0), model).collect() == []
+
+
+SCRIPTS = {"zh": [chr(0x4E00 + 7 * i) for i in range(400)], "ru": "что дом мир лес сад ение ость при жить щука".split(), "el": "και το λόγος ψυχή θεός ξένος".split()}
+
+
+def written_in(pick, lang):
+    if lang == "en":
+        return prose(pick, "en", 30)
+    end = "" if lang == "zh" else " "
+    return end.join("".join(pick.choice(SCRIPTS[lang]) for _ in range(pick.randrange(1, 4))) for _ in range(30))
+
+
+def test_phrases_of_letters_without_a_column(monkeypatch):
+    pick = random.Random(4)
+    texts = [*(written_in(pick, lang) for lang in ["en", *SCRIPTS] * 4), "the 丅 ж q", ""]
+    samples = {lang: [written_in(pick, lang) for _ in range(5)] for lang in ["en", *SCRIPTS]}
+    found = []
+    for letters in (0, 5, 60, 5000):  # 5000: all have a column
+        monkeypatch.setattr(language, "LETTERS", letters)
+        model = Model(samples)
+        found.append(model.phrases([symbols(language._codes(t), model.alphabet) for t in texts]).tolist())
+    assert found[0] == found[1] == found[2] == found[3]
+
+
+def test_scripts_of_many_letters(spark):
+    pick = random.Random(5)
+    langs = ["en", *SCRIPTS]
+    rows = [(i, written_in(pick, langs[i % 4]), langs[i % 4], "s", 0) for i in range(400)]
+    odd = [(900, "ქართული ენა", None, "s", 0), (901, "t", "en", "s", 0), (902, SCRIPTS["zh"][3], "zh", "s", 0), (903, "ქ", None, "s", 0)]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    found = identify(docs, learn(docs)).filter("held_out AND doc_id < 400").collect()
+    assert len(found) > 100 and all(r.lang_pred == r.lang for r in found)
+    assert {r.doc_id for r in docs.collect()} - {r.doc_id for r in corpus_pipeline.known_language(spark, docs, "").collect()} == {900, 903}

@@ -4,10 +4,11 @@ The corpus is one sequence of lines, in order of doc_id, that no match may leave
 by prefix doubling: groups of suffixes that agree on h lines are refined to 2h lines by the pair (group of i, group of
 i + h). A group is an interval of the suffix array whose longest common prefix is at least that long; it is named by
 its earliest suffix, which is the copy to keep, and a group of one leaves the computation. Every other suffix of a group
-starts a repeat of 1, 2, 4, ... lines. A repeat counts if it holds ``MIN_WORDS`` words, so that short lines alone are
-left in place, and the deleted lines are the union of the repeats. Lines without a word do not take part: they neither
-separate runs nor are deleted. As every other line has a word, a group that deep holds enough words however short its
-lines are, and longer runs are unions of those; doubling ends there.
+starts a repeat of 1, 2, 4, ... lines. Repeats of the lengths between h and 2h are the pairs (group of i, group of
+i + n - h), whose lines overlap; they are named alike. A repeat counts if it holds ``MIN_WORDS`` words, so that short
+lines alone are left in place, and the deleted lines are the union of the repeats. Lines without a word do not take
+part: they neither separate runs nor are deleted. As every other line has a word, a group that deep holds enough words
+however short its lines are, and longer runs are unions of those; doubling ends there.
 
 Everything is DataFrame code. A group that holds a large share of all lines is counted with partial aggregation, and the
 join that gives its name to its lines can be split by adaptive execution, because names are shuffled anew for it.
@@ -44,7 +45,25 @@ def _name(rows: DataFrame, keys: list[str]) -> DataFrame:
     aggregation's, so that both sides are shuffled for the join and a large group can be split."""
     members = rows.groupBy(*keys).agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     named = members.select(F.struct(*keys).alias("key"), F.col("first").alias("name"))
-    return rows.select("pos", "words", F.struct(*keys).alias("key")).join(named, "key").drop("key")
+    return rows.select("pos", "upto", F.struct(*keys).alias("key")).join(named, "key").drop("key")
+
+
+def _repeats(named: DataFrame, length: int, min_words: int) -> DataFrame:
+    """Where repeats of ``length`` lines with enough words start that have an earlier copy."""
+    return named.filter((F.col("name") != F.col("pos")) & (F.element_at("upto", -1) >= min_words)).select("pos", F.lit(length).alias("n"))
+
+
+def _between(active: DataFrame, length: int, n: int, min_words: int) -> DataFrame:
+    """Repeats of n lines, n between ``length`` and twice as many, from the groups of ``length``. If the first and the
+    last ``length`` lines both have enough words, they are repeats by themselves and cover all n, so such runs are left
+    out; equal runs have equal words, so all copies of a run are either left out or not."""
+    ahead = Window.partitionBy(F.shiftright("pos", _LINE_BITS)).orderBy("pos").rangeBetween(n - length, n - length)
+    later = F.first("upto").over(ahead)
+    pairs = active.select("pos", "name", F.first("name").over(ahead).alias("next"), "upto", later.alias("later")).filter("next IS NOT NULL")
+    first, last = F.element_at("upto", -1), F.element_at("later", -1)
+    words = first + last - F.element_at("later", 2 * length - n)
+    some = pairs.filter((words >= min_words) & ((first < min_words) | (last < min_words)))
+    return _repeats(_name(some.withColumn("upto", F.array(words)), ["name", "next"]), n, min_words)
 
 
 def line_flags(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -63,17 +82,19 @@ def line_flags(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     worded = one.join(numbers.drop("doc_id"), ["k1", "k2"]).select(base.alias("base"), F.posexplode(F.filter("entries", lambda e: e["words"] > 0)))
     lines = written(worded.select((F.col("base") + F.col("pos")).alias("pos"), "col.*"), "lines")
 
-    active = _name(lines, ["h1", "h2"])
+    active = _name(lines.withColumn("upto", F.array("words")), ["h1", "h2"])  # upto: words of the first line, two lines, ...
     repeats, length = [], 1
     while True:
         active = written(active, "line-groups")
-        repeats.append(active.filter((F.col("name") != F.col("pos")) & (F.col("words") >= min_words)).select("pos", F.lit(length).alias("n")))
+        repeats.append(_repeats(active, length, min_words))
         if length >= min_words:
             break
+        repeats += [_between(active, length, n, min_words) for n in range(length + 1, 2 * length)]
         ahead = Window.partitionBy(F.shiftright("pos", _LINE_BITS)).orderBy("pos").rangeBetween(length, length)
-        pairs = active.select("pos", "name", F.first("name").over(ahead).alias("next"), (F.col("words") + F.first("words").over(ahead)).alias("words"))
+        pairs = active.select("pos", "name", F.first("name").over(ahead).alias("next"), "upto", F.first("upto").over(ahead).alias("later"))
         pairs = pairs.filter("next IS NOT NULL")
-        active = _name(pairs, ["name", "next"])
+        more = F.transform("later", lambda words: words + F.element_at("upto", -1))
+        active = _name(pairs.withColumn("upto", F.concat("upto", more)), ["name", "next"])
         length *= 2
     covered = reduce(DataFrame.unionAll, repeats).select(F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("n") - 1)).alias("pos"))
     deleted = covered.groupBy("pos").agg(F.lit(True).alias("deleted"))

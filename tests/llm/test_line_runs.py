@@ -71,3 +71,34 @@ def test_empty(spark):
 def test_main_path_is_native(spark, capsys):
     line_report(spark.createDataFrame(corpus(), "doc_id long, text string")).explain()
     assert not any(word in capsys.readouterr().out for word in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
+def all_lengths(rows, min_words):
+    """Number of deleted lines by doc_id, trying every length of a run."""
+    seen, out = set(), {}
+    docs = [(doc_id, [line for line in text.split("\n") if line.split()]) for doc_id, text in sorted(rows)]
+    gone = {doc_id: set() for doc_id, _ in docs}
+    for doc_id, lines in docs:
+        for at in range(len(lines)):
+            for n in range(1, len(lines) - at + 1):
+                window = tuple(lines[at : at + n])
+                if window in seen and sum(len(line.split()) for line in window) >= min_words:
+                    gone[doc_id].update(range(at, at + n))
+                seen.add(window)
+        out[doc_id] = len(gone[doc_id])
+    return out
+
+
+def test_runs_of_any_length(spark):
+    rows = [(0, "a b c\nd e f\ng h i\nown"), (1, "other\na b c\n\nd e f\ng h i")]
+    for n, words in ((3, "p q r"), (5, "s t"), (6, "u v"), (7, "w x")):
+        run = "\n".join(f"{words} {i}" if n == 3 else f"{words[0]}{n}{i} {words[2]}" if n == 5 else f"{words[0]}{n}{i}" for i in range(n))
+        long = run + ("" if n < 6 else " and more")
+        rows += [(10 * n, long + "\nfirst"), (10 * n + 1, f"second {n}\n{long}")]
+    pick = random.Random(9)
+    pool = [" ".join(pick.choice("abcdefgh") for _ in range(pick.choice([1, 1, 2, 3, 4]))) for _ in range(12)]
+    rows += [(200 + i, "\n".join(pick.choice(pool) for _ in range(pick.randrange(20)))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for min_words in (8, 5, 1):
+        assert {r.doc_id: r.n_removed for r in line_report(docs, min_words).collect()} == all_lengths(rows, min_words)
+    assert {r.doc_id: r.n_removed for r in line_report(docs).collect()}[1] == 3

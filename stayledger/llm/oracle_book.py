@@ -28,7 +28,8 @@ FROM p JOIN e ON p.source IS NOT DISTINCT FROM e.source
 """
 
 
-# Windows of 1, 2, 4 and 8 lines that have words; those with 8 words and an earlier equal window are deleted.
+# Windows of 1 to 8 lines that have words; those with 8 words and an earlier equal window are deleted. Longer windows are
+# unions of those of 8 lines.
 OP5 = r"""
 WITH raw AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
 every AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM raw),
@@ -36,7 +37,7 @@ counted AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS word
 w AS (SELECT doc_id, line, i, words, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS pos FROM counted WHERE words > 0),
 runs AS (
   SELECT doc_id, pos, n, sum(words) OVER ahead AS words, list(line) OVER ahead AS content, count(*) OVER ahead AS found
-  FROM w, (VALUES (1), (2), (4), (8)) AS sizes(n)
+  FROM w, (VALUES (1), (2), (3), (4), (5), (6), (7), (8)) AS sizes(n)
   WINDOW ahead AS (PARTITION BY doc_id, n ORDER BY pos RANGE BETWEEN CURRENT ROW AND n - 1 FOLLOWING)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY n, content ORDER BY doc_id, pos) AS copy FROM runs WHERE found = n),
 gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + n)) AS pos FROM ranked WHERE copy > 1 AND words >= 8),
@@ -51,5 +52,35 @@ FROM raw LEFT JOIN per_doc USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 
+# Matches and the pieces between them, added up to positions; the added kinds after the base ones.
+OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents),
+rules(rule, kind, pattern, judged, at_least) AS (VALUES
+  (0, 'assign', '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+  (1, 'access', 'AKIA[A-Z0-9]+', 0, 20),
+  (2, 'hex', '[0-9a-f]+', 0, 24),
+  (3, 'github', 'gh[pousr]_[A-Za-z0-9]{36,}', 0, 0),
+  (4, 'slack', 'xox[abprs]-[A-Za-z0-9-]{10,}', 0, 0),
+  (5, 'google', 'AIza[A-Za-z0-9_-]{35}', 0, 0),
+  (6, 'jwt', 'eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+', 0, 0),
+  (7, 'pem', '-----BEGIN [A-Z ]*PRIVATE KEY-----', 0, 0),
+  (8, 'login', '://[A-Za-z0-9_.~-]+:[A-Za-z0-9_.~!$&*+=%-]+@', 0, 0)),
+m AS (
+  SELECT k, rule, kind, at_least, string_split_regex(text, pattern) AS gaps, regexp_extract_all(text, pattern) AS found,
+         CASE WHEN judged = 2 THEN regexp_extract_all(text, pattern, 2) ELSE regexp_extract_all(text, pattern) END AS judged
+  FROM d, rules WHERE regexp_matches(text, pattern)),
+e AS (SELECT k, rule, kind, at_least, unnest(range(len(found))) AS i, unnest(found) AS own, unnest(gaps[1:len(found)]) AS gap, unnest(judged) AS judged FROM m),
+p AS (SELECT *, sum(length(gap) + length(own)) OVER (PARTITION BY k, rule ORDER BY i) AS upto FROM e),
+s AS (SELECT k, rule, (upto - length(own))::BIGINT AS start, kind || ':' || (upto - length(own))::BIGINT || ':' || upto::BIGINT AS span FROM p WHERE length(judged) >= at_least),
+g AS (
+  SELECT k, count(*) FILTER (WHERE rule = 0) AS a, count(*) FILTER (WHERE rule = 1) AS b, count(*) FILTER (WHERE rule = 2) AS c,
+         string_agg(span, ',' ORDER BY start, rule) FILTER (WHERE rule < 3) AS base, string_agg(span, ',' ORDER BY start, rule) AS spans
+  FROM s GROUP BY k)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_access, coalesce(c, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (k)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_runs": OP5, "op6_source_mix": OP6}
+    return {"op5_line_runs": OP5, "op6_source_mix": OP6, "op11_secret_scan": OP11}

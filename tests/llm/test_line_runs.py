@@ -12,8 +12,7 @@ def brute_force(rows, min_words=8):
     docs = sorted({(doc_id, text) for doc_id, text in rows if text is not None}, key=lambda r: (r[0] is None, r[0]))
     worded = {row: [i for i, line in enumerate(row[1].split("\n")) if line.encode().split()] for row in docs}
     gone = {row: set() for row in docs}
-    length = 1
-    while length < 2 * min_words:
+    for length in range(1, min_words + 1):
         seen = set()
         for row in docs:
             lines, places = row[1].split("\n"), worded[row]
@@ -22,7 +21,6 @@ def brute_force(rows, min_words=8):
                 if window in seen and sum(len(line.encode().split()) for line in window) >= min_words:
                     gone[row].update(places[k : k + length])
                 seen.add(window)
-        length *= 2
     return {row: (worded[row], gone[row]) for row in docs}
 
 

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_folder
-from . import bpe, cells, context_mixing, language, line_runs, mixing, near_text, posting_lists, run_index, secret_scan, token_files
+from . import bpe, cells, context_mixing, conversation_repair, language, line_runs, mixing, near_text, posting_lists, run_index, secret_scan, token_files
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -67,5 +67,10 @@ def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secret_report(read(spark, folder, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = read(spark, folder, "conversations")
+    return conversation_repair.repair_report(conversation_repair.damaged(conversations), conversations)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}

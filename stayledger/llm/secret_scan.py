@@ -101,16 +101,11 @@ def _hits(rule: Rule, order: int) -> Column:
     return F.filter(F.transform(lengths, entry), lambda e: e["own"].isNotNull())  # the piece after the last match has none
 
 
-def find_secrets(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
-    """Every row of ``docs`` (doc_id, text and any others) as struct ``doc``, with ``spans``: array of (start, rule, end)
-    in that order. Positions are code points, ``end`` is the first one behind, ``rule`` the place in ``rules``.
-
-    A null or empty text has no spans; rows equal in doc_id and text share them; an empty table gives no rows. Only the
-    letters A-Z are taken in either case where a rule does so.
-    """
-    rows = keyed(docs)
+def secret_spans(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
+    """(k1, k2, spans) of the texts that hold a secret, named as in :func:`keyed`. ``spans`` is an array of (start, rule, end)
+    in that order. Positions are code points, ``end`` is the first one behind, ``rule`` the place in ``rules``."""
+    rows = keyed(docs.select("doc_id", "text"))
     queries = {str(i): trigram_query(rule.pattern) for i, rule in enumerate(rules)}
-    scanned = [str(i) for i in range(len(rules)) if queries[str(i)] is True]
     asked = {kind: query for kind, query in queries.items() if query is not True}
     if asked:
         index = build_index(rows, sorted(set().union(*map(trigrams_in, asked.values()))))
@@ -120,14 +115,11 @@ def find_secrets(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
         rows = rows.withColumn("kinds", F.lit(None).cast("array<string>"))
     hits = []
     for i, rule in enumerate(rules):
-        chosen = F.lit(True) if str(i) in scanned else F.array_contains("kinds", str(i))
+        chosen = F.array_contains("kinds", str(i)) if str(i) in asked else F.lit(True)
         # A text without a match is told by one run of the expression, and makes no pieces.
         hits.append(F.when(chosen & F.col("doc.text").rlike(rule.pattern), _hits(rule, i)).otherwise(F.array()))
     found = written(rows.select("k1", "k2", F.concat(*hits).alias("hits")), "secret-hits")
-    spans = _spans(found.filter("size(hits) > 0")).select(F.struct("k1", "k2").alias("key"), "spans")
-    none = F.array().cast("array<struct<start:bigint,rule:int,end:bigint>>")
-    everything = keyed(docs).select(F.struct("k1", "k2").alias("key"), "doc")
-    return everything.join(spans, "key", "left").select("doc", F.coalesce("spans", none).alias("spans"))
+    return _spans(found.filter("size(hits) > 0"))
 
 
 def _spans(found: DataFrame) -> DataFrame:
@@ -139,13 +131,29 @@ def _spans(found: DataFrame) -> DataFrame:
     return placed.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(span)).alias("spans"))
 
 
+def _with_spans(docs: DataFrame, rules: list[Rule], *columns: Column) -> DataFrame:
+    spans = secret_spans(docs, rules).select(F.struct("k1", "k2").alias("key"), "spans")
+    none = F.array().cast("array<struct<start:bigint,rule:int,end:bigint>>")
+    rows = keyed(docs).select(F.struct("k1", "k2").alias("key"), *columns)
+    return rows.join(spans, "key", "left").drop("key").withColumn("spans", F.coalesce("spans", none))
+
+
+def find_secrets(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
+    """Every row of ``docs`` (doc_id, text and any others) as struct ``doc``, with ``spans`` as in :func:`secret_spans`.
+
+    A null or empty text has no spans; rows equal in doc_id and text share them; an empty table gives no rows. Only the
+    letters A-Z are taken in either case where a rule does so.
+    """
+    return _with_spans(docs, rules, F.col("doc"))
+
+
 def secret_report(docs: DataFrame, rules: list[Rule] = RULES, base: int = len(BASE)) -> DataFrame:
     """Per row of ``docs``: doc_id, n_<kind> for the first ``base`` rules, base_sha256 (lowercase hex over ``kind:start:end``
     of those, comma-joined) and spans, the same text over all rules."""
-    found = find_secrets(docs.select("doc_id", "text"), rules)
+    found = _with_spans(docs.select("doc_id", "text"), rules, F.col("doc.doc_id").alias("doc_id"))
     kinds = F.array(*[F.lit(rule.kind) for rule in rules])
     named = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["rule"]), s["start"], s["end"])), ",")
     first = F.filter("spans", lambda s: s["rule"] < base)
     count = lambda i: F.size(F.filter("spans", lambda s: s["rule"] == i)).cast("long")
     counts = [count(i).alias(f"n_{rule.kind}") for i, rule in enumerate(rules[:base])]
-    return found.select(F.col("doc.doc_id").alias("doc_id"), *counts, F.sha2(named(first), 256).alias("base_sha256"), named(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(named(first), 256).alias("base_sha256"), named(F.col("spans")).alias("spans"))

@@ -82,5 +82,22 @@ FROM d LEFT JOIN g USING (k)
 """
 
 
+OP13 = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id,
+                  regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+i AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+q AS (SELECT item_id, term, count(*) AS times FROM i GROUP BY ALL),
+n AS (SELECT count(*)::BIGINT AS docs, sum(len(terms))::BIGINT AS total FROM d WHERE len(terms) > 0),
+m AS (SELECT k, doc_id, (75 + (25 * len(terms) * docs) // total)::BIGINT AS m FROM d, n WHERE len(terms) > 0),
+e AS (SELECT k, unnest(terms) AS term FROM d),
+t AS (SELECT k, term, count(*)::BIGINT AS tf FROM e WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM t, n GROUP BY term, docs),
+s AS (SELECT item_id, k, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+      FROM t JOIN q USING (term) JOIN w USING (term) JOIN m USING (k) GROUP BY item_id, k),
+r AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s JOIN m USING (k) WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_runs": OP5, "op6_source_mix": OP6, "op11_secret_scan": OP11}
+    return {"op5_line_runs": OP5, "op6_source_mix": OP6, "op11_secret_scan": OP11, "op13_lexical_search": OP13}

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_folder
-from . import bpe, cells, context_mixing, conversation_repair, language, line_runs, mixing, near_text, posting_lists, run_index, secret_scan, token_files
+from . import bpe, cells, context_mixing, conversation_repair, language, lexical_search, line_runs, mixing, near_text, posting_lists, run_index, secret_scan, token_files
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -72,5 +72,9 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_repair.repair_report(conversation_repair.damaged(conversations), conversations)
 
 
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.best_documents(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}

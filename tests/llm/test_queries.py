@@ -15,7 +15,7 @@ def test_same_as_sql(spark, tables_folder, name):
 
 def test_all_are_registered():
     names = contract.queries()
-    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 14)] == [1] * 13 and "pipeline" in names
 
 
 def test_recall_on_the_given_table(spark, tables_folder):

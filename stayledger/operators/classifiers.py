@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from itertools import product
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import buckets
 from ..functions.risk import high_risk
 from ..session import shared_folder
+from .evaluation import roc_auc
 from .preparation import row_hash, stratified_parts
 
 # Feature columns.
@@ -103,41 +107,95 @@ def bounded(train: DataFrame, most_rows: int | None, row_id: str = "booking_id",
     return train.orderBy(row_hash(row_id, seed), row_id).limit(most_rows)
 
 
+def training_rows(train: DataFrame, label: str, numeric: list[str], categories: list[str], most_rows: int | None, row_id: str = "booking_id") -> DataFrame:
+    """The columns a fit needs of its labelled rows, written to the shared folder. A bounded sample comes out of one sort
+    and would stay one partition; stored, it is read by as many tasks as :func:`_dealt` asks for."""
+    folds = [c for c in ("fold",) if c in train.columns]
+    return _stored(bounded(train, most_rows, row_id).select(row_id, label, *numeric, *categories, *folds), "training-rows")
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    folder = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _dealt(rows: DataFrame, n: int, task_rows: int, row_id: str) -> DataFrame:
+    """``rows`` over tasks by hash of their id and sorted within, so that every run bags the same rows. Small samples get a
+    task per ``task_rows``, as each round of a fit is a job; large ones a task per million rows, or the cluster's width."""
+    width = min(-(-n // task_rows), max(rows.sparkSession.sparkContext.defaultParallelism, -(-n // 1_000_000)))
+    return rows.repartition(max(1, width), row_id).sortWithinPartitions(row_id)
+
+
+def encoded(rows: DataFrame, numeric: list[str], categories: list[str], one_hot: bool, keep: list[str]) -> tuple[list, DataFrame]:
+    """The fitted feature stages, and the rows as feature vectors, written once for all fits that read them."""
+    fitted = Pipeline(stages=_feature_stages(numeric, categories, one_hot)).fit(rows)
+    return fitted.stages, _stored(fitted.transform(rows).select(*keep, "features"), "feature-rows")
+
+
+def _forest(trees: int, depth: int, min_leaf: int, bins: int) -> RandomForestClassifier:
+    """The node of every row is kept between rounds, with checkpoints, instead of sending the growing forest to the tasks;
+    the histograms of a level's nodes fit into a round or a few."""
+    return RandomForestClassifier(
+        labelCol="is_canceled", featuresCol="features", seed=42, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf,
+        maxBins=bins, cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=2048,
+    )
+
+
 def fit_cancellation(
     train: DataFrame, trees: int = 100, depth: int = 20, min_leaf: int = 1, grid: dict[str, list[int]] | None = None,
     parallelism: int = 4, one_hot: bool = True, most_rows: int | None = None,
 ) -> PipelineModel:
-    """Random forest on ``is_canceled``. With ``grid`` (trees, depth, min_leaf), the best of a 3-fold search by ROC AUC.
-    ``most_rows`` bounds the labelled rows of the fit, see :func:`bounded`.
-
-    Spark ML limits the depth to 30, which stands for "no limit", and has no minimum split size, so the full search
-    has 12 combinations: trees 100 and 200, depth 10, 20 and 30, leaf size 1 and 2.
+    """Random forest on ``is_canceled``. With ``grid`` (trees, depth, min_leaf), the best of :func:`grid_search`.
+    ``most_rows`` bounds the labelled rows of the fit, see :func:`bounded`."""
+    if grid is not None:
+        results = grid_search(train, grid, parallelism=parallelism, one_hot=one_hot, most_rows=most_rows)
+        best = best_combination(results)
+        trees, depth, min_leaf = best["trees"], best["depth"], best["min_leaf"]
+    rows = training_rows(train.drop("fold"), "is_canceled", CANCELLATION_NUMERIC, CANCELLATION_CATEGORIES, most_rows)
+    stages, vectors = encoded(rows, CANCELLATION_NUMERIC, CANCELLATION_CATEGORIES, one_hot, ["booking_id", "is_canceled"])
+    forest = _forest(trees, depth, min_leaf, _bins(rows, CANCELLATION_CATEGORIES, one_hot))
+    return PipelineModel(stages=[*stages, forest.fit(_dealt(vectors, vectors.count(), 2_500, "booking_id"))])
+
+
+def grid_search(
+    train: DataFrame, grid: dict[str, list[int]], folds: int = 3, parallelism: int = 4, one_hot: bool = True, most_rows: int | None = None,
+) -> DataFrame:
+    """Every combination of ``grid`` (trees, depth, min_leaf) fitted on all folds but one and judged on that one: place (of
+    the combination), depth, min_leaf, trees, fold, rows (of the fold), roc_auc. Folds are stratified by hash of the booking.
+
+    Folds and feature vectors are made once and shared by all fits. Spark ML limits the depth to 30, which stands for "no
+    limit", and has no minimum split size, so the full search has 12 combinations: trees 100 and 200, depth 10, 20 and 30,
+    leaf size 1 and 2. Feature stages are fitted on all folds: means and categories do not depend on the label.
     """
-    train = bounded(train, most_rows)
-    forest = RandomForestClassifier(
-        labelCol="is_canceled", featuresCol="features", seed=42, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf,
-        maxBins=_bins(train, CANCELLATION_CATEGORIES, one_hot),
-    )
-    stages = _feature_stages(CANCELLATION_NUMERIC, CANCELLATION_CATEGORIES, one_hot)
-    if grid is None:
-        return Pipeline(stages=[*stages, forest]).fit(train)
-    combinations = (
-        ParamGridBuilder()
-        .addGrid(forest.numTrees, grid["trees"])
-        .addGrid(forest.maxDepth, grid["depth"])
-        .addGrid(forest.minInstancesPerNode, grid["min_leaf"])
-        .build()
-    )
-    search = CrossValidator(
-        estimator=Pipeline(stages=[*stages, forest]),
-        estimatorParamMaps=combinations,
-        evaluator=BinaryClassificationEvaluator(labelCol="is_canceled", metricName="areaUnderROC"),
-        numFolds=3,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    thirds = stratified_parts(train, "is_canceled", {"0": 1 / 3, "1": 1 / 3, "2": 1 / 3}, seed=7, name="fold")
-    return search.fit(thirds.withColumn("fold", F.col("fold").cast("int"))).bestModel
+    names = {str(k): 1 / folds for k in range(folds)}
+    parts = stratified_parts(bounded(train, most_rows), "is_canceled", names, seed=7, name="fold")
+    rows = training_rows(parts, "is_canceled", CANCELLATION_NUMERIC, CANCELLATION_CATEGORIES, None)
+    stages, vectors = encoded(rows, CANCELLATION_NUMERIC, CANCELLATION_CATEGORIES, one_hot, ["booking_id", "is_canceled", "fold"])
+    bins, n = _bins(rows, CANCELLATION_CATEGORIES, one_hot), vectors.count()
+
+    def judged(job: tuple[int, int, int, int, int]) -> DataFrame:
+        place, depth, min_leaf, trees, fold = job
+        inside = _dealt(vectors.filter(F.col("fold") != str(fold)).drop("fold"), n, 2_500, "booking_id")
+        model = _forest(trees, depth, min_leaf, bins).fit(inside)
+        held = model.transform(vectors.filter(F.col("fold") == str(fold))).select("is_canceled", vector_to_array("probability")[1].alias("p"))
+        held = _stored(held, "fold-scores")
+        given = [F.lit(v).cast("int").alias(k) for k, v in zip(("place", "depth", "min_leaf", "trees", "fold"), job)]
+        counted = held.agg(F.count(F.lit(1)).alias("rows"))
+        return roc_auc(held, "is_canceled", "p").crossJoin(counted).select(*given, "rows", "roc_auc")  # one row each
+
+    combinations = list(enumerate(product(grid["depth"], grid["min_leaf"], grid["trees"])))
+    jobs = [(place, *combination, k) for place, combination in combinations for k in range(folds)]
+    with ThreadPoolExecutor(parallelism) as pool:
+        return _stored(reduce(DataFrame.unionAll, pool.map(judged, jobs)), "grid")
+
+
+def best_combination(results: DataFrame) -> dict[str, int]:
+    """The combination with the highest mean area over its folds; on a tie the first one: depth before leaf size before
+    trees, each in the order it was listed."""
+    names = ["place", "depth", "min_leaf", "trees"]
+    means = results.groupBy(*names).agg(F.round(F.avg("roc_auc"), 6).alias("mean"))
+    return means.orderBy(F.desc("mean"), "place").first().asDict()
 
 
 FULL_GRID = {"trees": [100, 200], "depth": [30, 10, 20], "min_leaf": [1, 2]}
@@ -157,13 +215,14 @@ def fit_churn(
 ) -> PipelineModel:
     """Gradient-boosted trees on ``is_churned``. The lineage of the rounds is cut in the shared checkpoint folder.
     ``most_rows`` bounds the labelled rows of the fit, see :func:`bounded`."""
-    train = bounded(train, most_rows)
-    shared_folder(train.sparkSession)
+    numeric, categories = churn_features(with_leaking)
+    rows = training_rows(train, "is_churned", numeric, categories, most_rows)
+    stages, vectors = encoded(rows, numeric, categories, one_hot, ["booking_id", "is_churned"])
     boosted = GBTClassifier(
         labelCol="is_churned", featuresCol="features", seed=42, maxIter=rounds, stepSize=rate, maxDepth=depth,
-        maxBins=_bins(train, churn_features(with_leaking)[1], one_hot),
+        maxBins=_bins(rows, categories, one_hot),
     )
-    return Pipeline(stages=[*_feature_stages(*churn_features(with_leaking), one_hot), boosted]).fit(train)
+    return PipelineModel(stages=[*stages, boosted.fit(_dealt(vectors, vectors.count(), 5_000, "booking_id"))])
 
 
 def score(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
@@ -176,17 +235,25 @@ def score(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
     ).withColumn("high_risk", high_risk(name))
 
 
-def feature_importance(spark, model: PipelineModel, numeric: list[str], categories: list[str], n: int = 20) -> DataFrame:
-    """The n most important features with expanded category names: (feature, importance, rank)."""
+def feature_names(model: PipelineModel, numeric: list[str], categories: list[str]) -> list[str]:
+    """A name for each place of the feature vector, category values written out."""
     indexer = next(s for s in model.stages if hasattr(s, "labelsArray"))
     one_hot = any("OneHot" in type(stage).__name__ for stage in model.stages)
     expanded = [f"{c}_{label}" for c, labels in zip(categories, indexer.labelsArray) for label in labels]
-    names = numeric + (expanded if one_hot else categories)
-    weights = model.stages[-1].featureImportances
-    values = [float(w) for w in weights.toArray()]
+    return numeric + (expanded if one_hot else categories)
+
+
+def importances(model: PipelineModel, numeric: list[str], categories: list[str]) -> list[tuple[str, float]]:
+    names = feature_names(model, numeric, categories)
+    values = [float(w) for w in model.stages[-1].featureImportances.toArray()]
     if len(values) != len(names):
         raise ValueError(f"{len(values)} importances for {len(names)} feature names")
-    ranked = sorted(zip(names, values), key=lambda pair: (-pair[1], pair[0]))[:n]
+    return list(zip(names, values))
+
+
+def feature_importance(spark, model: PipelineModel, numeric: list[str], categories: list[str], n: int = 20) -> DataFrame:
+    """The n most important features with expanded category names: (feature, importance, rank)."""
+    ranked = sorted(importances(model, numeric, categories), key=lambda pair: (-pair[1], pair[0]))[:n]
     rows = [(name, value, i) for i, (name, value) in enumerate(ranked, 1)]
     return spark.createDataFrame(rows, "feature string, importance double, rank int")
 

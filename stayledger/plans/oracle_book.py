@@ -324,6 +324,35 @@ JOIN agent_dim_ a ON a.agent_id = coalesce(CAST(wide.agent AS VARCHAR), 'Unknown
     return sql
 
 
+# The labelled rows of a fit: those of the training part whose number has the smallest hash.
+FIT_ROWS = """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY md5(booking_id || '-42'))
+  <= floor(count(*) OVER (PARTITION BY {label}) * 0.2::DOUBLE + 0.5) AS held FROM {source})
+WHERE NOT held ORDER BY md5(booking_id || '-42'), booking_id LIMIT {rows}"""
+
+GRID = (
+    ", sample AS (" + FIT_ROWS.format(label="is_canceled", source="wide", rows=600) + "), numbered AS (SELECT *, row_number() OVER (PARTITION BY is_canceled ORDER BY "
+    "md5(booking_id || '-7')) AS place, count(*) OVER (PARTITION BY is_canceled) AS all_rows FROM sample), folds AS (SELECT CAST(CASE WHEN place <= floor(all_rows * (1 / 3.0::DOUBLE) + 0.5) "
+    "THEN 0 WHEN place <= floor(all_rows * (1 / 3.0::DOUBLE + 1 / 3.0::DOUBLE) + 0.5) THEN 1 ELSE 2 END AS INTEGER) AS fold, count(*) AS rows FROM numbered GROUP BY 1) "
+    "SELECT depth, min_leaf, trees, fold, rows, true AS judged FROM folds, (VALUES (30), (10), (20)) AS d(depth), (VALUES (1), (2)) AS l(min_leaf), (VALUES (100), (200)) AS t(trees)"
+)
+
+
+def _feature_list(label: str, source: str, more: tuple[str, ...]) -> str:
+    """Numbers by name, categories by value, as far as the labelled rows of the fit have them."""
+    numbers = (
+        "lead_time stays_in_weekend_nights stays_in_week_nights adults children babies is_repeated_guest previous_cancellations previous_bookings_not_canceled "
+        "booking_changes adr required_car_parking_spaces total_of_special_requests days_in_waiting_list total_stay_nights total_guests year room_changed"
+    ).split()
+    texts = (
+        "month season hotel_name meal_plan market_segment distribution_channel country customer_type deposit_type reserved_room_type assigned_room_type"
+    ).split()
+    mode = f"(SELECT country FROM {source} WHERE country IS NOT NULL GROUP BY country ORDER BY count(*) DESC, country LIMIT 1)"
+    value = lambda c: f"coalesce(country, {mode})" if c == "country" else c
+    parts = [f"SELECT '{c}' AS feature" for c in (*numbers, *more)] + [f"SELECT DISTINCT '{c}_' || {value(c)} FROM sample" for c in texts]
+    return f", sample AS ({FIT_ROWS.format(label=label, source=source, rows=20000)}) SELECT feature, true AS consistent FROM (" + " UNION ALL ".join(parts) + ")"
+
+
 def oracle_sql() -> dict[str, str]:
     raw_columns = ", ".join(RAW_COLUMNS)
     mean_by_status = "SELECT 'Canceled' AS booking_status, round(avg({0}) FILTER (is_canceled = 1), 6) AS average FROM wide UNION ALL SELECT 'Not Canceled', round(avg({0}) FILTER (is_canceled = 0), 6) FROM wide"
@@ -550,6 +579,11 @@ FROM predicted WHERE held_out AND predicted IS NOT NULL GROUP BY series_key""",
             "(PARTITION BY is_churned ORDER BY md5(booking_id || '-42')) <= floor(count(*) OVER (PARTITION BY is_churned) * 0.2::DOUBLE + 0.5) AS held "
             "FROM labelled) WHERE held"
         ),
+        "cancellation_trees": "SELECT CAST(unnest(range(100)) AS INTEGER) AS tree, true AS sound",
+        "churn_trees": "SELECT CAST(unnest(range(200)) AS INTEGER) AS tree, true AS sound",
+        "importance_check": _with(RAW, WIDE) + _feature_list("is_canceled", "wide", ("revenue", "is_weekend")),
+        "churn_importance_check": _with(RAW, WIDE, LABELLED) + _feature_list("is_churned", "labelled", ()),
+        "cancellation_grid": _with(RAW, WIDE) + GRID,
         "loyalty_total": _wide("SELECT count(*) AS bookings FROM wide"),
         "standardize": _wide(
             "SELECT booking_id, "

@@ -10,7 +10,7 @@ from ..functions import buckets, risk
 from ..functions.measures import total_value
 from ..operators import (
     advice, cancellations, classifiers, churn, correlation, demand, display, evaluation, filters, forecasting, preparation,
-    retention, revenue, seasonality, segments, trends,
+    retention, revenue, seasonality, segments, tree_tables, trends,
 )
 from ..operators.dimensions import DIMENSIONS
 from ..operators.facts import DERIVED, KEY_COLUMNS, MEASURES
@@ -24,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The registered fits have the full number of trees and rounds, on at most so many labelled rows.
 LABELLED_ROWS = 20_000
+GRID_ROWS = 600  # of each of the 36 fits of the search
 SERIES_PARTS = ("hotel_name", "country", "meal_plan", "market_segment")
 
 
@@ -117,11 +118,36 @@ def _churn_importance(house: Warehouse) -> DataFrame:
     return classifiers.feature_importance(house.spark, _trained_boosting(house).model, numeric, categories)
 
 
-def _holdout(trained: model_flows.Trained) -> DataFrame:
-    """Every booking of the test part, and whether its prediction follows from a probability between 0 and 1."""
+def _holdout(house: Warehouse, trained: model_flows.Trained, name: str) -> DataFrame:
+    """Every booking of the test part, and whether its prediction follows from a probability between 0 and 1 which the
+    table of tree nodes gives as well."""
+    checked = tree_tables.score_by_nodes(trained.scored, trained.model, _nodes(house, name))
     probability = F.col(trained.probability)
     follows = probability.between(0, 1) & (F.col("prediction") == (probability > 0.5).cast("int"))
-    return trained.scored.select("booking_id", F.col(trained.label).alias("label"), follows.alias("consistent"))
+    same = F.abs(probability - F.col("by_nodes")) < 1e-9
+    scored = trained.scored.select("booking_id", trained.label, trained.probability, "prediction").join(checked, "booking_id")
+    return scored.select("booking_id", F.col(trained.label).alias("label"), (follows & same).alias("consistent"))
+
+
+def _nodes(house: Warehouse, name: str) -> DataFrame:
+    trained = {"forest": _trained_forest, "boosting": _trained_boosting}[name](house)
+    return house.derived(f"{name}_nodes", lambda: tree_tables.node_table(house.spark, trained.model))
+
+
+def _importance_check(house: Warehouse, name: str, numeric: list[str], categories: list[str]) -> DataFrame:
+    """Every feature of the model, and whether its importance follows from the nodes that split on it."""
+    trained = {"forest": _trained_forest, "boosting": _trained_boosting}[name](house)
+    rows = [(i, feature, value) for i, (feature, value) in enumerate(classifiers.importances(trained.model, numeric, categories))]
+    given = house.spark.createDataFrame(rows, "place int, name string, importance double")  # one row per feature
+    found = tree_tables.importance_by_nodes(_nodes(house, name), name == "forest").select(F.col("feature").alias("place"), F.col("importance").alias("by_nodes"))
+    close = F.abs(F.col("importance") - F.coalesce("by_nodes", F.lit(0.0))) < 1e-9
+    return given.join(found, "place", "left").select(F.col("name").alias("feature"), close.alias("consistent"))
+
+
+def _grid(house: Warehouse) -> DataFrame:
+    """The full search on a bounded number of labelled rows: every combination and fold with the rows it was judged on."""
+    train = model_flows.cancellation_data(house).filter("part = 'train'").drop("part")
+    return house.derived("grid", lambda: classifiers.grid_search(train, classifiers.FULL_GRID, parallelism=8, most_rows=GRID_ROWS))
 
 
 def _quality(name: str, trained: Callable[[Warehouse], model_flows.Trained]) -> dict[str, Query]:
@@ -367,8 +393,17 @@ def queries() -> dict[str, Query]:
         "churn_scores": _on_warehouse(
             lambda h: _trained_boosting(h).scored.select("booking_id", F.col("churn_probability").alias("probability"), "prediction")
         ),
-        "cancellation_holdout": _on_warehouse(lambda h: _holdout(_trained_forest(h))),
-        "churn_holdout": _on_warehouse(lambda h: _holdout(_trained_boosting(h))),
+        "cancellation_holdout": _on_warehouse(lambda h: _holdout(h, _trained_forest(h), "forest")),
+        "churn_holdout": _on_warehouse(lambda h: _holdout(h, _trained_boosting(h), "boosting")),
+        "cancellation_trees": _on_warehouse(lambda h: tree_tables.tree_check(_nodes(h, "forest"))),
+        "churn_trees": _on_warehouse(lambda h: tree_tables.tree_check(_nodes(h, "boosting"))),
+        "importance_check": _on_warehouse(
+            lambda h: _importance_check(h, "forest", classifiers.CANCELLATION_NUMERIC, classifiers.CANCELLATION_CATEGORIES)
+        ),
+        "churn_importance_check": _on_warehouse(lambda h: _importance_check(h, "boosting", *classifiers.churn_features())),
+        "cancellation_grid": _on_warehouse(
+            lambda h: _grid(h).select("depth", "min_leaf", "trees", "fold", "rows", F.col("roc_auc").between(0.3, 1).alias("judged"))
+        ),
         **_quality("cancellation_model", _trained_forest),
         **_quality("churn_model", _trained_boosting),
         "feature_importance": _on_warehouse(_importance),

@@ -1,11 +1,13 @@
 """Evaluation figures against brute force, features, fits, stored models."""
 
+import duckdb
 import numpy as np
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from stayledger.operators import classifiers, evaluation
+from stayledger.operators import classifiers, evaluation, tree_tables
 from stayledger.plans import model_flows
 
 
@@ -113,11 +115,84 @@ def test_leaked_label_is_found(house):
 
 def test_grid_search(house):
     train = model_flows.cancellation_data(house).filter("booking_id % 4 = 0").drop("part")
-    model = classifiers.fit_cancellation(train, grid={"trees": [2, 4], "depth": [2], "min_leaf": [1]}, parallelism=2)
-    assert model.stages[-1].getNumTrees in (2, 4)
+    grid = {"trees": [2, 4], "depth": [3, 2], "min_leaf": [1]}
+    results = classifiers.grid_search(train, grid, parallelism=2).toPandas()
+    assert len(results) == 12 and results.roc_auc.between(0.3, 1).all()
+    assert results.groupby("fold").rows.first().sum() == train.count() and results.groupby("fold").rows.nunique().eq(1).all()
+    means = results.groupby(["place", "depth", "min_leaf", "trees"]).roc_auc.mean().round(6).reset_index()
+    best = means.sort_values(["roc_auc", "place"], ascending=[False, True]).iloc[0]
+    model = classifiers.fit_cancellation(train, grid=grid, parallelism=2).stages[-1]
+    assert model.getNumTrees in (2, 4) and max(tree.depth for tree in model.trees) <= 3
+    chosen = classifiers.best_combination(house.spark.createDataFrame(results))
+    assert (chosen["depth"], chosen["trees"]) == (best.depth, best.trees)
     assert {k: len(v) for k, v in classifiers.FULL_GRID.items()} == {"trees": 2, "depth": 3, "min_leaf": 2}
 
 
+def test_best_combination_takes_the_first_on_a_tie(spark):
+    rows = [(0, 30, 1, 100, 0, 5, 0.5), (0, 30, 1, 100, 1, 5, 0.7), (1, 30, 1, 200, 0, 5, 0.6), (1, 30, 1, 200, 1, 5, 0.6), (2, 10, 1, 100, 0, 5, 0.59)]
+    results = spark.createDataFrame(rows, "place int, depth int, min_leaf int, trees int, fold int, rows long, roc_auc double")
+    assert classifiers.best_combination(results)["place"] == 0
+
+
+def test_samples_are_dealt_out(house):
+    """A bounded sample is read by several tasks, and two fits on it give the same trees."""
+    train = model_flows.cancellation_data(house).filter("part = 'train'").drop("part")
+    rows = classifiers.training_rows(train, "is_canceled", ["lead_time"], ["hotel_name"], 1000)
+    assert rows.count() == 1000 and rows.agg(F.count_distinct("booking_id")).first()[0] == 1000
+    dealt = classifiers._dealt(rows, 1000, 250, "booking_id")
+    assert dealt.rdd.getNumPartitions() == 4
+    one, two = (classifiers.fit_cancellation(train, trees=3, depth=6, most_rows=1000).stages[-1].toDebugString.split("\n", 1)[1] for _ in range(2))
+    assert one == two
+
+
+RECURSIVE = """
+WITH RECURSIVE walk AS (
+  SELECT s.row_id, s.features, n.* FROM s, n WHERE n.node = 0
+  UNION ALL
+  SELECT w.row_id, w.features, n.* FROM walk w JOIN n ON n.tree = w.tree AND n.node =
+    CASE WHEN coalesce(w.features[w.feature + 1] <= w.threshold, list_contains(w.left_categories, w.features[w.feature + 1])) THEN w."left" ELSE w."right" END
+  WHERE w.feature IS NOT NULL)
+SELECT row_id, {combined} AS p FROM walk WHERE feature IS NULL GROUP BY row_id"""
+
+
+@pytest.mark.parametrize("one_hot", [True, False])
+@pytest.mark.parametrize("kind", ["forest", "boosting"])
+def test_node_table_in_sql(spark, house, tmp_path, kind, one_hot):
+    """Scores by a recursive query over the exported nodes, outside Spark, and importances from their gains."""
+    if kind == "forest":
+        data = model_flows.cancellation_data(house).drop("part")
+        model = classifiers.fit_cancellation(data, trees=7, depth=6, one_hot=one_hot)
+        names = (classifiers.CANCELLATION_NUMERIC, classifiers.CANCELLATION_CATEGORIES)
+    else:
+        data = model_flows.churn_data(house).drop("part")
+        model = classifiers.fit_churn(data, rounds=6, depth=4, one_hot=one_hot)
+        names = classifiers.churn_features()
+    nodes, some = tree_tables.node_table(spark, model), data.filter("booking_id % 20 = 0")
+    scored = classifiers.score(model, some, "p").select("booking_id", "p").toPandas().set_index("booking_id").p
+    by_nodes = tree_tables.score_by_nodes(some, model, nodes).toPandas().set_index("booking_id").by_nodes
+    assert np.allclose(by_nodes.loc[scored.index], scored, atol=1e-12)
+    vectors = PipelineModel(stages=model.stages[:-1]).transform(some)
+    con = duckdb.connect()
+    vectors.select(F.col("booking_id").alias("row_id"), vector_to_array("features").alias("features")).write.parquet(f"{tmp_path}/s")
+    nodes.write.parquet(f"{tmp_path}/n")
+    for name in "sn":
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}/*.parquet')")
+    combined = "avg(value)" if kind == "forest" else "1 / (1 + exp(-2 * sum(value * tree_weight)))"
+    in_sql = con.execute(RECURSIVE.format(combined=combined)).fetch_df().set_index("row_id").p
+    assert np.allclose(in_sql.loc[scored.index], scored, atol=1e-9)
+    assert tree_tables.tree_check(nodes).filter("sound").count() == nodes.select("tree").distinct().count()
+    given = [value for _, value in classifiers.importances(model, *names)]
+    found = {r.feature: r.importance for r in tree_tables.importance_by_nodes(nodes, kind == "forest").collect()}
+    assert given == pytest.approx([found.get(i, 0.0) for i in range(len(given))], abs=1e-12)
+
+
+def test_broken_trees_are_found(spark, house):
+    data = model_flows.cancellation_data(house).drop("part")
+    nodes = tree_tables.node_table(spark, classifiers.fit_cancellation(data, trees=3, depth=3))
+    broken = nodes.filter("NOT (tree = 1 AND node = 2)").withColumn("gain", F.when(F.col("tree") != 2, F.col("gain")).otherwise(-F.col("gain")))
+    assert {r.tree: r.sound for r in tree_tables.tree_check(broken).collect()} == {0: True, 1: False, 2: False}
+
+
 def test_categories_as_single_columns(house):
     """The compact encoding trains on one column per category and names importances by column."""
     data = model_flows.cancellation_data(house).withColumn("deposit_type", F.when(F.col("is_canceled") == 1, "x").otherwise("y"))

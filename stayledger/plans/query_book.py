@@ -98,6 +98,7 @@ def _trained_boosting(house: Warehouse) -> model_flows.Trained:
 
 
 _models: dict[tuple[str, str], model_flows.Trained] = {}
+_node_tables: dict[tuple[str, str], DataFrame] = {}
 
 
 def _fitted(house: Warehouse, name: str, fit: Callable[[], model_flows.Trained]) -> model_flows.Trained:
@@ -130,8 +131,11 @@ def _holdout(house: Warehouse, trained: model_flows.Trained, name: str) -> DataF
 
 
 def _nodes(house: Warehouse, name: str) -> DataFrame:
-    trained = {"forest": _trained_forest, "boosting": _trained_boosting}[name](house)
-    return house.derived(f"{name}_nodes", lambda: tree_tables.node_table(house.spark, trained.model))
+    """The trees of the model fitted here, not of another application's."""
+    if (house.folder, name) not in _node_tables:
+        trained = {"forest": _trained_forest, "boosting": _trained_boosting}[name](house)
+        _node_tables[(house.folder, name)] = tree_tables.node_table(house.spark, trained.model)
+    return _node_tables[(house.folder, name)]
 
 
 def _importance_check(house: Warehouse, name: str, numeric: list[str], categories: list[str]) -> DataFrame:

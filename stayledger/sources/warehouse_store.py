@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import threading
+import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 from functools import reduce
@@ -13,6 +16,7 @@ from ..operators.dimensions import DIMENSIONS
 from ..operators.facts import DERIVED, KEY_COLUMNS, MEASURES, YEAR_PARTITION
 from ..operators.filters import apply_filters
 from ..operators.numbering import dense_number
+from . import shared_files
 
 FACT_COLUMNS = ["booking_id", *KEY_COLUMNS, *MEASURES, *DERIVED]
 ATTRIBUTES = {
@@ -70,13 +74,25 @@ class Warehouse:
 
     def derived(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A table computed from the warehouse, written on first use: several passes over it then read columns of
-        files instead of repeating its joins, and a lost executor costs no recomputation."""
+        files instead of repeating its joins, and a lost executor costs no recomputation.
+
+        It belongs to this version of the warehouse and is shared by all applications that open it: a finished table is
+        moved into place by one rename, and whoever comes second uses that one.
+        """
         table = f"_derived/{name}"
         with self._lock:
-            if table not in self._tables:
-                self.write(table, build())
+            if table not in self._tables and not shared_files.exists(self.spark, self.path(f"{table}/_SUCCESS")):
+                own = f"_derived/.{name}-{uuid.uuid4().hex}"
+                build().write.parquet(self.path(own))
+                shared_files.moved_if_new(self.spark, self.path(own), self.path(table))
             return self.table(table)
 
+    def result(self, name: str, build: Callable[[], DataFrame], **options) -> DataFrame:
+        """A query's result for these filter ``options``, computed once per version of the warehouse and kept beside it.
+        A later call, also of another application, reads the result and no fact; a new version starts without any."""
+        given = json.dumps({k: options[k] for k in sorted(options) if options[k] is not None}, default=str)
+        return self.derived(f"{name}-{hashlib.md5(given.encode()).hexdigest()}", build)
+
     def raw_bookings(self) -> DataFrame:
         """The landed raw rows with their booking number."""
         return dense_number(self.table("raw_bookings"), self.table("raw_offsets"), "_sequence", "booking_id")

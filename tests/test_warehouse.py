@@ -9,7 +9,7 @@ from stayledger import session
 from stayledger.operators import dimensions, facts
 from stayledger.operators.filters import WIDE_COLUMNS, apply_filters
 from stayledger.operators.numbering import number_rows, with_sequence
-from stayledger.plans.warehouse_build import build_from_csv, csv_landing_for, warehouse_for
+from stayledger.plans.warehouse_build import build_from_csv, csv_landing_for, current_version, up_to_date, warehouse_for
 from stayledger.sources.booking_schema import RAW_COLUMNS
 from stayledger.sources.csv_bookings import damaged_cells, read_booking_csv
 from stayledger.sources.warehouse_store import Warehouse
@@ -251,3 +251,89 @@ def test_bookings_without_a_date_member_take_the_default(spark, small):
     facts = booking_facts(small.raw_bookings(), tables)
     year = tables["date_dim"].first().year
     assert {r.arrival_year for r in facts.collect()} == {year} and facts.count() == small.table("booking_fact").count()
+
+
+def _versions(root):
+    return sorted(p.name for p in root.iterdir() if p.is_dir())
+
+
+def test_versions_follow_their_source(spark, tmp_path):
+    """A second application builds nothing, a changed source is built anew, superseded folders go."""
+    source, root, built = tmp_path / "bookings.csv", tmp_path / "root", []
+    source.write_text(csv_text({"lead_time": 1}, {"lead_time": 2}))
+
+    def build(folder):
+        built.append(folder)
+        return build_from_csv(spark, str(source), folder, ["lead_time"])
+
+    def opened(**options):
+        return up_to_date(spark, str(root), [str(source)], build, **options)
+
+    first = opened()
+    assert first.table("booking_fact").count() == 2 and not (root / _versions(root)[0] / "_unnumbered").exists()
+    assert opened().folder == first.folder and len(built) == 1
+    source.write_text(csv_text({"lead_time": 1}, {"lead_time": 2}, {"lead_time": 3}))
+    second = opened()
+    assert second.table("booking_fact").count() == 3 and len(built) == 2
+    assert first.table("booking_fact").count() == 2 and len(_versions(root)) == 2  # left to those that still read it
+    source.write_text(csv_text({"lead_time": 4}))
+    third = opened(keep_seconds=0)
+    assert _versions(root) == [third.folder.rsplit("/", 1)[1]]
+    assert current_version(spark, str(root)).table("booking_fact").count() == 1
+    assert sorted(p.name for p in root.iterdir() if p.is_file() and not p.name.startswith(".")) == ["MANIFEST.json"]
+
+
+def test_failed_build_leaves_the_old_version(spark, tmp_path):
+    source, root = tmp_path / "bookings.csv", tmp_path / "root"
+    source.write_text(csv_text({"lead_time": 1}))
+    good = up_to_date(spark, str(root), [str(source)], lambda folder: build_from_csv(spark, str(source), folder, ["lead_time"]))
+    source.write_text(csv_text({"lead_time": 1}, {"lead_time": 2}))
+
+    def broken(folder):
+        Warehouse(spark, folder).write("hotel_dim", spark.range(3))
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        up_to_date(spark, str(root), [str(source)], broken)
+    assert current_version(spark, str(root)).folder == good.folder and good.table("booking_fact").count() == 1 and len(_versions(root)) == 1
+
+    def slow(folder):
+        made = build_from_csv(spark, str(source), folder, ["lead_time"])
+        source.write_text(csv_text({"lead_time": 9}))
+        return made
+
+    with pytest.raises(RuntimeError, match="changed"):
+        up_to_date(spark, str(root), [str(source)], slow)
+    assert current_version(spark, str(root)).folder == good.folder
+
+
+def test_another_application_was_faster(spark, tmp_path):
+    source, root = tmp_path / "bookings.csv", tmp_path / "root"
+    source.write_text(csv_text({"lead_time": 1}))
+    plain = lambda folder: build_from_csv(spark, str(source), folder, ["lead_time"])
+    others = []
+
+    def late(folder):
+        others.append(up_to_date(spark, str(root), [str(source)], plain))
+        return plain(folder)
+
+    assert up_to_date(spark, str(root), [str(source)], late).folder == others[0].folder and len(_versions(root)) == 1
+
+
+def test_results_are_kept_by_version(spark, small, capsys):
+    """The second call, of another handle, scans no fact; other options and other versions are computed."""
+    calls = []
+
+    def figures(house, **options):
+        def build():
+            calls.append(options)
+            return apply_filters(house.star("year", "hotel_name", "is_canceled"), **options).groupBy("hotel_name").count()
+
+        return house.result("bookings_by_hotel", build, **options)
+
+    first = figures(small, hotel="City Hotel").collect()
+    again = figures(Warehouse(spark, small.folder), hotel="City Hotel")
+    assert again.collect() == first and len(calls) == 1
+    again.explain()
+    assert "booking_fact" not in capsys.readouterr().out
+    assert figures(small, hotel="Resort Hotel").collect() == [] and figures(small).collect() == first and len(calls) == 3

@@ -30,6 +30,10 @@ class Buckets:
             expression = expression.when(column <= high, name)
         return expression.when(column > self.borders[-1], self.labels[-1])
 
+    def order(self, label: str | Column) -> Column:
+        """Place of a label, null for any other text."""
+        return F.nullif(F.array_position(F.array(*[F.lit(text) for text in self.labels]), label), F.lit(0).cast("long"))
+
     def table(self, spark, name: str) -> DataFrame:
         """The labels as rows (name, bucket_order)."""
         entries = F.array(

@@ -11,12 +11,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import buckets
 from ..functions.risk import high_risk
 from ..session import shared_folder
-from .evaluation import roc_auc
 from .preparation import row_hash, stratified_parts
 
 # Feature columns.
@@ -168,26 +167,32 @@ def grid_search(
     limit", and has no minimum split size, so the full search has 12 combinations: trees 100 and 200, depth 10, 20 and 30,
     leaf size 1 and 2. Feature stages are fitted on all folds: means and categories do not depend on the label.
     """
-    names = {str(k): 1 / folds for k in range(folds)}
-    parts = stratified_parts(bounded(train, most_rows), "is_canceled", names, seed=7, name="fold")
+    thirds = {str(k): 1 / folds for k in range(folds)}
+    parts = stratified_parts(bounded(train, most_rows), "is_canceled", thirds, seed=7, name="fold")
     rows = training_rows(parts, "is_canceled", CANCELLATION_NUMERIC, CANCELLATION_CATEGORIES, None)
     stages, vectors = encoded(rows, CANCELLATION_NUMERIC, CANCELLATION_CATEGORIES, one_hot, ["booking_id", "is_canceled", "fold"])
     bins, n = _bins(rows, CANCELLATION_CATEGORIES, one_hot), vectors.count()
 
-    def judged(job: tuple[int, int, int, int, int]) -> DataFrame:
+    def held_out(job: tuple[int, int, int, int, int]) -> DataFrame:
         place, depth, min_leaf, trees, fold = job
         inside = _dealt(vectors.filter(F.col("fold") != str(fold)).drop("fold"), n, 2_500, "booking_id")
-        model = _forest(trees, depth, min_leaf, bins).fit(inside)
-        held = model.transform(vectors.filter(F.col("fold") == str(fold))).select("is_canceled", vector_to_array("probability")[1].alias("p"))
-        held = _stored(held, "fold-scores")
-        given = [F.lit(v).cast("int").alias(k) for k, v in zip(("place", "depth", "min_leaf", "trees", "fold"), job)]
-        counted = held.agg(F.count(F.lit(1)).alias("rows"))
-        return roc_auc(held, "is_canceled", "p").crossJoin(counted).select(*given, "rows", "roc_auc")  # one row each
+        model = _forest(trees, depth, min_leaf, bins).setCheckpointInterval(-1).fit(inside)
+        scored = model.transform(vectors.filter(F.col("fold") == str(fold))).select("is_canceled", vector_to_array("probability")[1].alias("p"))
+        given = [F.lit(v).cast("int").alias(k) for k, v in zip(names, job)]
+        return _stored(scored.select(*given, "is_canceled", "p"), "fold-scores")
 
+    names = ["place", "depth", "min_leaf", "trees", "fold"]
     combinations = list(enumerate(product(grid["depth"], grid["min_leaf"], grid["trees"])))
     jobs = [(place, *combination, k) for place, combination in combinations for k in range(folds)]
     with ThreadPoolExecutor(parallelism) as pool:
-        return _stored(reduce(DataFrame.unionAll, pool.map(judged, jobs)), "grid")
+        scores = reduce(DataFrame.unionAll, pool.map(held_out, jobs))
+    # All fits are judged together: per fit and fold, how often a positive ranks above a negative, ties counting half.
+    by_score = scores.groupBy(*names, "p").agg(F.sum("is_canceled").alias("pos"), F.sum(1 - F.col("is_canceled")).alias("neg"))
+    above = F.sum("pos").over(Window.partitionBy(*names).orderBy(F.desc("p"))) - F.col("pos")
+    wins = by_score.withColumn("wins", F.col("neg") * (above + F.col("pos") / 2))
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    results = wins.groupBy(*names).agg((F.sum("pos") + F.sum("neg")).alias("rows"), F.round(F.try_divide(F.sum("wins"), pairs), 6).alias("roc_auc"))
+    return _stored(results, "grid")
 
 
 def best_combination(results: DataFrame) -> dict[str, int]:

@@ -1,9 +1,8 @@
-"""Pearson correlation of many columns, pairwise complete, in two passes over the data."""
+"""Pearson correlation of many columns, pairwise complete, in one pass over the data."""
 
 from __future__ import annotations
 
-import math
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -21,45 +20,34 @@ MODEL_COLUMNS = [
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows (col_a, col_b, r) for all ordered pairs; r is null when a column is constant.
+    """Rows (col_a, col_b, r) for all ordered pairs, pairwise complete; r is null when a column is constant there.
 
-    The first pass finds counts, means and ranges, the second sums products of centred values, which stays accurate
-    for large means. A pair with missing values is summed over the rows where both are present. Both passes are plain
-    sums combined inside each task; one row of scalars comes back.
+    One pass adds up products of values taken from a fixed shift, the first row's, which keeps them accurate for large
+    means. Sums are kept apart by which columns a row misses, so a pair is the sum over the patterns that have both;
+    there are as many rows as patterns to finish, in columns.
     """
     data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    first = data.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[f(c).alias(f"{tag}_{c}") for c in columns for tag, f in (("n", F.count), ("mean", F.avg), ("min", F.min), ("max", F.max))],
-    ).first()
-    complete = {c for c in columns if first[f"n_{c}"] == first["_rows"]}
-    varying = [c for c in columns if first[f"n_{c}"] > 1 and first[f"min_{c}"] < first[f"max_{c}"]]
-    centred = data.select(*[(F.col(c) - F.lit(first[f"mean_{c}"])).alias(c) for c in varying])
-    sums = {f"xx_{c}": f"sum({c} * {c})" for c in varying}
-    for a, b in combinations(varying, 2):
-        sums[f"xy_{a}_{b}"] = f"sum({a} * {b})"
-        if not {a, b} <= complete:
-            for tag, x, y in (("a", a, b), ("b", b, a)):
-                sums[f"{tag}1_{a}_{b}"] = f"sum(CASE WHEN {y} IS NOT NULL THEN {x} END)"
-                sums[f"{tag}2_{a}_{b}"] = f"sum(CASE WHEN {y} IS NOT NULL THEN {x} * {x} END)"
-            sums[f"n_{a}_{b}"] = f"count({a} * {b})"
+    shift = data.limit(1).select(F.struct(*[F.coalesce(c, F.lit(0.0)).alias(c) for c in columns])).scalar()
+    shifted = data.withColumn("_shift", shift).select(*[(F.col(c) - F.col(f"_shift.{c}")).alias(c) for c in columns])
+    pattern = "concat(" + ", ".join(f"if({c} IS NULL, '1', '0')" for c in columns) + ")"
+    products = {f"_p{i}_{j}": f"sum({a} * {b})" for (i, a), (j, b) in combinations_with_replacement(enumerate(columns), 2)}
     # As text: a hundred small expressions reach the planner faster than built one call at a time.
-    second = centred.selectExpr(*[f"{v} AS {k}" for k, v in sums.items()]).first() if sums else None
-
-    def pearson(a: str, b: str) -> float | None:
-        if a not in varying or b not in varying:
-            return None
-        if a == b:
-            return 1.0
-        a, b = sorted((a, b), key=varying.index)
-        xy, xx, yy = second[f"xy_{a}_{b}"], second[f"xx_{a}"], second[f"xx_{b}"]
-        if f"n_{a}_{b}" in sums:
-            n = second[f"n_{a}_{b}"]
-            if n < 2:
-                return None
-            sa, sb = second[f"a1_{a}_{b}"], second[f"b1_{a}_{b}"]
-            xx, yy, xy = second[f"a2_{a}_{b}"] - sa * sa / n, second[f"b2_{a}_{b}"] - sb * sb / n, xy - sa * sb / n
-        return None if xx <= 0 or yy <= 0 else max(-1.0, min(1.0, xy / math.sqrt(xx * yy)))
-
-    rows = [(a, b, None if (r := pearson(a, b)) is None else round(r, 6)) for a in columns for b in columns]
-    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
+    sums = [*[f"sum({c}) AS _s{i}" for i, c in enumerate(columns)], *[f"{v} AS {k}" for k, v in products.items()]]
+    patterns = shifted.groupBy(F.expr(pattern).alias("_missing")).agg(F.count(F.lit(1)).alias("_n"), *map(F.expr, sums))
+    pairs = [
+        f"struct({i} AS i, {j} AS j, _s{i} AS sa, _s{j} AS sb, _p{i}_{i} AS saa, _p{j}_{j} AS sbb, _p{i}_{j} AS sab)"
+        for i, j in combinations_with_replacement(range(len(columns)), 2)
+    ]
+    each = patterns.select("_missing", "_n", F.inline(F.expr(f"array({', '.join(pairs)})")))
+    both = each.filter("substring(_missing, i + 1, 1) = '0' AND substring(_missing, j + 1, 1) = '0'")
+    summed = both.groupBy("i", "j").agg(F.sum("_n").alias("n"), *[F.sum(c).alias(c) for c in ("sa", "sb", "saa", "sbb", "sab")])
+    xx, yy, xy = (F.col(p) - F.col(x) * F.col(y) / F.col("n") for p, x, y in (("saa", "sa", "sa"), ("sbb", "sb", "sb"), ("sab", "sa", "sb")))
+    # What rounding leaves of a constant column is no spread.
+    varying = (xx > F.col("saa") * 1e-13) & (yy > F.col("sbb") * 1e-13)
+    r = F.when(varying, F.when(F.col("i") == F.col("j"), 1.0).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), xy / F.sqrt(xx * yy)))))
+    found = summed.select("i", "j", F.round(r, 6).alias("r"))
+    mirrored = found.select(F.inline(F.array(F.struct("i", "j", "r"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"), "r")))).distinct()
+    names = F.array(*[F.lit(c) for c in columns])
+    grid = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(len(columns)) for j in range(len(columns))])
+    every = df.sparkSession.range(1).select(F.inline(grid))  # pairs that no row has both of
+    return every.join(mirrored, ["i", "j"], "left").select(F.get(names, F.col("i")).alias("col_a"), F.get(names, F.col("j")).alias("col_b"), "r")

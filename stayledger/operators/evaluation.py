@@ -98,12 +98,19 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFr
     return ranked.agg(F.round(F.try_divide(wins, pairs), 6).alias("roc_auc"))
 
 
-def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """False and true positive rate at each distinct score, starting at (0, 0) above the highest one."""
+def roc_curve(df: DataFrame, label: str = "label", score: str = "score", all_points: bool = False) -> DataFrame:
+    """False and true positive rate at the distinct scores, starting at (0, 0) above the highest one.
+
+    A point is left out where the curve goes on by the same step, as many positives and negatives, behind it as before it;
+    the first and the last score stay. With ``all_points`` none is left out. The area below is the same.
+    """
     ranked = _by_score(df, label, score)
     totals = ranked.agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"), F.max("score").alias("top"))
     negatives, positives = totals.select("neg").scalar(), totals.select("pos").scalar()
-    points = ranked.select(
+    same_step = (F.col("next_pos") == F.col("pos")) & (F.col("next_neg") == F.col("neg"))
+    first = F.col("upto_pos") + F.col("upto_neg") == F.col("pos") + F.col("neg")
+    kept = ranked if all_points else ranked.filter(first | ~F.coalesce(same_step, F.lit(False)))
+    points = kept.select(
         F.col("score").alias("threshold"),
         F.round(F.try_divide("upto_neg", negatives), 6).alias("fpr"),
         F.round(F.try_divide("upto_pos", positives), 6).alias("tpr"),

@@ -234,3 +234,51 @@ def holdout_predictions(
         )
 
     return split.groupBy("series_key").applyInPandas(predict, "series_key string, month_start date, value double, predicted double")
+
+
+OUTLOOK = "series_key string, kind string, month_start date, value double, predicted double, lower_ci double, upper_ci double"
+
+
+def model_outlook(
+    split: DataFrame, periods: int = 12, order: tuple[int, int, int] = (1, 1, 1), seasonal: tuple[int, int, int, int] = (1, 1, 1, 12)
+) -> DataFrame:
+    """Every series with what the model says of it: its months up to the split (``history``), the held-out months with the
+    forecast made from the months before them (``holdout``), and ``periods`` months after the last one (``forecast``), the
+    last two with a 95 % interval from the error weights of the fitted polynomials.
+
+    ``split`` is a gap-free series with its parts, see :func:`demand.time_split`. Both fits of a series are made in one pass
+    over it: one on its train months, one on all of them.
+    """
+
+    def outlook(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("month_start")
+        train, test = rows[rows["part"] == "train"], rows[rows["part"] == "test"]
+        parts = [pd.DataFrame({"kind": "history", "month_start": train["month_start"], "value": train["value"].astype(float)})]
+        if len(test):
+            parts.append(pd.DataFrame({"kind": "holdout", "month_start": test["month_start"], "value": test["value"].astype(float)}))
+            if len(train):
+                parts[-1] = parts[-1].assign(**_interval(train, len(test), order, seasonal))
+        ahead = pd.date_range(pd.Timestamp(rows["month_start"].iloc[-1]), periods=periods + 1, freq="MS")[1:].date
+        parts.append(pd.DataFrame({"kind": "forecast", "month_start": ahead, **_interval(rows, periods, order, seasonal)}))
+        whole = pd.concat(parts, ignore_index=True).assign(series_key=rows["series_key"].iloc[0])
+        return whole.reindex(columns=[c.split()[0] for c in OUTLOOK.split(", ")])
+
+    return split.groupBy("series_key").applyInPandas(outlook, OUTLOOK)
+
+
+def _interval(rows: pd.DataFrame, periods: int, order: tuple[int, int, int], seasonal: tuple[int, int, int, int]) -> dict[str, np.ndarray]:
+    means, spread = _predict(_fit(rows["value"].to_numpy(dtype=float), order, seasonal), periods, seasonal[3])
+    return {"predicted": means, "lower_ci": means - NORMAL_95 * spread, "upper_ci": means + NORMAL_95 * spread}
+
+
+def outlook_forecast(outlook: DataFrame) -> DataFrame:
+    """The future months of :func:`model_outlook` in whole bookings, none below 0, for :func:`forecast_summary` and
+    :func:`demand_outlook`."""
+    whole = lambda c: F.greatest(F.lit(0), F.round(c).cast("bigint"))
+    future = outlook.filter("kind = 'forecast'")
+    return future.select("series_key", "month_start", whole("predicted").alias("bookings"), whole("lower_ci").alias("lower_ci"), whole("upper_ci").alias("upper_ci"))
+
+
+def outlook_history(outlook: DataFrame) -> DataFrame:
+    """The known months of :func:`model_outlook`, held-out ones included."""
+    return outlook.filter("kind <> 'forecast'").select("series_key", "month_start", "value")

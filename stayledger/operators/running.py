@@ -10,7 +10,8 @@ ROWS_IN_PART = 1_000_000  # what one task sorts
 
 
 def running_totals_descending(df: DataFrame, order: str, amounts: list[str]) -> DataFrame:
-    """Add ``upto_<amount>``: the sum over all rows with an ``order`` value at least as high. ``order`` is unique.
+    """Add ``upto_<amount>``: the sum over all rows with an ``order`` value at least as high, and ``next_<amount>``: that of
+    the row with the next lower one, null in the last row. ``order`` is unique.
 
     Range partitions are kept in the shared folder, so the totals of the partitions and the sums inside them see the
     same cuts. The only unpartitioned window works on one row per partition.
@@ -20,11 +21,17 @@ def running_totals_descending(df: DataFrame, order: str, amounts: list[str]) ->
     width = max(usual, -(-once.count() // ROWS_IN_PART))
     ranged = reliable_checkpoint(once.repartitionByRange(width, F.desc(order)).withColumn("_part", F.spark_partition_id()))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranged.groupBy("_part").agg(*[F.sum(a).alias(f"_{a}") for a in amounts])
-    offsets = totals.select("_part", *[F.coalesce(F.sum(f"_{a}").over(before), F.lit(0)).alias(f"_before_{a}") for a in amounts])
+    totals = ranged.groupBy("_part").agg(*[F.sum(a).alias(f"_{a}") for a in amounts], *[F.max_by(a, order).alias(f"_first_{a}") for a in amounts])
+    following = Window.orderBy("_part")
+    offsets = totals.select(
+        "_part",
+        *[F.coalesce(F.sum(f"_{a}").over(before), F.lit(0)).alias(f"_before_{a}") for a in amounts],
+        *[F.lead(f"_first_{a}").over(following).alias(f"_after_{a}") for a in amounts],  # parts without rows are not among them
+    )
     inside = Window.partitionBy("_part").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumns({f"upto_{a}": F.sum(a).over(inside) for a in amounts})
+    ordered = Window.partitionBy("_part").orderBy(F.desc(order))
+    local = ranged.withColumns({f"upto_{a}": F.sum(a).over(inside) for a in amounts} | {f"next_{a}": F.lead(a).over(ordered) for a in amounts})
     joined = local.join(F.broadcast(offsets), "_part")
-    return joined.withColumns({f"upto_{a}": F.col(f"upto_{a}") + F.col(f"_before_{a}") for a in amounts}).drop(
-        "_part", *[f"_before_{a}" for a in amounts]
-    )
+    sums = {f"upto_{a}": F.col(f"upto_{a}") + F.col(f"_before_{a}") for a in amounts}
+    nexts = {f"next_{a}": F.coalesce(f"next_{a}", f"_after_{a}") for a in amounts}
+    return joined.withColumns(sums | nexts).drop("_part", *[f"_{tag}_{a}" for tag in ("before", "after") for a in amounts])

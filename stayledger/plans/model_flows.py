@@ -58,8 +58,7 @@ def cancellation_data(house: Warehouse) -> DataFrame:
     times."""
 
     def build() -> DataFrame:
-        wide = house.derived("cancellation_rows", lambda: house.star(*CANCELLATION_COLUMNS))
-        data = filled(wide, classifiers.CANCELLATION_NUMERIC, classifiers.CANCELLATION_CATEGORIES)
+        data = filled(house.star(*CANCELLATION_COLUMNS), classifiers.CANCELLATION_NUMERIC, classifiers.CANCELLATION_CATEGORIES)
         return stratified_parts(data, "is_canceled", TEST_SHARE)
 
     return house.derived("cancellation_data", build)
@@ -80,16 +79,18 @@ def churn_labels(house: Warehouse) -> DataFrame:
     return house.derived("churn_labels", build)
 
 
-def labelled_bookings(house: Warehouse) -> DataFrame:
-    """Churn features with their label. Written once, as training passes over them many times."""
-    return house.derived("labelled_bookings", lambda: with_churn_label(house.star(*CHURN_COLUMNS)))
+def labelled_bookings(house: Warehouse, *columns: str) -> DataFrame:
+    """Columns of the star with the churn label of each booking. The label is a narrow table of its own, so only the
+    columns asked for are joined to it."""
+    labels = churn_labels(house).select("booking_id", "customer_id", "is_churned")
+    return house.star(*dict.fromkeys(["booking_id", *columns])).join(labels, "booking_id")
 
 
 def churn_data(house: Warehouse) -> DataFrame:
     """Churn features without gaps, and the part each booking belongs to."""
 
     def build() -> DataFrame:
-        data = filled(labelled_bookings(house), classifiers.CHURN_NUMERIC, classifiers.CHURN_CATEGORIES)
+        data = filled(labelled_bookings(house, *CHURN_COLUMNS), classifiers.CHURN_NUMERIC, classifiers.CHURN_CATEGORIES)
         return stratified_parts(data, "is_churned", TEST_SHARE)
 
     return house.derived("churn_data", build)
@@ -111,10 +112,21 @@ def train_churn(house: Warehouse, **options) -> Trained:
     return Trained(model, scored, "is_churned", "churn_probability")
 
 
+def churn_scored(house: Warehouse, model: PipelineModel) -> DataFrame:
+    """booking_id, churn_probability and the two columns a booking's value is made of, for every booking."""
+    columns = [*CHURN_COLUMNS, *classifiers.CHURN_NUMERIC, *classifiers.CHURN_CATEGORIES]
+    data = filled(house.star(*dict.fromkeys(columns)), classifiers.CHURN_NUMERIC, classifiers.CHURN_CATEGORIES)
+    return classifiers.score(model, data, "churn_probability").select("booking_id", "churn_probability", "adr", "total_stay_nights")
+
+
+def loyalty_segments(scored: DataFrame) -> DataFrame:
+    """booking_id and its segment by risk and value, of bookings scored by :func:`churn_scored`."""
+    return with_risk_value_segment(scored).select("booking_id", "segment")
+
+
 def loyalty_recommendations(house: Warehouse, model: PipelineModel) -> DataFrame:
     """Score every booking for churn, segment by risk and value, and attach recommendations."""
-    data = filled(house.star(*CHURN_COLUMNS), classifiers.CHURN_NUMERIC, classifiers.CHURN_CATEGORIES)
-    scored = classifiers.score(model, data, "churn_probability")
+    scored = reliable_checkpoint(churn_scored(house, model))  # the value quantile and the segments both read it
     return segment_recommendations(with_risk_value_segment(scored))
 
 

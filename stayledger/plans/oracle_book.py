@@ -324,6 +324,14 @@ JOIN agent_dim_ a ON a.agent_id = coalesce(CAST(wide.agent AS VARCHAR), 'Unknown
     return sql
 
 
+OUTLOOK_MONTHS = """, outlook AS (
+  SELECT series_key, CASE WHEN row_number() OVER own <= floor(count(*) OVER (PARTITION BY series_key) * 0.8::DOUBLE) THEN 'history' ELSE 'holdout' END AS kind,
+    month_start, CAST(value AS DOUBLE) AS value FROM filled WINDOW own AS (PARTITION BY series_key ORDER BY month_start)
+  UNION ALL
+  SELECT series_key, 'forecast', CAST(last_start + to_months(CAST(step AS INTEGER)) AS DATE), NULL
+  FROM (SELECT series_key, max(month_start) AS last_start FROM filled GROUP BY series_key), range(1, 13) t(step))
+"""
+
 # The labelled rows of a fit: those of the training part whose number has the smallest hash.
 FIT_ROWS = """
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY md5(booking_id || '-42'))
@@ -331,7 +339,7 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY md5(bo
 WHERE NOT held ORDER BY md5(booking_id || '-42'), booking_id LIMIT {rows}"""
 
 GRID = (
-    ", sample AS (" + FIT_ROWS.format(label="is_canceled", source="wide", rows=600) + "), numbered AS (SELECT *, row_number() OVER (PARTITION BY is_canceled ORDER BY "
+    ", sample AS (" + FIT_ROWS.format(label="is_canceled", source="wide", rows=300) + "), numbered AS (SELECT *, row_number() OVER (PARTITION BY is_canceled ORDER BY "
     "md5(booking_id || '-7')) AS place, count(*) OVER (PARTITION BY is_canceled) AS all_rows FROM sample), folds AS (SELECT CAST(CASE WHEN place <= floor(all_rows * (1 / 3.0::DOUBLE) + 0.5) "
     "THEN 0 WHEN place <= floor(all_rows * (1 / 3.0::DOUBLE + 1 / 3.0::DOUBLE) + 0.5) THEN 1 ELSE 2 END AS INTEGER) AS fold, count(*) AS rows FROM numbered GROUP BY 1) "
     "SELECT depth, min_leaf, trees, fold, rows, true AS judged FROM folds, (VALUES (30), (10), (20)) AS d(depth), (VALUES (1), (2)) AS l(min_leaf), (VALUES (100), (200)) AS t(trees)"
@@ -564,6 +572,11 @@ FROM (SELECT *, adr * total_stay_nights AS v, adr * total_stay_nights >= {VALUE_
 SELECT series_key, round(sqrt(avg((value - predicted) * (value - predicted))), 6) AS rmse, round(avg(abs(value - predicted)), 6) AS mae,
   round(1 - sum((value - predicted) * (value - predicted)) / (var_pop(value) * count(*)), 6) AS r2
 FROM predicted WHERE held_out AND predicted IS NOT NULL GROUP BY series_key""",
+        "model_outlook": _with(RAW, WIDE, _filled(HOTEL_SEGMENT_SOURCE)) + OUTLOOK_MONTHS
+        + "SELECT series_key, kind, month_start, value, true AS ordered FROM outlook",
+        "model_demand_outlook": _with(RAW, WIDE, _filled(SERIES)) + OUTLOOK_MONTHS
+        + "SELECT CASE WHEN kind = 'holdout' THEN 'history' ELSE kind END AS kind, CAST(year(month_start) AS INTEGER) AS year, monthname(month_start) AS month, "
+        "CAST(value AS BIGINT) AS bookings, true AS ordered FROM outlook",
         "impute_numeric": _with(RAW)
         + "SELECT booking_id, coalesce(children, (SELECT median(children) FROM raw)) AS children, "
         "coalesce(CAST(agent AS DOUBLE), (SELECT median(CAST(agent AS DOUBLE)) FROM raw)) AS agent, "
@@ -585,6 +598,10 @@ FROM predicted WHERE held_out AND predicted IS NOT NULL GROUP BY series_key""",
         "churn_importance_check": _with(RAW, WIDE, LABELLED) + _feature_list("is_churned", "labelled", ()),
         "cancellation_grid": _with(RAW, WIDE) + GRID,
         "loyalty_total": _wide("SELECT count(*) AS bookings FROM wide"),
+        "loyalty_segments": _wide(
+            f"SELECT booking_id, round(adr * total_stay_nights, 2) AS total_value, CASE WHEN adr * total_stay_nights > {VALUE_THRESHOLD} THEN 'High-Value' ELSE 'Low-Value' END AS worth, "
+            "true AS consistent FROM wide"
+        ),
         "standardize": _wide(
             "SELECT booking_id, "
             + ", ".join(f"round(({c} - (SELECT avg({c}) FROM wide)) / (SELECT stddev_pop({c}) FROM wide), 6) AS {c}" for c in ("lead_time", "adr", "total_stay_nights", "total_guests"))
@@ -598,10 +615,15 @@ FROM predicted WHERE held_out AND predicted IS NOT NULL GROUP BY series_key""",
             " UNION ALL ".join(f"SELECT {a} AS label, {p} AS prediction, {c} AS count FROM cells" for a, p, c in ((0, 0, "tn"), (0, 1, "fp"), (1, 0, "fn"), (1, 1, "tp")))
         ),
         "roc_auc": _predicted(roc + " SELECT round(sum(neg * (upto_pos - pos + pos / 2)) / (max(positives) * max(negatives)), 6) AS roc_auc FROM ranked"),
-        "roc_curve": _predicted(
+        "roc_points": _predicted(
             roc + " SELECT round(max(score) + 1, 6) AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr FROM ranked UNION ALL "
             "SELECT round(score, 6), round(upto_neg / negatives, 6), round(upto_pos / positives, 6) FROM ranked"
         ),
+        "roc_curve": _predicted(
+            roc + ", steps AS (SELECT *, lead(pos) OVER w = pos AND lead(neg) OVER w = neg AS same_step, row_number() OVER w AS place FROM ranked WINDOW w AS (ORDER BY score DESC)) "
+            "SELECT round(max(score) + 1, 6) AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr FROM ranked UNION ALL "
+            "SELECT round(score, 6), round(upto_neg / negatives, 6), round(upto_pos / positives, 6) FROM steps WHERE place = 1 OR NOT coalesce(same_step, false)"
+        ),
         "revenue_advice": _wide(
             " UNION ALL ".join(
                 [

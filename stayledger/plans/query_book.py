@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import buckets, risk
 from ..functions.measures import total_value
@@ -14,6 +14,7 @@ from ..operators import (
 )
 from ..operators.dimensions import DIMENSIONS
 from ..operators.facts import DERIVED, KEY_COLUMNS, MEASURES
+from ..session import reliable_checkpoint
 from ..sources.booking_schema import RAW_COLUMNS
 from ..sources.csv_bookings import read_booking_csv
 from ..sources.warehouse_store import Warehouse
@@ -24,7 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The registered fits have the full number of trees and rounds, on at most so many labelled rows.
 LABELLED_ROWS = 20_000
-GRID_ROWS = 600  # of each of the 36 fits of the search
+GRID_ROWS = 300  # of each of the 36 fits of the search
 SERIES_PARTS = ("hotel_name", "country", "meal_plan", "market_segment")
 
 
@@ -180,6 +181,38 @@ def _model_form(house: Warehouse) -> DataFrame:
     return tiers.select("booking_id", F.round("cancellation_probability", 6).alias("cancellation_probability"), "risk_level", "actions", "high_risk")
 
 
+CHURN_FIELDS = [
+    "booking_id", "hotel_name", "customer_type", "is_repeated_guest", "previous_cancellations", "market_segment",
+    "distribution_channel", "booking_changes", "room_changed", "adr", "total_of_special_requests",
+    "previous_bookings_not_canceled", "deposit_type",
+]
+
+
+def _churn_form(house: Warehouse) -> DataFrame:
+    """The same for the churn form: completed, scored by the fitted boosting, with strategy and actions."""
+    complete = classifiers.churn_form(house.star(*CHURN_FIELDS))
+    scored = classifiers.score(_trained_boosting(house).model, complete, "churn_probability")
+    tiers = segments.risk_tiers(scored, "churn_probability")
+    return tiers.select("booking_id", F.round("churn_probability", 6).alias("churn_probability"), "risk_level", "strategy", "actions", "high_risk")
+
+
+def _loyalty(house: Warehouse) -> DataFrame:
+    """Every booking scored by the fitted boosting and put into its segment, stored once for this application."""
+    if (house.folder, "loyalty") not in _node_tables:
+        scored = reliable_checkpoint(model_flows.churn_scored(house, _trained_boosting(house).model))
+        _node_tables[(house.folder, "loyalty")] = reliable_checkpoint(segments.with_risk_value_segment(scored).select("booking_id", "churn_probability", "total_value", "segment"))
+    return _node_tables[(house.folder, "loyalty")]
+
+
+def _loyalty_check(house: Warehouse) -> DataFrame:
+    """Every booking with its value, the value part of its segment, and whether the risk part is the one its score calls for."""
+    parts = F.split("segment", " ")
+    called_for = F.when(F.col("churn_probability") > 0.7, "High-Risk").when(F.col("churn_probability") > 0.3, "Medium-Risk").otherwise("Loyal")
+    return _loyalty(house).select(
+        "booking_id", F.round("total_value", 2).alias("total_value"), parts[0].alias("worth"), (parts[1] == called_for).alias("consistent")
+    )
+
+
 def _scan_csv(spark: SparkSession, folder: str) -> DataFrame:
     return read_booking_csv(spark, csv_landing_for(spark, folder), extra=("booking_id",))
 
@@ -192,6 +225,26 @@ def _history(house: Warehouse) -> DataFrame:
     return demand.monthly_series(house.star("year", "month"))
 
 
+CHURN_CATEGORIES = ["hotel_name", "customer_type", "deposit_type", "market_segment", "season"]
+def _model_outlook(house: Warehouse, *parts: str) -> DataFrame:
+    split = demand.time_split(_series(house, *parts))
+    return house.result("model_outlook", lambda: forecasting.model_outlook(split, 12), parts=list(parts))
+
+
+def _widens() -> Column:
+    """Whether the interval is at least as wide as that of the month before."""
+    earlier = Window.partitionBy("series_key", "kind").orderBy("month_start")
+    width = F.col("upper_ci") - F.col("lower_ci")
+    return width >= F.coalesce(F.lag(width).over(earlier), F.lit(0.0)) - 1e-9
+
+
+def _known_part(outlook: DataFrame) -> DataFrame:
+    """The forecast's figures come from a fit that SQL does not repeat; whether they are in order can be told."""
+    forecast = F.col("kind") == "forecast"
+    ordered = (F.col("lower_ci") <= F.col("bookings")) & (F.col("bookings") <= F.col("upper_ci"))
+    return outlook.select("kind", "year", "month", F.when(~forecast, F.col("bookings")).alias("bookings"), (~forecast | ordered).alias("ordered"))
+
+
 STANDARDIZED = ["lead_time", "adr", "total_stay_nights", "total_guests"]
 
 
@@ -294,15 +347,11 @@ def queries() -> dict[str, Query]:
         "churn_label": _on_warehouse(model_flows.churn_labels),
         "churn_summary": _on_warehouse(lambda h: churn.churn_summary(model_flows.churn_labels(h))),
         "churn_crosstab": _on_warehouse(
-            lambda h: cancellations.crosstab(
-                model_flows.labelled_bookings(h),
-                ["hotel_name", "customer_type", "deposit_type", "market_segment", "season"],
-                "is_churned",
-            )
+            lambda h: cancellations.crosstab(model_flows.labelled_bookings(h, *CHURN_CATEGORIES), CHURN_CATEGORIES, "is_churned")
         ),
         "churn_correlation": _on_warehouse(
             lambda h: correlation.correlation_matrix(
-                model_flows.labelled_bookings(h), correlation.MODEL_COLUMNS + ["is_churned"]
+                model_flows.labelled_bookings(h, *correlation.MODEL_COLUMNS), correlation.MODEL_COLUMNS + ["is_churned"]
             )
         ),
         "risk_tiers": _on_warehouse(
@@ -364,6 +413,16 @@ def queries() -> dict[str, Query]:
                 )
             )
         ),
+        "model_outlook": _on_warehouse(
+            lambda h: _model_outlook(h, "hotel_name", "market_segment").select(
+                "series_key", "kind", "month_start", "value",
+                ((F.col("kind") == "history") | (F.col("lower_ci") <= F.col("predicted")) & (F.col("predicted") <= F.col("upper_ci")) & _widens()).alias("ordered"),
+            )
+        ),
+        "model_demand_outlook": _on_warehouse(
+            lambda h: _known_part(forecasting.demand_outlook(forecasting.outlook_history(_model_outlook(h)), forecasting.outlook_forecast(_model_outlook(h))))
+        ),
+        "model_forecast_summary": _on_warehouse(lambda h: forecasting.forecast_summary(forecasting.outlook_forecast(_model_outlook(h))).drop("series_key")),
         # Preparation and evaluation
         "impute_numeric": _on_warehouse(
             lambda h: preparation.impute_numeric(
@@ -389,6 +448,7 @@ def queries() -> dict[str, Query]:
         "classification_report": _on_warehouse(lambda h: evaluation.classification_report(_predicted(h))),
         "confusion_matrix": _on_warehouse(lambda h: evaluation.confusion_matrix(_predicted(h))),
         "roc_auc": _on_warehouse(lambda h: evaluation.roc_auc(_predicted(h))),
+        "roc_points": _on_warehouse(lambda h: _rounded(evaluation.roc_curve(_predicted(h), all_points=True), "threshold")),
         "roc_curve": _on_warehouse(lambda h: _rounded(evaluation.roc_curve(_predicted(h)), "threshold")),
         # Fitted models
         "cancellation_scores": _on_warehouse(
@@ -413,12 +473,10 @@ def queries() -> dict[str, Query]:
         "feature_importance": _on_warehouse(_importance),
         "churn_feature_importance": _on_warehouse(_churn_importance),
         "model_form_tiers": _on_warehouse(_model_form),
-        "loyalty_total": _on_warehouse(
-            lambda h: model_flows.loyalty_recommendations(h, _trained_boosting(h).model).agg(F.sum("customer_count").alias("bookings"))
-        ),
-        "loyalty_recommendations": _on_warehouse(
-            lambda h: model_flows.loyalty_recommendations(h, _trained_boosting(h).model)
-        ),
+        "loyalty_total": _on_warehouse(lambda h: segments.segment_recommendations(_loyalty(h)).agg(F.sum("customer_count").alias("bookings"))),
+        "loyalty_recommendations": _on_warehouse(lambda h: segments.segment_recommendations(_loyalty(h))),
+        "loyalty_segments": _on_warehouse(_loyalty_check),
+        "churn_form_tiers": _on_warehouse(_churn_form),
         # Advice
         "revenue_advice": _on_columns(
             advice.revenue_advice, "season", "market_segment", "reserved_room_type", "total_stay_nights", "revenue", "adr"

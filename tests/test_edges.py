@@ -1,11 +1,12 @@
 """Borders and odd rows of expressions, buckets, risk tiers, correlation, imputation."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from stayledger.functions import buckets, calendar, measures, risk
-from stayledger.operators import cancellations, preparation, revenue, segments, trends
+from stayledger.operators import advice, cancellations, preparation, revenue, segments, trends
 from stayledger.operators.churn import churn_summary, customer_label, customer_rollup, with_churn_label, with_customer_id
 from stayledger.operators.correlation import correlation_matrix
 from stayledger.operators.retention import retention_kpis, with_value_segment
@@ -210,3 +211,36 @@ def test_figures_of_an_empty_selection(spark):
     kpis = cancellations.cancellation_kpis(spark.createDataFrame([], "is_canceled int")).first()
     assert (kpis.total_bookings, kpis.cancelled_bookings, kpis.confirmed_bookings) == (0, 0, 0)
     assert revenue.top_markets(spark.createDataFrame([], "market_segment string, revenue double, adr double")).count() == 0
+
+
+def test_correlations_of_patterns_of_gaps(spark, capsys):
+    """Pairwise complete with large means and many patterns of missing values, from one scan."""
+    rng = np.random.default_rng(3)
+    frame = pd.DataFrame(rng.normal(size=(400, 5)) + [1e9, 0, -1e6, 3, 5], columns=list("abcde"))
+    frame["d"] = frame["b"] * 2 + 1
+    frame["k"] = 7.1
+    for c in "abd":
+        frame.loc[rng.uniform(size=400) < 0.3, c] = np.nan
+    frame["never"] = np.nan
+    frame.loc[frame["a"].isna(), "c"] = 0.3  # constant wherever the other is missing only
+    rows = [tuple(None if v != v else float(v) for v in row) for row in frame.itertuples(index=False)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in frame.columns)).repartition(5)
+    found = correlation_matrix(df, list(frame.columns))
+    expected = frame.corr().round(6)
+    table = found.toPandas().set_index(["col_a", "col_b"]).r
+    assert len(table) == 49
+    for a in frame.columns:
+        for b in frame.columns:
+            known, right = table[a, b], expected.loc[a, b]
+            assert (known != known and right != right) or abs(known - right) < 2e-6 or "k" in (a, b) and known != known, (a, b, known, right)
+
+
+def test_advice_on_ties_and_empty_tables(spark):
+    schema = "season string, market_segment string, reserved_room_type string, total_stay_nights long, revenue double, adr double"
+    rows = [("Winter", "b", "X", 1, 10.0, 5.0), ("Fall", "a", "Y", 2, 10.0, 5.0), (None, None, None, 0, 99.0, 99.0)]
+    df = spark.createDataFrame(rows, schema)
+    details = [r.detail for r in advice.revenue_advice(df).collect()]
+    assert any("Fall" in d for d in details) and any("Target a " in d for d in details) and any("Room X" in d for d in details) and any("0-1 nights" in d for d in details)
+    assert len(details) == 5 and advice.revenue_advice(df.limit(0)).collect() == []
+    plan = advice.revenue_advice(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1

@@ -42,6 +42,33 @@ def test_curve_over_many_partitions(spark, predictions):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def reduced(label, score):
+    """The points that stay, by second differences of the counts along falling scores."""
+    values = np.unique(score)[::-1]
+    upto = np.array([[(label[score >= v] == 1).sum(), (label[score >= v] == 0).sum()] for v in values])
+    keep = np.ones(len(values), bool)
+    if len(values) > 2:
+        keep[1:-1] = (np.diff(upto, 2, axis=0) != 0).any(axis=1)
+    return values[keep], upto[keep] / upto[-1]
+
+
+def test_collinear_points_go(spark, predictions):
+    df, label, score = predictions
+    steps = np.concatenate([np.repeat(np.arange(20) / 20, 2), [0.5, 0.96, 0.97, 0.98, 0.99]])
+    tags = np.concatenate([np.tile([0, 1], 20), [1, 1, 1, 0, 0]])
+    small = spark.createDataFrame([(int(l), float(s)) for l, s in zip(tags, steps)], "label int, score double").repartition(7)
+    for frame, labels, scores in ((df, label, score), (small, tags, steps), (small.filter("score > 0.97"), tags[-2:], steps[-2:])):
+        if (labels == 1).any():
+            values, rates = reduced(labels, scores)
+            for coalesce in ("true", "false"):
+                spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+                found = evaluation.roc_curve(frame).toPandas().sort_values("threshold", ascending=False).iloc[1:]
+                spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+                assert np.allclose(found.threshold, values) and np.allclose(found[["tpr", "fpr"]], rates, atol=1e-6)
+    assert evaluation.roc_curve(small, all_points=True).count() == len(np.unique(steps)) + 1
+    assert evaluation.roc_curve(small).count() < len(np.unique(steps))
+
+
 def test_metrics(predictions):
     df, label, score = predictions
     predicted = (score > 0.5).astype(int)

@@ -24,7 +24,7 @@ def test_every_sql_belongs_to_a_query():
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {
         "sarima_forecast", "sarima_metrics", "cancellation_scores", "churn_scores", "feature_importance",
-        "loyalty_recommendations", "churn_feature_importance", "model_form_tiers",
+        "loyalty_recommendations", "churn_feature_importance", "model_form_tiers", "churn_form_tiers", "model_forecast_summary",
         *(f"{kind}_model_{table}" for kind in ("cancellation", "churn") for table in ("metrics", "report", "confusion", "roc_auc", "roc_curve")),
     }
     assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
@@ -81,3 +81,10 @@ def test_forecast_shape(spark, tables_folder):
     assert (forecast.lower_ci <= forecast.predicted_bookings).all() and (forecast.predicted_bookings <= forecast.upper_ci).all()
     for _, rows in forecast.sort_values("date").groupby("series_key"):
         assert (rows.upper_ci - rows.lower_ci).is_monotonic_increasing
+
+
+def test_model_summary_and_churn_form(spark, tables_folder):
+    row = QUERIES["model_forecast_summary"](spark, tables_folder).first()
+    assert row.low_value <= row.average <= row.peak_value and row.total >= 12 * row.low_value
+    tiers = QUERIES["churn_form_tiers"](spark, tables_folder).toPandas()
+    assert len(tiers) == 6000 and tiers.churn_probability.between(0, 1).all() and tiers.strategy.notna().all()

@@ -158,3 +158,44 @@ def test_fit_runs_where_the_package_is_not_installed(tmp_path):
     code = "import sys; from pyspark import cloudpickle; f, rows = cloudpickle.load(open(sys.argv[1], 'rb')); assert 'stayledger' not in sys.modules; print(len(f(rows)))"
     done = subprocess.run([sys.executable, "-c", code, str(tmp_path / "task.bin")], cwd=tmp_path, capture_output=True, text=True, env={"PATH": "/usr/bin"}, timeout=120)
     assert done.stdout.strip() == "1", done.stderr
+
+
+def test_outlook_of_a_small_series_by_hand(spark):
+    """Without seasonal or moving-average part: an autoregression on the differences, recomputed with plain sums."""
+    rng = np.random.default_rng(5)
+    values = np.round(np.cumsum(rng.normal(size=40)) * 3 + 100, 3)
+    months = pd.date_range("2015-01-01", periods=40, freq="MS").date
+    rows = [("s", m, float(v), "train" if i < 32 else "test") for i, (m, v) in enumerate(zip(months, values))]
+    split = spark.createDataFrame(rows, "series_key string, month_start date, value double, part string")
+    found = forecasting.model_outlook(split, 5, (1, 1, 0), (0, 0, 0, 12)).toPandas().sort_values("month_start")
+    assert list(found.kind) == ["history"] * 32 + ["holdout"] * 8 + ["forecast"] * 5
+
+    def by_hand(known, periods):
+        w = np.diff(known)
+        y, x = w[2:], w[1:-1]  # the long autoregression takes one month, the regression starts after another
+        phi = (x @ y) / (x @ x)
+        sigma = np.sqrt(((y - phi * x) ** 2).sum() / (len(y) - 1))
+        means, spread, last, change, total = [], [], known[-1], w[-1], 0.0
+        for h in range(periods):
+            change = phi * change
+            last += change
+            total += sum(phi**k for k in range(h + 1)) ** 2
+            means.append(last)
+            spread.append(sigma * np.sqrt(total))
+        return np.array(means), np.array(spread)
+
+    for kind, known, n in (("holdout", values[:32], 8), ("forecast", values, 5)):
+        means, spread = by_hand(known, n)
+        own = found[found.kind == kind]
+        assert np.allclose(own.predicted, means) and np.allclose(own.upper_ci - own.predicted, 1.959963984540054 * spread)
+        assert np.allclose(own.predicted - own.lower_ci, own.upper_ci - own.predicted)
+
+
+def test_outlook_of_short_series(spark):
+    rows = [("one", pd.Timestamp("2016-05-01").date(), 4.0, "test"), ("two", pd.Timestamp("2016-05-01").date(), 4.0, "train"), ("two", pd.Timestamp("2016-06-01").date(), 6.0, "test")]
+    split = spark.createDataFrame(rows, "series_key string, month_start date, value double, part string")
+    found = forecasting.model_outlook(split, 3).toPandas()
+    assert found.groupby(["series_key", "kind"]).size().to_dict() == {("one", "forecast"): 3, ("one", "holdout"): 1, ("two", "forecast"): 3, ("two", "history"): 1, ("two", "holdout"): 1}
+    summary = forecasting.forecast_summary(forecasting.outlook_forecast(forecasting.model_outlook(split, 3))).collect()
+    assert {r.series_key: r.peak_value for r in summary} == {"one": 4, "two": 12}
+    assert forecasting.model_outlook(split.limit(0), 3).count() == 0

@@ -5,10 +5,11 @@ longest matches gives a number of phrases; times the bits that point at one (log
 per character, that is the cross entropy of Ziv and Merhav. A letter that the labelled text lacks has to be spelled as
 well, with the bits of one letter of all. The language with the least wins.
 
-The automata are fitted on a bounded sample of labelled rows (``SAMPLE_DOCS`` documents a language, ``SAMPLE_CHARS``
-characters each, ``ALL_CHARS`` characters in all), so the table that goes to the executors has a fixed bound. Every
-letter of the sample has a symbol of its own: the most frequent have a column in a dense table, the steps of all others
-are in a sorted list. Whole texts are then parsed, in lanes of ``LANE`` symbols that step through the automata side by side; a phrase ends with
+The automata are fitted on a bounded sample of labelled rows: whole texts of at most ``LONGEST`` characters, by hash,
+``SAMPLE_DOCS`` of a language at most, until a language has ``SAMPLE_CHARS`` characters or its part of ``ALL_CHARS``. What
+goes to the executors, the steps of the automata, has a fixed bound. Every letter of the sample has a symbol of its own:
+the most frequent get a column in a dense table, which every worker makes for itself, the steps of all others stay in a
+sorted list. Whole texts are then parsed, in lanes of ``LANE`` symbols that step through the automata side by side; a phrase ends with
 its lane, whatever rows happen to share a batch. No rows are shuffled but those of the sample.
 """
 
@@ -21,9 +22,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 SAMPLE_DOCS = 128
-SAMPLE_CHARS = 512
+SAMPLE_CHARS = 65_536
+LONGEST = 20_000
 ALL_CHARS = 400_000
 LETTERS = 60  # letters of the labelled texts that get a column in the dense table
 LANE = 1024
@@ -89,34 +92,36 @@ class SuffixAutomaton:
                         at = link[at]
             last = state
 
-    def parser(self, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Table over state and column: where a greedy parse goes next, times 4, plus the phrases that end there. And
-        the steps of symbols that have no column (-1): state, symbol, next state.
-
-        A dead end closes the phrase and starts the next one with the same symbol; a symbol that the labelled text
-        lacks is a phrase by itself. Past the end nothing happens.
-        """
-        table = np.full((len(self.edges), int(column.max()) + 1), -1, np.int64)
-        columns, others = column.tolist(), []
-        for state, edges in enumerate(self.edges):
-            for symbol, to in edges.items():
-                if columns[symbol] >= 0:
-                    table[state, columns[symbol]] = to
-                else:
-                    others.append((state, symbol, to))
-        table[:, _OTHER] = -1
-        dead = table < 0
-        from_root = np.broadcast_to(table[0], table.shape)
-        ended = np.ones((len(table), 1), np.int64)
-        ended[0] = 0
-        alone = (from_root < 0).astype(np.int64)
-        out = np.where(dead, np.maximum(from_root, 0) * 4 + ended + alone, table * 4)
-        out[:, _END] = np.arange(len(table)) * 4
-        return out, np.array(others, np.int64).reshape(-1, 3)
+    def steps(self) -> np.ndarray:
+        """Rows (state, symbol, next state), in order of state and symbol."""
+        listed = np.array([(state, symbol, to) for state, edges in enumerate(self.edges) for symbol, to in edges.items()], np.int32).reshape(-1, 3)
+        return listed[np.lexsort([listed[:, 1], listed[:, 0]])]
+
+
+def parser(steps: np.ndarray, states: int, column: np.ndarray, size: int, first: int) -> np.ndarray:
+    """Table over state and column: where a greedy parse goes next, times 4, plus the phrases that end there. Places are
+    counted in cells, the automaton's first row being row ``first``.
+
+    A dead end closes the phrase and starts the next one with the same symbol; a symbol that the labelled text lacks is a
+    phrase by itself. Past the end nothing happens.
+    """
+    table = np.full((states, size), -1, np.int64 if (first + states) * size >= 1 << 29 else np.int32)
+    at = column[steps[:, 1]]
+    dense = (at >= 0) & (at != _OTHER)
+    table[steps[dense, 0], at[dense]] = ((steps[dense, 2] + first) * size) << 2
+    root = first * size
+    for k, onward in enumerate(table[0].tolist()):
+        closed = onward if onward >= 0 else root << 2 | 1  # and one more phrase for a symbol that the text lacks
+        dead = table[:, k] < 0
+        table[dead, k] = closed + 1
+        if table[0, k] == closed + 1 and dead[0]:
+            table[0, k] = closed
+    table[:, _END] = (np.arange(states) + first) * size << 2
+    return table
 
 
 class Model:
-    """Parsers of all languages in one table, whose rows are states."""
+    """Automata of all languages by their steps, and the table that parses with them."""
 
     def __init__(self, texts: dict[str, list[str]]) -> None:
         self.languages = sorted(texts)
@@ -135,7 +140,7 @@ class Model:
         wide = [1, 1, 1, *(len(chr(code).encode("utf-8", "surrogatepass")) for code in self.alphabet.tolist())]
         self.bytes = np.ones((len(self.languages), len(wide)), np.int64)
         self.known = np.zeros(self.bytes.shape, bool)
-        tables, steps, self.roots, self.bits, rows = [], [], [], [], 0
+        steps, self.states, self.bits = [], [], []
         for at, name in enumerate(self.languages):
             sequence: list[int] = []
             for part in codes[name]:
@@ -143,17 +148,34 @@ class Model:
             own = np.unique(np.array(sequence, np.int64))
             self.bytes[at, own] = np.array(wide)[own]
             self.known[at, own[own != _OTHER]] = True
-            table, others = SuffixAutomaton(sequence).parser(self.column)
-            tables.append(((table >> 2) + rows) * self.size << 2 | table & 3)
-            steps.append(others + [rows, 0, rows])
-            self.roots.append(rows * self.size)
+            automaton = SuffixAutomaton(sequence)
+            steps.append(automaton.steps())
+            self.states.append(len(automaton.edges))
             self.bits.append(float(np.log2(max(2, len(sequence)))))
-            rows += len(table)
-        self.table = np.concatenate(tables).ravel().astype(np.int32 if rows * self.size < 1 << 29 else np.int64) if tables else None
-        listed = np.concatenate([*steps, np.zeros((0, 3), np.int64)])
-        keys = listed[:, 0] * len(self.column) + listed[:, 1]
-        order = np.argsort(keys)
-        self.keys, self.goals = keys[order], listed[order, 2]
+            del automaton
+        self.steps = steps
+        first = np.cumsum([0, *self.states])
+        self.roots = [int(row) * self.size for row in first[:-1]]
+        # The steps of symbols without a column, in order of state and symbol.
+        listed = np.concatenate([*[part[self.column[part[:, 1]] < 0] + np.array([row, 0, row]) for part, row in zip(steps, first)], np.zeros((0, 3), np.int64)])
+        self.keys, self.goals = listed[:, 0] * len(self.column) + listed[:, 1], listed[:, 2]
+        self._table: np.ndarray | None = None
+
+    @property
+    def table(self) -> np.ndarray:
+        """Parsers of all languages in one table. It is many times the size of the steps, so it is not sent along."""
+        if self._table is None:
+            rows = sum(self.states)
+            whole = np.empty((rows, self.size), np.int32 if rows * self.size < 1 << 29 else np.int64)
+            row = 0
+            for steps, states in zip(self.steps, self.states):
+                whole[row : row + states] = parser(steps, states, self.column, self.size, row)
+                row += states
+            self._table = whole.ravel()
+        return self._table
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_table": None}
 
     def _listed(self, state: np.ndarray, symbol: np.ndarray, root: np.ndarray) -> np.ndarray:
         """What the table would hold for symbols without a column."""
@@ -238,13 +260,15 @@ def learn(docs: DataFrame) -> Model:
     """Fit on labelled documents whose crc32(doc_id as text) mod 3 is not 1: those with the smallest hashes, up to
     ``SAMPLE_DOCS`` a language. A null text, language or doc_id teaches nothing."""
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(F.col("doc_id"), 3) != 1))
-    short = usable.select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), F.xxhash64("doc_id", "text").alias("pick"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("pick", "text"))
-    rows = short.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_DOCS).orderBy("lang", "rank").collect()
+    fair = usable.filter(F.length("text") <= LONGEST).select("lang", "text", F.xxhash64("doc_id", "text").alias("pick"))
+    order = Window.partitionBy("lang").orderBy("pick", "text")
+    ranked = fair.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= SAMPLE_DOCS)
+    before = F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = ranked.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < SAMPLE_CHARS).orderBy("lang", "rank").collect()
     texts: dict[str, list[str]] = {}
     for row in rows:
         texts.setdefault(row.lang, []).append(row.text)
-    share = ALL_CHARS // max(1, len(texts))
+    share = min(SAMPLE_CHARS, ALL_CHARS // max(1, len(texts)))
     return Model({name: _first(parts, share) for name, parts in texts.items()})
 
 
@@ -268,29 +292,33 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     added = ["lang_pred", "score", "mean_match"]
     kept = [name for name in docs.columns if name not in [*added, "held_out"]]
     held_out = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out")
-    rows = docs.select(*[F.col(f"`{name}`") for name in kept], held_out)
-    result = rows.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "mean_match": F.lit(0.0)})
+    # Columns are told by place inside the tasks, as names may hold dots.
+    rows = docs.select(*[F.col(f"`{name}`").alias(f"c{at}") for at, name in enumerate(kept)], held_out)
+    schema = StructType([*[docs.schema[name] for name in kept], *[StructField(n, t) for n, t in (("held_out", BooleanType()), ("lang_pred", StringType()), ("score", DoubleType()), ("mean_match", DoubleType()))]])
+    text = kept.index("text")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = list(shared.value.predict(batch.column("text").to_pylist()))
+            found = list(shared.value.predict(batch.column(text).to_pylist()))
             names, scores, matches, _ = zip(*found) if found else ((), (), (), ())
             columns = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(matches, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*kept, "held_out", *added])
 
-    return rows.mapInArrow(run, result.schema)
+    return rows.mapInArrow(run, schema)
 
 
 def in_known_language(docs: DataFrame, model: Model, least_match: float) -> DataFrame:
     """The rows of ``docs`` whose text is in a learned language: not ``und``, and with a fit (see ``Model.predict``) of
     at least ``least_match`` in its best language. No column is added or looked at but ``text``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
+    names = docs.columns
+    at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = shared.value.predict(batch.column(at).to_pylist())
-            yield batch.filter(pa.array([name != UNKNOWN and match >= least_match for name, _, _, match in found], pa.bool_()))
+            kept = batch.filter(pa.array([name != UNKNOWN and match >= least_match for name, _, _, match in found], pa.bool_()))
+            yield pa.RecordBatch.from_arrays(kept.columns, names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.toDF(*[f"c{k}" for k in range(len(names))]).mapInArrow(run, docs.schema)

@@ -106,3 +106,16 @@ def test_scripts_of_many_letters(spark):
     found = identify(docs, learn(docs)).filter("held_out AND doc_id < 400").collect()
     assert len(found) > 100 and all(r.lang_pred == r.lang for r in found)
     assert {r.doc_id for r in docs.collect()} - {r.doc_id for r in corpus_pipeline.known_language(spark, docs, "").collect()} == {900, 903}
+
+
+def test_whole_texts_teach_and_names_may_hold_dots(spark):
+    """A shared opening decides nothing, since texts are learned whole; overlong ones do not teach."""
+    pick = random.Random(6)
+    opening = prose(pick, "en", 200)
+    rows = [(i, opening * (lang == "fr") + prose(pick, lang, 300), lang, 1) for i in range(60) for lang in [("en", "fr")[i % 2]]]
+    rows += [(700, prose(pick, "en", 30_000), "fr", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, `a.b` int").repartition(3)
+    model = learn(docs)
+    mine = spark.createDataFrame([(i, prose(pick, ("en", "fr")[i % 2], 40), 2) for i in range(40)], "doc_id long, text string, `x.y` int")
+    assert all(r.lang_pred == ("en", "fr")[r.doc_id % 2] for r in identify(mine, model).collect())
+    assert corpus_pipeline.known_language(spark, docs, "").columns == docs.columns and identify(docs, model).count() == 61

@@ -92,7 +92,7 @@ class WordEncoder:
         self._encode_parts(list(fresh))
         known = self._parts
         self._words.update((word, known[core] + known[rest] if rest else known[core]) for word, (core, rest) in plain.items())
-        for text, ids in zip(other, self._library.encode_batch(other, add_special_tokens=False)):
+        for text, ids in zip(other, self._library.encode_batch_fast(other, add_special_tokens=False)):
             self._words[text.encode()] = np.array(ids.ids, "<u4").tobytes()
 
     def _encode_parts(self, parts: list[str]) -> None:
@@ -100,13 +100,13 @@ class WordEncoder:
         not right, the library cuts one of them differently, and each is encoded by itself."""
         for at in range(0, len(parts), 1000):
             some = parts[at : at + 1000]
-            ids = np.array(self._library.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self._library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self._closing[ids]) + 1
             if len(ends) == len(some):
                 data, borders = ids.tobytes(), [0, *(ends * 4).tolist()]
                 self._parts.update((part, data[a:b]) for part, a, b in zip(some, borders, borders[1:]))
             else:
-                for part, found in zip(some, self._library.encode_batch(some, add_special_tokens=False)):
+                for part, found in zip(some, self._library.encode_batch_fast(some, add_special_tokens=False)):
                     self._parts[part] = np.array(found.ids, "<u4").tobytes()
 
 

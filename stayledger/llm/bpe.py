@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-KEPT_ENTRIES = 250_000  # per generation of a worker's caches
+KEPT_ENTRIES = 100_000  # per generation of a worker's caches
 LONGEST_KEPT = 64  # characters; longer pieces are encoded each time they come
 TEXTS_TOGETHER = 1 << 22  # characters of texts whose unknown pieces share one queue
 

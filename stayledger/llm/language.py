@@ -16,7 +16,7 @@ its lane, whatever rows happen to share a batch. No rows are shuffled but those
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -174,6 +174,10 @@ class Model:
             self._table = whole.ravel()
         return self._table
 
+    def let_go(self) -> None:
+        """Drop the table at the end of a task, so that a worker does not hold it through later stages."""
+        self._table = None
+
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_table": None}
 
@@ -221,7 +225,7 @@ class Model:
         np.add.at(out, owner[order], count.T)
         return out
 
-    def predict(self, texts: list[str | None]) -> Iterator[tuple[str, float, float, float]]:
+    def predict(self, texts: Iterable[str | None]) -> Iterator[tuple[str, float, float, float]]:
         """(language, score, symbols per phrase, fit) of each text. The fit is the matched bytes per phrase, so that a
         script of many letters, whose phrases have few, is measured like others; a text that is a single phrase of
         learned letters fits without limit."""
@@ -300,10 +304,11 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = list(shared.value.predict(batch.column(text).to_pylist()))
+            found = list(shared.value.predict(value.as_py() for value in batch.column(text)))
             names, scores, matches, _ = zip(*found) if found else ((), (), (), ())
             columns = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(matches, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*kept, "held_out", *added])
+        shared.value.let_go()
 
     return rows.mapInArrow(run, schema)
 
@@ -317,8 +322,9 @@ def in_known_language(docs: DataFrame, model: Model, least_match: float) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = shared.value.predict(batch.column(at).to_pylist())
+            found = shared.value.predict(value.as_py() for value in batch.column(at))
             kept = batch.filter(pa.array([name != UNKNOWN and match >= least_match for name, _, _, match in found], pa.bool_()))
             yield pa.RecordBatch.from_arrays(kept.columns, names)
+        shared.value.let_go()
 
     return docs.toDF(*[f"c{k}" for k in range(len(names))]).mapInArrow(run, docs.schema)

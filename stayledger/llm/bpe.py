@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 
 KEPT_ENTRIES = 100_000  # per generation of a worker's caches
 LONGEST_KEPT = 64  # characters; longer pieces are encoded each time they come
-TEXTS_TOGETHER = 1 << 22  # characters of texts whose unknown pieces share one queue
+TEXTS_TOGETHER = 1 << 20  # characters of texts whose unknown pieces share one queue
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

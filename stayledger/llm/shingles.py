@@ -12,7 +12,7 @@ import xxhash
 WORDS = 5
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
-GROUP = 1 << 23  # bytes of text worked on together
+GROUP = 1 << 21  # bytes of text worked on together
 
 _RANDOM = np.random.default_rng(20240229)
 _WORD_FACTORS = _RANDOM.integers(1, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

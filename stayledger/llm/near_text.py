@@ -10,8 +10,9 @@ the full sets.
 Pairs inside a bucket are not listed. First each member is compared with the bucket's smallest node only. Most groups of
 copies are one component after that and their buckets are done, since links inside a component change nothing. In
 buckets that still hold several components, the members outside the largest one are compared with all members of other
-components, in blocks of the bucket. The likeliest pair of a member and a component is verified first, more only where the
-two are still apart, until every pair that passes the signature test is verified or inside one component.
+components, in pairs of blocks of the bucket. A first pass over signatures finds the members that are in a candidate
+pair; their full sets go to the same task again, which verifies its pairs, each in the first band its signatures share,
+unless links it found have joined the two already. A task returns the edges of a forest, never the pairs themselves.
 
 Set hashes have 64 bits: with n different shingles or sets, two are taken for one with probability n^2 / 2^65.
 """
@@ -34,7 +35,8 @@ from .storage import written
 SIMILARITY = 0.75
 MISS = 1e-6
 STEP = 32  # hashes compared at a time
-BLOCK = 512  # members of a bucket compared in one task
+BLOCK = 2048  # members of a bucket in a block; a task compares two blocks
+BLOCK_SHINGLES = 1 << 20  # and their shingles
 
 
 def least_matches(threshold: float = SIMILARITY, miss: float = MISS) -> dict[int, int]:
@@ -104,16 +106,18 @@ def _sets(texts: DataFrame) -> DataFrame:
 
 
 def _tested(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose signatures pass the sequential test."""
+    """The pairs (a, b) whose signatures pass the sequential test, and how many of their hashes match."""
     left = signatures.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
     right = signatures.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(-1, shingles.HASHES) for k in (2, 3))
-            yield batch.select(["a", "b"]).take(pa.array(likely(one, two)))
+            alive = likely(one, two)
+            matches = pa.array((one[alive] == two[alive]).sum(axis=1), pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.select(["a", "b"]).take(pa.array(alive)).columns, matches], ["a", "b", "matches"])
 
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, matches long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -136,52 +140,103 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "one", "two").mapInArrow(run, "a long, b long")
 
 
-def _across(mixed: DataFrame, most: int) -> DataFrame:
-    """Pairs (a, b, cut) from buckets of several components: ``mixed`` has key, node, component, signature, is_query,
-    block and blocks. Every member is a target in its block; queries go to all blocks of their bucket. Of a query's
-    likely pairs with one other component, the ``most`` with the most matches are given; ``cut`` says that there are
-    more."""
-    targets = mixed.select("key", "block", "node", "component", "signature", F.lit(False).alias("asks"))
-    queries = mixed.filter("is_query").select(
-        "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "node", "component", "signature", F.lit(True).alias("asks")
-    )
+TASK = ["key", "kind", "i", "j"]
+
 
-    def compare(table: pa.Table) -> pa.Table:
-        signatures = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint32).reshape(-1, shingles.HASHES)
-        node, component, asks = (table[name].to_numpy() for name in ("node", "component", "asks"))
-        query, target = np.flatnonzero(asks), np.flatnonzero(~asks)
-        found: list[np.ndarray] = [np.zeros((0, 3), np.int64)]
-        for q in query.tolist():
-            other = target[component[target] != component[q]]
-            hits = other[likely(np.broadcast_to(signatures[q], (len(other), shingles.HASHES)), signatures[other])]
-            matches = (signatures[hits] == signatures[q]).sum(axis=1)
-            order = np.lexsort([node[hits], -matches, component[hits]])
-            hits = hits[order]
-            place = np.arange(len(hits)) - np.searchsorted(component[hits], component[hits])
-            size = np.searchsorted(component[hits], component[hits], side="right") - np.searchsorted(component[hits], component[hits])
-            hits, more = hits[place < most], (size > most)[place < most]
-            found.append(np.column_stack([np.minimum(node[q], node[hits]), np.maximum(node[q], node[hits]), more]))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64()), "cut": pa.array(pairs[:, 2] > 0)})
-
-    found = targets.unionAll(queries).groupBy("key", "block").applyInArrow(compare, "a long, b long, cut boolean")
-    return found.groupBy("a", "b").agg(F.max("cut").alias("cut"))
-
-
-def _mixed_buckets(members: DataFrame, linked: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components, with their blocks; those outside the largest one ask."""
+def _tasks(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, once for each pair of blocks they are compared in.
+
+    Links inside the largest component of a bucket change nothing, so its blocks (``side`` 1 of kind 1) meet those of
+    the other members only; those meet each other too (kind 0). Blocks are bounded by members and by shingles.
+    """
     labels = linked.select(F.struct("node").alias("of"), "component")
-    labelled = members.select("key", "node", F.struct("node").alias("of")).join(labels, "of", "left")
-    labelled = written(labelled.select("key", "node", F.coalesce("component", "node").alias("component")), "bucket-components")
-    sizes = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("all"), F.count(F.lit(1)).alias("kinds"))
+    labelled = members.select("key", "band", "node", "n", F.struct("node").alias("of")).join(labels, "of", "left")
+    labelled = written(labelled.select("key", "band", "node", "n", F.coalesce("component", "node").alias("component")), "bucket-components")
+    sizes = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"))
+    top = F.max(F.struct("size", "weight", "component")).alias("top")
+    largest = sizes.groupBy("key").agg(top, F.sum("size").alias("size"), F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("kinds"))
+
+    def blocks(size, weight):
+        return F.ceil(F.greatest(size / BLOCK, weight / BLOCK_SHINGLES)).cast("int")
+
+    rest = blocks(F.col("size") - F.col("top.size"), F.col("weight") - F.col("top.weight"))
     several = largest.filter("kinds > 1").select(
-        F.struct("key").alias("at"), F.col("top.component").alias("main"), F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks")
+        F.struct("key").alias("at"), F.col("top.component").alias("main"), rest.alias("q"), blocks(F.col("top.size"), F.col("top.weight")).alias("m")
     )
-    spread = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int").alias("block")
-    return labelled.withColumn("at", F.struct("key")).join(several, "at").select(
-        "key", "node", "component", (F.col("component") != F.col("main")).alias("is_query"), spread, "blocks"
+
+    def task(kind, i, j, side):
+        return F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
+
+    every_q, every_m = (F.sequence(F.lit(0), F.col(name) - 1) for name in ("q", "m"))
+    own = F.pmod(F.xxhash64("node", "key"), F.when(F.col("component") == F.col("main"), F.col("m")).otherwise(F.col("q"))).cast("int")
+    among = F.transform(
+        every_q,
+        lambda k: F.when(k > F.col("block"), task(0, F.col("block"), k, 0)).when(k < F.col("block"), task(0, k, F.col("block"), 1)).otherwise(task(0, k, k, 0)),
     )
+    outside = F.concat(among, F.transform(every_m, lambda k: task(1, F.col("block"), k, 0)))
+    inside = F.transform(every_q, lambda k: task(1, k, F.col("block"), 1))
+    placed = labelled.withColumn("at", F.struct("key")).join(several, "at").withColumn("block", own)
+    dealt = placed.withColumn("task", F.explode(F.when(F.col("component") == F.col("main"), inside).otherwise(outside)))
+    return dealt.select("key", "task.kind", "task.i", "task.j", "task.side", "band", "node", "component")
+
+
+def _candidates(table: pa.Table, group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of a task's rows and of the rows each is to be compared with: those of other groups whose signatures pass
+    the sequential test and share no earlier band, so that a pair counts in one bucket only. ``group`` may change
+    meanwhile."""
+    signatures = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint32).reshape(-1, shingles.HASHES)
+    bands, side = shingles.band_keys(signatures), table["side"].to_numpy()
+    band = table["band"][0].as_py()
+    asking, asked = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    within = table["i"][0].as_py() == table["j"][0].as_py() and table["kind"][0].as_py() == 0
+    for place, q in enumerate(asking.tolist()):
+        other = asking[place + 1 :] if within else asked
+        other = other[group[other] != group[q]]
+        hits = other[likely(np.broadcast_to(signatures[q], (len(other), shingles.HASHES)), signatures[other])]
+        hits = hits[~(bands[hits, :band] == bands[q, :band]).any(axis=1)]
+        if len(hits):
+            yield q, hits
+
+
+def promising(table: pa.Table) -> pa.Table:
+    """The rows of a task that are in a candidate pair, without signatures."""
+    some = np.zeros(table.num_rows, bool)
+    for q, hits in _candidates(table, table["component"].to_numpy()):
+        some[q] = some[hits] = True
+    return table.select([*TASK, "side", "band", "node", "component"]).filter(pa.array(some))
+
+
+def linking(table: pa.Table) -> pa.Table:
+    """Edges (u, v) that join the components of a task as all its candidate pairs with similar full sets do."""
+    node, group = table["node"].to_numpy(), np.unique(table["component"].to_numpy(), return_inverse=True)[1]
+    sets = [np.frombuffer(s, np.uint64) for s in table["shingles"].to_pylist()]
+    sizes = np.array([len(s) for s in sets], np.int64)
+    known, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    marked = np.zeros(len(known), bool)
+    edges = []
+    for q, hits in _candidates(table, group):
+        own = flat[starts[q] : starts[q] + sizes[q]]
+        marked[own] = True
+        shared = np.array([np.count_nonzero(marked[flat[starts[t] : starts[t] + sizes[t]]]) for t in hits.tolist()])
+        marked[own] = False
+        for t in hits[shared >= SIMILARITY * (sizes[q] + sizes[hits] - shared)].tolist():
+            if group[t] != group[q]:
+                group[group == group[t]] = group[q]
+                edges.append((node[q], node[t]))
+    pairs = np.array(edges, np.int64).reshape(-1, 2)
+    return pa.table({"u": pa.array(pairs[:, 0], pa.int64()), "v": pa.array(pairs[:, 1], pa.int64())})
+
+
+def _across(members: DataFrame, linked: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataFrame:
+    """Edges (u, v) that join what is still apart in the buckets of several components. Signatures go to every pair of
+    blocks, full sets only to those where a candidate pair was found."""
+    dealt = _tasks(members, linked).join(signatures, "node")
+    schema = "key long, kind int, i int, j int, side int, band int, node long, component long"
+    columns = [*TASK, "side", "band", "node", "component"]
+    found = written(dealt.select(*columns, "signature").groupBy(*TASK).applyInArrow(promising, schema), "promising")
+    complete = found.join(signatures, "node").join(sets.hint("merge"), "node").select(*columns, "signature", "shingles")
+    return complete.groupBy(*TASK).applyInArrow(linking, "u long, v long")
 
 
 def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -196,10 +251,11 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     keyed = rows.select("id", one.alias("k1"), two.alias("k2"), "text")
     signed = written(_signed(keyed), "signatures")
     # Buckets of two or more nodes. Copies of a set add nothing to the minimum and maximum.
-    banded = signed.filter("node IS NOT NULL").select(F.explode("bands").alias("key"), "node")
+    banded = signed.filter("node IS NOT NULL").select(F.posexplode("bands").alias("band", "key"), "node", "n")
     buckets = banded.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last")
     shared = buckets.select(F.struct("key").alias("at"), "first")
-    members = banded.withColumn("at", F.struct("key")).join(shared, "at").groupBy("key", "node").agg(F.min("first").alias("first"))
+    members = banded.withColumn("at", F.struct("key")).join(shared, "at")
+    members = members.groupBy("key", "node").agg(F.min("first").alias("first"), F.min("n").alias("n"), F.min("band").alias("band"))
     members = written(members, "bucket-members")
     # One signature, and one document to take the set from, for each node in such a bucket.
     wanted = members.select("node").distinct()
@@ -212,22 +268,14 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     sets = written(_sets(texts), "node-shingles")
 
     first = members.filter("first < node").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    links = written(_verified(written(_tested(first, signatures), "likely"), sets), "links")
+    # Of a member's likely firsts the likeliest is verified; what that leaves apart is settled in the buckets.
+    likeliest = _tested(first, signatures).groupBy("b").agg(F.max(F.struct("matches", "a")).alias("best")).select("best.a", "b")
+    links = written(_verified(written(likeliest, "likely"), sets), "links")
     linked = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "components")
 
-    tested, most = first, 1
-    while True:
-        # The likeliest pairs of a member with each other component first: one link is enough to join the two. What is
-        # left apart then is compared with more, until nothing likely is left out.
-        pairs = written(_across(_mixed_buckets(members, linked).join(signatures, "node"), most), "likely-across")
-        fresh = pairs.select("a", "b").join(tested, ["a", "b"], "left_anti")
-        more = written(_verified(fresh, sets), "links-across")
-        if not more.isEmpty():
-            links = links.unionAll(more)
-            linked = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "components")
-        if pairs.filter("cut").isEmpty():
-            break
-        tested, most = tested.unionAll(pairs.select("a", "b")), most * 16
+    more = written(_across(members, linked, signatures, sets), "links-across")
+    if not more.isEmpty():
+        linked = written(components(more.unionAll(linked.select(F.col("node").alias("u"), F.col("component").alias("v")))), "components")
     found = signed.select("id", "n", "node").withColumn("at", F.struct("node"))
     answer = found.join(linked.select(F.struct("node").alias("at"), "component"), "at", "left")
     return answer.select("id", "n", F.coalesce("component", F.col("node")).alias("component"))

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from stayledger.llm import near_text
 from stayledger.llm.near_text import least_matches, likely, near_duplicates, one_of_each
 
 BASE = [f"w{i}" for i in range(3000)]
@@ -75,6 +76,21 @@ def test_against_all_pairs(spark):
     assert sorted(map(tuple, found), key=repr) == brute_force(rows)
 
 
+@pytest.mark.parametrize("limit", ["BLOCK", "BLOCK_SHINGLES"])
+def test_buckets_of_many_blocks(spark, monkeypatch, limit):
+    monkeypatch.setattr(near_text, limit, {"BLOCK": 2, "BLOCK_SHINGLES": 150}[limit])
+    pick = random.Random(9)
+    words = [pick.choice(BASE) for _ in range(60)]
+    rows = []
+    for i in range(120):  # one family, no two of its texts much closer than the threshold
+        own = list(words)
+        for _ in range(pick.randrange(1, 4)):
+            own[pick.randrange(60)] = f"own{i}"
+        rows.append((i, " ".join(own)))
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, found), key=repr) == brute_force(rows)
+
+
 def test_one_of_each(spark):
     rows = [(2, "a b c d e f g"), (1, "A b c d e f g"), (1, "a b c d e f g"), (None, "a b c d e f g"), (9, ""), (9, ""), (8, None), (7, "z")]
     docs = spark.createDataFrame([(i, text, "x") for i, text in rows], "doc_id long, text string, row string")

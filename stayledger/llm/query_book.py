@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import shared_folder
 from . import bpe, cells, context_mixing, conversation_repair, language, lexical_search, line_runs, mixing, near_text, posting_lists, run_index, secret_scan, token_files
@@ -29,7 +29,9 @@ def op2_near_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_run_index(spark: SparkSession, folder: str) -> DataFrame:
-    return run_index.without_repeats(read(spark, folder, "documents")).drop("kept")
+    left = run_index.without_repeats(read(spark, folder, "documents"))
+    # Cuts may fall inside a character; its bytes are counted and hashed as they are, and shown as U+FFFD.
+    return left.withColumn("kept_text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
 
 
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,21 +9,22 @@ the other list is close to one already chosen.
 
 The centroids (at most ``MOST_LISTS``) and a graph of their neighbours go to every executor. A query walks the graph,
 always expanding the nearest centroid seen, and takes all lists whose distance is within a ratio of the nearest one's. The
-ratio is measured on the sample: it is the least that gives ``RECALL`` of the true neighbours there, where neighbours
-are farther than in the whole table.
+ratio is measured on the sample by such walks: it is the least that finds ``RECALL`` of the true neighbours there, where
+neighbours are farther than in the whole table. What a walk misses thus raises the ratio.
 
-Lists are searched in shards of ``SHARD`` lists; a shard of many vectors is cut into blocks that every query of the shard
-goes to. A task returns the best of each query in its block, in double precision on the original vectors.
+Lists are searched in shards of ``SHARD`` lists. The vectors of a shard are cut into blocks by hash and so are its queries;
+each block of queries meets each block of vectors in a task of its own, so no task grows with the table. A task returns the best of each query in its block, in double precision on the original vectors.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import vectors
 from .storage import written
@@ -33,6 +34,7 @@ LIST = 256  # vectors wanted in a list
 MOST_LISTS = 16_384
 SHARD = 64
 BLOCK = 65_536  # vectors of a shard searched in one task
+ASKERS = 16_384  # queries of a shard that one task answers
 QUERIES = 64  # queries of a block scored together
 COPIES = 4
 BEAM = 16  # nearest centroids that a vector's walk settles
@@ -40,7 +42,7 @@ CLOSE = 1.15  # a boundary vector's other lists are at most this many times as f
 SPREAD = 0.5  # a further list is taken if its distance from those already taken is at least so much of the vector's
 NEIGHBOURS = 16
 RECALL = 0.97
-TRIALS = 256  # queries on which the ratio is measured
+TRIALS = 1024  # queries on which the ratio is measured
 
 
 def balanced_lists(rows: np.ndarray, k: int, seed: int = 5) -> np.ndarray:
@@ -76,24 +78,23 @@ class Index(NamedTuple):
         extra = np.zeros(len(rows)) if queries else np.sqrt(np.maximum(0.0, self.norm**2 - (rows**2).sum(axis=1)))
         return np.column_stack([rows, extra])
 
-    def search(self, points: np.ndarray, ratio: float, least: int) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, points: np.ndarray, ratio: float, least: int, all_within: bool) -> tuple[np.ndarray, np.ndarray]:
         """Distances to the centroids that each point's walk has seen (infinite for others), and which of these lie
-        within ``ratio`` times the nearest. A walk ends when all centroids within the ratio are expanded, or with
-        ``least`` over 1, when the ``least`` nearest are."""
+        within ``ratio`` times the nearest. A walk ends when the ``least`` nearest centroids are expanded and, if ``all_within``,
+        all within the ratio are, too."""
         n, k = len(points), len(self.centroids)
         seen = np.full((n, k), np.inf)
         open_ = np.full((n, k), np.inf)  # distance of what is seen and not yet expanded
         every = np.arange(n)
-        starts = np.unique(np.linspace(0, k - 1, min(k, 8)).astype(int))
+        starts = np.unique(np.linspace(0, k - 1, min(k, max(8, math.isqrt(k)))).astype(int))
         for start in starts:
             seen[:, start] = open_[:, start] = np.linalg.norm(points - self.centroids[start], axis=1)
         while True:
             at = open_.argmin(axis=1)
             nearest = open_[every, at]
-            if least > 1:
-                limit = np.partition(seen, min(k, least) - 1, axis=1)[:, min(k, least) - 1]
-            else:
-                limit = ratio * seen.min(axis=1)
+            limit = np.partition(seen, min(k, least) - 1, axis=1)[:, min(k, least) - 1]
+            if all_within:
+                limit = np.maximum(limit, ratio * seen.min(axis=1))
             live = np.flatnonzero(np.isfinite(nearest) & (nearest <= limit))
             if not len(live):
                 break
@@ -109,7 +110,7 @@ class Index(NamedTuple):
     def assign(self, rows: np.ndarray) -> list[np.ndarray]:
         """The lists of each vector, its nearest first."""
         points = self.lifted(rows, queries=False)
-        seen, close = self.search(points, CLOSE, BEAM)
+        seen, close = self.search(points, CLOSE, BEAM, False)
         out = []
         for distances, inside in zip(seen, close):
             order = np.flatnonzero(inside)
@@ -127,7 +128,7 @@ class Index(NamedTuple):
 
     def probe(self, queries: np.ndarray) -> list[np.ndarray]:
         """The lists to search for each query."""
-        _, within = self.search(self.lifted(queries, queries=True), self.ratio, 1)
+        _, within = self.search(self.lifted(queries, queries=True), self.ratio, BEAM, True)
         return [np.flatnonzero(row) for row in within]
 
 
@@ -151,20 +152,30 @@ def fit(sample: np.ndarray, lists: int, norm: float, neighbours: int) -> Index:
     index = Index(np.zeros((0, 0)), np.zeros((0, 0), np.int64), norm, 1.0)
     centroids = balanced_lists(index.lifted(sample, queries=False), lists)
     index = index._replace(centroids=centroids, graph=centroid_graph(centroids))
-    asked = sample[: min(TRIALS, len(sample))]
-    scores = asked @ sample.T
-    scores[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
+    asked = sample[:TRIALS]
     want = min(neighbours, len(sample) - 1)
     if want < 1:
         return index
+    scores = asked @ sample.T
+    scores[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
     best = np.argpartition(-scores, want - 1, axis=1)[:, :want]
     which, place = np.unique(best, return_inverse=True)
-    homes = index.assign(sample[which])
-    lifted = index.lifted(asked, queries=True)
-    distances = np.sqrt(np.maximum(0, (lifted**2).sum(axis=1)[:, None] + (centroids**2).sum(axis=1) - 2 * lifted @ centroids.T))
-    distances = np.maximum(distances, 1e-12)
-    needed = [distances[q, homes[p]].min() / distances[q].min() for q, row in enumerate(place.reshape(best.shape)) for p in row]
-    return index._replace(ratio=float(np.quantile(needed, RECALL)) * (1 + 1e-9))
+    homes = np.zeros((len(which), len(centroids)), bool)
+    for row, own in enumerate(index.assign(sample[which])):
+        homes[row, own] = True
+    place = place.reshape(best.shape)
+
+    def found(ratio: float) -> bool:
+        lists = index._replace(ratio=ratio).probe(asked)
+        return sum(int(homes[row][:, own].any(axis=1).sum()) for row, own in zip(place, lists)) >= RECALL * best.size
+
+    low, high = 1.0, 1.0
+    while not found(high) and high < 1e6:
+        low, high = high, 1 + 2 * (high - 1) + 0.01
+    while high - low > 0.002:
+        middle = (low + high) / 2
+        low, high = (low, middle) if found(middle) else (middle, high)
+    return index._replace(ratio=high)
 
 
 def _routed(rows: DataFrame, index, asks: bool) -> DataFrame:
@@ -221,6 +232,19 @@ def search_block(table: pa.Table, wanted: int) -> pa.Table:
     return pa.table({"asking": node[q], "node": node[m], "least_id": least_id[m]})
 
 
+def _blocks(rows: DataFrame, name: str, size: int) -> DataFrame:
+    """Into how many blocks of about ``size`` rows each shard is cut."""
+    return rows.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
+
+
+def _hashed_to(blocks: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit(blocks), "node"), F.col(blocks)).cast("int")
+
+
+def _each(blocks: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+
 def nearest(rows: DataFrame, every: int = 20, neighbours: int = 20, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The neighbours with the largest inner product of each row whose id is divisible by ``every``: query_id, rank
     (from 1), id, score. Ties go to the smaller id; with fewer candidates all are returned.
@@ -245,17 +269,17 @@ def nearest(rows: DataFrame, every: int = 20, neighbours: int = 20, id: str = "v
 
     postings = written(_routed(distinct, index, False), "postings")
     queries = distinct.join(asking.select("node").distinct(), "node", "left_semi")
-    routed = _routed(queries, index, True)
-    counts = postings.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    placed = postings.join(counts, "shard").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    sent = routed.join(counts, "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    columns = ["shard", "block", "lists", "node", "least_id", "vec"]
+    routed = written(_routed(queries, index, True), "asked-lists")
+    counts = _blocks(postings, "blocks", BLOCK).join(_blocks(routed, "ask_blocks", ASKERS), "shard")
+    placed = postings.join(counts, "shard").withColumn("block", _hashed_to("blocks")).withColumn("ask_block", _each("ask_blocks"))
+    sent = routed.join(counts, "shard").withColumn("block", _each("blocks")).withColumn("ask_block", _hashed_to("ask_blocks"))
+    columns = ["shard", "block", "ask_block", "lists", "node", "least_id", "vec"]
     both = placed.select(*columns, F.lit(False).alias("asks")).unionAll(sent.select(*columns, F.lit(True).alias("asks")))
 
     def run(table: pa.Table) -> pa.Table:
         return search_block(table, wanted)
 
-    found = both.groupBy("shard", "block").applyInArrow(run, "asking long, node long, least_id long").distinct()
+    found = both.groupBy("shard", "block", "ask_block").applyInArrow(run, "asking long, node long, least_id long").distinct()
     # Scores are taken again from the vectors, in one fixed order of additions.
     pairs = written(found, "nearest-nodes")
     answers = pairs.join(distinct.select(F.col("node").alias("asking"), F.col("vec").alias("one")), "asking")

@@ -84,6 +84,7 @@ def _answers(found):
 
 def test_nearest_is_exact_where_all_lists_are_searched(spark, monkeypatch):
     monkeypatch.setattr(posting_lists, "BLOCK", 200)
+    monkeypatch.setattr(posting_lists, "ASKERS", 9)
     rows = [r for r in rows_of() if r[0] != 5 and not (r[1] and any(abs(x or 0) > 1e100 for x in r[1] if x and math.isfinite(x)))]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, node string, cell int")
     got, want = _answers(nearest(table.repartition(4)).collect()), exact_nearest(rows)
@@ -114,3 +115,23 @@ def test_recall(spark):
     got, want = _answers(nearest(table, every=100).collect()), exact_nearest(rows, 100)
     right = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
     assert right >= 0.9 * 20 * len(want)
+
+
+@pytest.mark.parametrize("share", [1.0, 0.5])
+@pytest.mark.parametrize("clusters", [1, 300, 800])
+def test_recall_through_the_walk(clusters, share):
+    pick = np.random.default_rng(clusters)
+    centres = pick.normal(size=(clusters, 32))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    rows = centres[pick.integers(0, clusters, 12_000)] + pick.normal(size=(12_000, 32)) * (0.05 if clusters > 1 else 1.0)
+    sample = rows[pick.permutation(len(rows))[: int(len(rows) * share)]]
+    made = posting_lists.fit(sample, len(rows) // posting_lists.LIST, np.linalg.norm(rows, axis=1).max(), 20)
+    homes = np.zeros((len(rows), len(made.centroids)), bool)
+    for row, own in enumerate(made.assign(rows)):
+        homes[row, own] = True
+    asked = np.arange(0, len(rows), 20)
+    scores = rows[asked] @ rows.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    best = np.argpartition(-scores, 19, axis=1)[:, :20]
+    found = sum(homes[row][:, own].any(axis=1).sum() for row, own in zip(best, made.probe(rows[asked])))
+    assert found >= 0.95 * best.size

@@ -28,7 +28,9 @@ from .mixing import WORD
 from .storage import written
 
 MIN_WORDS = 8
-_LINE_BITS = 31  # a position is the document's number above, the line's below
+# A position is the document's number above, the line's below. An array of lines takes over 32 bytes a line and at most
+# 2 GB, so 26 bits number the lines of any document; the other 37 are for 137 billion documents, and more are an error.
+_LINE_BITS = 26
 
 KEPT, DELETED, WORDLESS = 0, 1, 2
 
@@ -78,7 +80,8 @@ def line_flags(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     one = written(one.groupBy("k1", "k2", "doc_id").agg(F.first("entries").alias("entries")), "line-entries")
     folder = f"{shared_folder(docs.sparkSession)}/line-order-{uuid.uuid4().hex}"
     numbers = number_rows(one.select("doc_id", "k1", "k2"), ["doc_id", "k1", "k2"], "number", folder)
-    base = F.shiftleft(F.col("number"), _LINE_BITS)
+    fits = F.col("number") < 1 << (63 - _LINE_BITS)
+    base = F.when(fits, F.shiftleft(F.col("number"), _LINE_BITS)).otherwise(F.raise_error(F.lit("too many documents to number their lines")).cast("long"))
     worded = one.join(numbers.drop("doc_id"), ["k1", "k2"]).select(base.alias("base"), F.posexplode(F.filter("entries", lambda e: e["words"] > 0)))
     lines = written(worded.select((F.col("base") + F.col("pos")).alias("pos"), "col.*"), "lines")
 

@@ -43,6 +43,7 @@ SPREAD = 0.5  # a further list is taken if its distance from those already taken
 NEIGHBOURS = 16
 RECALL = 0.97
 TRIALS = 1024  # queries on which the ratio is measured
+WALKS = 256  # walks made together
 
 
 def balanced_lists(rows: np.ndarray, k: int, seed: int = 5) -> np.ndarray:
@@ -156,18 +157,28 @@ def fit(sample: np.ndarray, lists: int, norm: float, neighbours: int) -> Index:
     want = min(neighbours, len(sample) - 1)
     if want < 1:
         return index
-    scores = asked @ sample.T
-    scores[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
-    best = np.argpartition(-scores, want - 1, axis=1)[:, :want]
+    best = np.empty((len(asked), want), np.int64)
+    for start in range(0, len(asked), WALKS):
+        scores = asked[start : start + WALKS] @ sample.T
+        own = np.arange(len(scores))
+        scores[own, start + own] = -np.inf
+        best[start : start + WALKS] = np.argpartition(scores, len(sample) - want, axis=1)[:, -want:]
     which, place = np.unique(best, return_inverse=True)
-    homes = np.zeros((len(which), len(centroids)), bool)
-    for row, own in enumerate(index.assign(sample[which])):
-        homes[row, own] = True
     place = place.reshape(best.shape)
+    homes = np.full((len(which), COPIES), len(centroids))  # padded by a list that is never searched
+    for start in range(0, len(which), WALKS):
+        for row, own in enumerate(index.assign(sample[which[start : start + WALKS]]), start):
+            homes[row, : len(own)] = own
 
     def found(ratio: float) -> bool:
-        lists = index._replace(ratio=ratio).probe(asked)
-        return sum(int(homes[row][:, own].any(axis=1).sum()) for row, own in zip(place, lists)) >= RECALL * best.size
+        trial, hits = index._replace(ratio=ratio), 0
+        searched = np.zeros(len(centroids) + 1, bool)
+        for start in range(0, len(asked), WALKS):
+            for row, lists in zip(place[start : start + WALKS], trial.probe(asked[start : start + WALKS])):
+                searched[lists] = True
+                hits += int(searched[homes[row]].any(axis=1).sum())
+                searched[lists] = False
+        return hits >= RECALL * best.size
 
     low, high = 1.0, 1.0
     while not found(high) and high < 1e6:
@@ -183,8 +194,8 @@ def _routed(rows: DataFrame, index, asks: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            for start in range(0, batch.num_rows, WALKS):
+                part = batch.slice(start, WALKS)
                 own = index.value
                 points = vectors.matrix(part.column(2))
                 found = own.probe(points) if asks else own.assign(points)

@@ -199,6 +199,27 @@ def test_filters_reach_the_scan(house):
     assert "EqualTo(is_canceled,0)" in kept
 
 
+def _rows_scanned(df):
+    df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return leaf.metrics().get("numOutputRows").get().value()
+
+
+def test_booking_lookup_skips_row_groups(spark, house):
+    stored = spark.read.parquet(house.path("booking_fact"))
+    number = stored.agg(F.percentile_approx("booking_id", 0.5)).first()[0]
+    own = stored.filter(F.col("booking_id") == number).select(facts.YEAR_PARTITION).first()[0]
+    around = stored.filter(F.col(facts.YEAR_PARTITION) != own).agg(F.min("booking_id"), F.max("booking_id")).first()
+    assert around[0] < number < around[1]
+
+    def elsewhere(rows):
+        return rows.filter((F.col("booking_id") == number) & (F.col(facts.YEAR_PARTITION) != own)).select("booking_id", "adr")
+
+    assert _rows_scanned(elsewhere(stored)) == 0
+    blind = spark.read.option("parquet.filter.bloom.enabled", "false").parquet(house.path("booking_fact"))
+    assert _rows_scanned(elsewhere(blind)) > 0
+
+
 def test_cached_star(house):
     with house.cached_star("year", "hotel_name", "is_canceled", hotel="City Hotel") as kept:
         assert kept.is_cached and kept.count() == kept.filter("hotel_name = 'City Hotel'").count()

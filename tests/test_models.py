@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from stayledger.operators import classifiers, evaluation, tree_tables
+from stayledger.operators.preparation import row_hash
 from stayledger.plans import model_flows
 
 
@@ -155,6 +156,18 @@ def test_grid_search(house):
     assert {k: len(v) for k, v in classifiers.FULL_GRID.items()} == {"trees": 2, "depth": 3, "min_leaf": 2}
 
 
+def test_a_small_search_has_both_classes(house):
+    """The smallest hashes of all are of one class here, as behind the border of a stratified part."""
+    rows = model_flows.cancellation_data(house).drop("part")
+    train = rows.filter((F.col("is_canceled") == 0) | (row_hash("booking_id", 42) >= "4"))
+    assert [r.is_canceled for r in classifiers.bounded(train, 30).select("is_canceled").distinct().collect()] == [0]
+    grid = {"trees": [2], "depth": [2], "min_leaf": [1]}
+    results = classifiers.grid_search(train, grid, parallelism=3, most_rows=30).collect()
+    assert sorted(r.rows for r in results) == [10, 10, 10] and all(r.roc_auc is not None for r in results)
+    alone = classifiers.grid_search(train.filter("is_canceled = 0"), grid, parallelism=3, most_rows=30).collect()
+    assert [(r.rows, r.roc_auc) for r in alone] == [(10, None)] * 3
+
+
 def test_best_combination_takes_the_first_on_a_tie(spark):
     rows = [(0, 30, 1, 100, 0, 5, 0.5), (0, 30, 1, 100, 1, 5, 0.7), (1, 30, 1, 200, 0, 5, 0.6), (1, 30, 1, 200, 1, 5, 0.6), (2, 10, 1, 100, 0, 5, 0.59)]
     results = spark.createDataFrame(rows, "place int, depth int, min_leaf int, trees int, fold int, rows long, roc_auc double")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..session import SPLIT_BYTES, splits_of
 from .booking_schema import NULL_TOKENS, RAW_COLUMNS
 
 WHOLE_NUMBER = r"^\s*([+-]?\d+)(?:\.0*)?\s*$"  # also written with a decimal point, as columns with gaps are
@@ -66,5 +67,7 @@ def damaged_cells(
 
 
 def write_booking_csv(df: DataFrame, path: str) -> None:
-    """Write bookings as CSV with a header; a missing value is written as ``NULL``."""
-    df.write.mode("overwrite").csv(path, header=True, nullValue="NULL")
+    """Write bookings as compressed CSV with a header; a missing value is written as ``NULL``. A file is as large as the
+    split it is made of, and read by one task."""
+    with splits_of(df.sparkSession, SPLIT_BYTES):
+        df.write.mode("overwrite").csv(path, header=True, nullValue="NULL", compression="gzip")

@@ -151,6 +151,32 @@ def test_partitions_grow_with_the_scan(spark, tables_folder, monkeypatch):
     assert ranged.rdd.getNumPartitions() == width
 
 
+def test_fact_is_written_without_a_shuffle(spark, tmp_path):
+    """Every file comes from one task of the facts, and the landing's tasks follow the size of rows, not of files."""
+    facts = spark.range(0, 4000, 1, 4).select(
+        F.col("id").alias("booking_id"), (F.col("id") % 2).alias("is_canceled"), (F.col("id") % 9).alias("lead_time"),
+        (1990 + F.col("id") % 3).alias("arrival_year"), F.spark_partition_id().alias("task"),
+    )
+    Warehouse(spark, str(tmp_path / "house")).write_fact(facts)
+    files = spark.read.parquet(str(tmp_path / "house/booking_fact")).groupBy(F.input_file_name().alias("file"))
+    found = files.agg(F.count_distinct("task").alias("tasks"), F.count("*").alias("rows")).collect()
+    assert sum(r.rows for r in found) == 4000 and len(found) == 12 and {r.tasks for r in found} == {1}
+    assert session.PARTITION_BYTES <= 16 * 1024 * 1024
+
+
+def test_a_dimension_above_the_usual_limit_is_still_sent(spark, house):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        assert plan_of(house.star("agent_id", "adr")).count("BroadcastHashJoin") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_csv_landing_is_compressed(spark, tables_folder, tmp_path):
+    files = spark.read.format("binaryFile").load(csv_landing_for(spark, tables_folder)).select("path").collect()
+    assert files and all(r.path.endswith(".csv.gz") for r in files)
+
+
 def test_missing_shared_folder_is_an_error_on_a_cluster(monkeypatch):
     class Context:
         master = "yarn"

@@ -7,7 +7,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from stayledger.operators import classifiers, evaluation, tree_tables
+from stayledger.operators import classifiers, evaluation, preparation, tree_tables
 from stayledger.operators.preparation import row_hash
 from stayledger.plans import model_flows
 
@@ -243,3 +243,29 @@ def test_categories_as_single_columns(house):
     assert top.feature[0] == "deposit_type"
     unseen = data.limit(5).withColumn("deposit_type", F.lit("never seen"))
     assert classifiers.score(model, unseen, "p").count() == 5
+
+
+def test_bookings_stay_where_they_are_for_their_labels(house):
+    house.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        plan = model_flows.labelled_bookings(house, "adr")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        house.spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    labels = {r.booking_id: r.is_churned for r in model_flows.churn_labels(house).collect()}
+    found = model_flows.labelled_bookings(house, "adr").collect()
+    assert len(found) == len(labels) and all(r.is_churned == labels[r.booking_id] for r in found)
+
+
+def test_only_columns_with_gaps_are_ranked(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(preparation, "exact_quantiles", lambda df, columns, q: asked.append(list(columns)) or {c: 1.0 for c in columns})
+    df = spark.createDataFrame([(1, 2.0, "x"), (2, None, "y")], "a int, b double, t string")
+    assert [tuple(r) for r in preparation.impute_numeric(df, ["a", "b"]).orderBy("a").collect()] == [(1.0, 2.0, "x"), (2.0, 1.0, "y")]
+    assert asked == [["b"]]
+
+
+def test_the_test_part_is_scored_when_asked_for(house):
+    trained = model_flows.train_cancellation(house, trees=2, depth=2, most_rows=300)
+    assert "scored" not in vars(trained)
+    assert trained.scored.count() == trained.test.count() and trained.scored.columns[0] == "booking_id"

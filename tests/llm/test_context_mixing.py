@@ -4,10 +4,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_pipeline import prose
 
-from stayledger.llm.context_mixing import CONTEXTS, SLOTS, Mixer, Spelled, score
+from stayledger.llm.context_mixing import CONTEXTS, HEAD, SLOTS, Mixer, Spelled, Starts, score, starts_of
+from stayledger.llm.shingles import words_of
 
 
 def rows_of():
@@ -75,3 +77,48 @@ def test_no_training_text(spark):
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in found] == [(3, 0, 0, 0.0)] * 2
     assert all(r.score < 0 for r in found)
     assert score(docs.limit(0)).collect() == []
+
+
+def test_starts_hold_the_bytes_before_the_word():
+    texts = ["The cat of a  b c de\tI", "", None, "x", "a", "é ö another abc", "a b"]
+    expected = []
+    for i, text in enumerate(texts):
+        before = b""
+        for word in [*(w + b" " for w in tokens(text)), b"\n"]:
+            for place in range(min(HEAD, len(word))):
+                seen = before[:-1][-(HEAD - place) :].rjust(HEAD - place, b"\0") + word[: place + 1]
+                expected.append((i, place << 8 * (HEAD + 1) | int.from_bytes(seen, "big")))
+            before += word
+    starts, owner = starts_of(*words_of(pa.array(texts, pa.string())))
+    assert sorted(zip(owner.tolist(), starts.tolist())) == sorted(expected)
+
+
+def test_a_word_without_text_before_it_costs_the_same_in_parts():
+    pick = np.random.default_rng(4)
+    mixer = Mixer(pick.integers(0, 50, (CONTEXTS, SLOTS, 2)).astype(np.float32), 2)
+    for word in (b"a", b"abc", b"there", b"\n"):
+        spelled = Spelled([word], np.ones(1))
+        whole = sum(math.log10(p if b else 1 - p) for k, bit, slots in spelled.decisions() for b, p in zip(bit, mixer.probability(*mixer.inputs(k, bit, slots, None))))
+        closed = word if word == b"\n" else word + b" "
+        starts = np.array([i << 8 * (HEAD + 1) | int.from_bytes(closed[: i + 1], "big") for i in range(min(HEAD, len(closed)))])
+        assert mixer.log10([word])[0] + mixer.log10_starts(starts).sum() == pytest.approx(whole)
+        for (_, bit, slots), (_, same_bit, same_slots) in zip(spelled.decisions(), Starts(starts, np.ones(len(starts))).decisions()):
+            assert (bit[: len(starts)] == same_bit).all() and (slots[:, : len(starts)] == same_slots).all()
+
+
+def test_the_order_of_words_counts(spark):
+    pick = random.Random(8)
+    after = {f"{a}{b}ra": f"{b}{a}no" for a in "bdfgklm" for b in "aeiou"}
+
+    def text(n):
+        return [w for first in pick.choices(list(after), k=n) for w in (first, after[first])]
+
+    rows = [(i, " ".join(text(20))) for i in range(300)]
+    in_order = text(20)
+    shuffled = pick.sample(in_order, len(in_order))
+    held_ids = [i for i in range(1000, 1100) if held(i)][:2]
+    rows += [(held_ids[0], " ".join(in_order)), (held_ids[1], " ".join(shuffled))]
+    found = {r.doc_id: r for r in score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    one, two = (found[i] for i in held_ids)
+    assert one.base_score == pytest.approx(two.base_score)
+    assert one.score > two.score + 1

@@ -15,7 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
 
@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 
 KEPT_ENTRIES = 100_000  # per generation of a worker's caches
 LONGEST_KEPT = 64  # characters; longer pieces are encoded each time they come
-TEXTS_TOGETHER = 1 << 20  # characters of texts whose unknown pieces share one queue
+TEXTS_TOGETHER = 1 << 20  # characters of texts whose unknown pieces are encoded together
+MERGED_TOGETHER = 1 << 14  # bytes of pieces that share one queue, few enough for a processor's cache
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -91,7 +92,14 @@ def rank_table(ranks: dict[bytes, int]) -> np.ndarray:
 
 
 def merge_all(pieces: list[bytes], ranks: dict[bytes, int], pair_ranks: np.ndarray) -> list[list[int]]:
-    """Token ids of each pre-token, all merged in one linked list that no pair crosses from piece to piece.
+    """Token ids of each pre-token."""
+    ids, borders = merge_flat(pieces, ranks, pair_ranks)
+    return [part.tolist() for part in np.split(ids, borders[:-1])] if len(borders) else []
+
+
+def merge_flat(pieces: list[bytes], ranks: dict[bytes, int], pair_ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of the pre-tokens one after another and where each one's end, all merged in one linked list that no
+    pair crosses from piece to piece.
 
     Pieces are not empty. A rank's bucket is worked off from left to right. If a merge makes a pair of a lower rank,
     which must come first, the rest of the bucket that belongs to the same piece goes back into the queue. A piece
@@ -101,9 +109,14 @@ def merge_all(pieces: list[bytes], ranks: dict[bytes, int], pair_ranks: np.ndarr
     sizes = np.array([len(piece) for piece in pieces], np.int64)
     lasts = np.cumsum(sizes)
     stop = np.repeat(lasts, sizes)  # end of the piece around a part's start
-    whole = np.repeat(np.array([piece in ranks for piece in pieces], bool), sizes)
+    rank_of = ranks.get
+    single = np.array([rank_of(piece, -1) for piece in pieces], np.int64)
+    whole = np.repeat(single >= 0, sizes)
     firsts = lasts - sizes
     codes = np.frombuffer(joined, np.uint8).astype(np.int64)
+    tokens = np.array([rank_of(bytes([code]), -2) for code in range(256)], np.int64)[codes]  # of the part at i, -1 for none, -2 for an unknown byte
+    tokens[whole] = -1
+    tokens[firsts[single >= 0]] = single[single >= 0]
     pairs = np.full(len(joined), -1, np.int64)  # rank of the pair that starts at i, -1 for none
     pairs[:-1] = pair_ranks[codes[:-1] << 8 | codes[1:]]
     pairs[lasts - 1] = -1
@@ -115,8 +128,8 @@ def merge_all(pieces: list[bytes], ranks: dict[bytes, int], pair_ranks: np.ndarr
     queue = RankQueue()
     for rank, positions in _by_value(pairs):
         queue.open(rank, positions)
-    ends, before, current, stop = ends.tolist(), before.tolist(), pairs.tolist(), stop.tolist()
-    buckets, rank_of = queue.buckets, ranks.get
+    ends, before, current, stop, tokens = ends.tolist(), before.tolist(), pairs.tolist(), stop.tolist(), tokens.tolist()
+    buckets = queue.buckets
     while (found := queue.take()) is not None:
         rank, bucket = found
         bucket.sort()
@@ -133,7 +146,8 @@ def merge_all(pieces: list[bytes], ranks: dict[bytes, int], pair_ranks: np.ndarr
             last = stop[i]
             j = ends[i]
             end = ends[i] = ends[j]
-            current[j] = current[i] = -1
+            current[j] = current[i] = tokens[j] = -1
+            tokens[i] = rank
             left = before[i]
             if end < last:
                 before[end] = i
@@ -158,15 +172,11 @@ def merge_all(pieces: list[bytes], ranks: dict[bytes, int], pair_ranks: np.ndarr
                         queue.open(new, [left])
                     if new < rank:
                         held = last
-    out = []
-    for start, last in zip(firsts.tolist(), lasts.tolist()):
-        ids = []
-        while start < last:
-            end = ends[start]
-            ids.append(ranks[joined[start:end]])
-            start = end
-        out.append(ids)
-    return out
+    ids = np.array(tokens, np.int64)
+    if (ids == -2).any():
+        raise KeyError(joined[int(np.argmax(ids == -2))])
+    left = ids >= 0
+    return ids[left].astype("<u4"), np.cumsum(left)[lasts - 1]
 
 
 class _Kept:
@@ -179,9 +189,10 @@ class _Kept:
     def missing(self, keys: Iterable[str]) -> list[str]:
         """The keys without a result, once each. Those of the old generation move to the young one."""
         absent = set(keys).difference(self.young)
-        known = absent.intersection(self.old)
-        self.young.update((key, self.old[key]) for key in known)
-        return list(absent - known)
+        old = self.old
+        known = [key for key in absent if key in old]
+        self.young.update((key, old[key]) for key in known)
+        return list(absent.difference(known))
 
     def trim(self, fresh: Iterable[str]) -> None:
         for key in fresh:
@@ -193,6 +204,10 @@ class _Kept:
 
 # White space, or the mark that units are cut at, where a unit of one visible word has none.
 _UNUSUAL = re.compile(r".\s|.[\x00\x1c-\x1f]|\A[^\S \n]|\A ?\Z", re.DOTALL)
+# Latin letters with a space before and common punctuation behind them, which the pattern below cuts before the
+# punctuation only.
+_PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
+_CUTS_PLAIN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Encoder:
@@ -207,24 +222,40 @@ class Encoder:
         self._starts = np.cumsum(self._lengths) - self._lengths
         self._pairs = rank_table(self.ranks)
         self._find = regex.compile(pattern).findall
+        self._plain = _PLAIN.fullmatch if pattern == _CUTS_PLAIN else None
         self._pieces, self._units = _Kept(), _Kept()
 
     def _learn(self, units: Iterable[str]) -> tuple[list[str], list[str]]:
         """Encode the units that are not known yet, their unknown pre-tokens together; a unit that holds unusual white
         space gets None. Returns the new units and pre-tokens."""
         fresh = self._units.missing(units)
-        split = {unit: None if _UNUSUAL.search(unit) else self._find(unit) for unit in fresh}
-        pieces = self._merge(chain.from_iterable(found for found in split.values() if found))
-        known = self._pieces.young.__getitem__
-        for unit, found in split.items():
-            self._units.young[unit] = None if found is None else b"".join(map(known, found))
+        split: list[Sequence[str] | None] = []
+        for unit in fresh:
+            if self._plain and (two := self._plain(unit)):
+                split.append(two.groups() if two[2] else (unit,))
+            else:
+                split.append(None if _UNUSUAL.search(unit) else self._find(unit))
+        pieces = self._merge(chain.from_iterable(found for found in split if found))
+        known, learned = self._pieces.young, self._units.young
+        for unit, found in zip(fresh, split):
+            if found is None:
+                learned[unit] = None
+            elif len(found) == 1:
+                learned[unit] = known[found[0]]
+            else:
+                learned[unit] = b"".join([known[piece] for piece in found])
         return fresh, pieces
 
     def _merge(self, pieces: Iterable[str]) -> list[str]:
         fresh = self._pieces.missing(pieces)
         if fresh:
-            merged = merge_all([piece.encode() for piece in fresh], self.ranks, self._pairs)
-            self._pieces.young.update((piece, np.array(ids, "<u4").tobytes()) for piece, ids in zip(fresh, merged))
+            spelled = [piece.encode() for piece in fresh]
+            which = np.cumsum([len(piece) for piece in spelled]) // MERGED_TOGETHER
+            cuts = [0, *(np.flatnonzero(np.diff(which)) + 1).tolist(), len(fresh)]
+            for start, stop in zip(cuts, cuts[1:]):
+                ids, borders = merge_flat(spelled[start:stop], self.ranks, self._pairs)
+                data, borders = ids.tobytes(), (borders * 4).tolist()
+                self._pieces.young.update((piece, data[a:b]) for piece, a, b in zip(fresh[start:stop], [0, *borders], borders))
         return fresh
 
     def encode_many(self, texts: Iterable[str]) -> Iterator[bytes]:
@@ -248,12 +279,15 @@ class Encoder:
         units, pieces = self._learn(chain.from_iterable(cut))
         unit, piece = self._units.young.__getitem__, self._pieces.young.__getitem__
         for text, parts in zip(texts, cut):
-            found = list(map(unit, parts))
-            if not found or None in found:
+            try:
+                made = b"".join(map(unit, parts))
+            except TypeError:  # a unit without ids of its own
+                parts = []
+            if not parts:
                 found = self._find(text)
                 pieces += self._merge(found)
-                found = map(piece, found)
-            yield b"".join(found)
+                made = b"".join(map(piece, found))
+            yield made
         self._units.trim(units)
         self._pieces.trim(pieces)
 

@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
+from stayledger.llm import bpe
 from stayledger.llm.bpe import Encoder, RankQueue, decode_ids, encode_texts, merge_all, rank_table, token_digests
 from stayledger.llm.query_book import BYTE_RANKS
 
@@ -78,3 +79,33 @@ def test_table(spark, library):
         ids = np.array(library.encode_ordinary(text or ""), "<u4")
         assert (doc_id, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()) in found
     assert token_digests(docs.limit(0), BYTE_RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_plain_words_are_cut_without_the_pattern(own, library):
+    pick = random.Random(9)
+    units = ["".join(pick.choice([" ", ""]) + pick.choice("abÉßšªº'²x") + pick.choice(["", "don", "ữ", ".", "?!", "_", "'s"]) for _ in range(pick.randrange(1, 4))) for _ in range(3000)]
+    asked = []
+    fresh = Encoder(BYTE_RANKS, public_tokenizers.PATTERN)
+    find = fresh._find
+    fresh._find = lambda text: asked.append(text) or find(text)
+    texts = ["Straße, école. Words!?", " and these;", *units]
+    for text, ids in zip(texts, fresh.encode_many(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text), repr(text)
+    assert not {"Straße,", " école.", " Words!?", " and", " these;"} & set(asked)
+
+
+def test_pieces_share_small_queues(monkeypatch):
+    sizes = []
+    merged = bpe.merge_flat
+    monkeypatch.setattr(bpe, "merge_flat", lambda pieces, *rest: sizes.append([len(p) for p in pieces]) or merged(pieces, *rest))
+    pick = random.Random(10)
+    text = " ".join("".join(pick.choice("abcdefgh") for _ in range(9)) for _ in range(20_000))
+    made = list(Encoder(BYTE_RANKS, public_tokenizers.PATTERN).encode_many([text, "x" * 100_000]))
+    assert len(made) == 2 and max(sum(s) for s in sizes if len(s) > 1) <= bpe.MERGED_TOGETHER + 100_000 and len(sizes) > 10
+
+
+def test_a_byte_without_a_rank_is_an_error():
+    ranks = {b"a": 0, b"ab": 1}
+    assert merge_all([b"ab", b"aab"], ranks, rank_table(ranks)) == [[1], [0, 1]]
+    with pytest.raises(KeyError):
+        merge_all([b"aba", b"ba"], ranks, rank_table(ranks))

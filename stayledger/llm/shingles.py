@@ -29,20 +29,21 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ values >> np.uint64(31)
 
 
-def groups(texts: pa.Array) -> Iterator[pa.Array]:
-    """Slices of about ``GROUP`` bytes."""
+def groups(texts: pa.Array, size: int = GROUP) -> Iterator[pa.Array]:
+    """Slices of about ``size`` bytes."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-    which = np.cumsum(sizes) // GROUP
+    which = np.cumsum(sizes) // size
     cuts = [0, *(np.flatnonzero(np.diff(which)) + 1).tolist(), len(texts)]
     for start, stop in zip(cuts, cuts[1:]):
         if stop > start:
             yield texts.slice(start, stop - start)
 
 
-def words_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """All words of the texts, A-Z in lower case, and where each text's words end. Words are runs of anything but the
-    ASCII spaces; null texts have none."""
-    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+def words_of(texts: pa.Array, lower: bool = True) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """All words of the texts, A-Z in lower case unless told otherwise, and where each text's words end. Words are runs
+    of anything but the ASCII spaces; null texts have none."""
+    texts = pc.fill_null(texts, "")
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     ends = split.offsets.to_numpy()[1:] - split.offsets[0].as_py()
     flat = split.flatten()
     full = pc.not_equal(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)

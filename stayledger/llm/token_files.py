@@ -14,24 +14,26 @@ document makes one block). The container is Parquet, because only Spark's writer
 from __future__ import annotations
 
 import os
-import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from . import simple8b
+from .shingles import groups, words_of
 
 BLOCK_IDS = 1 << 16
 FRAME_WORDS = 1024
 WORD_END = "</w>"  # the mark on a token that closes a word
-KEPT_WORDS = 400_000  # per generation of a worker's cache
-_PLAIN = re.compile(r"([^\W\d_]+)([.,;:!?]*)")
+KEPT_PARTS = 400_000  # per generation of a worker's cache
+TEXTS_TOGETHER = 1 << 23  # bytes of texts whose different words are looked up together
+_MARKS = ".,;:!?"
 
 BLOCK_SCHEMA = "part int, block int, doc_ids array<long>, counts array<long>, frames array<long>, words binary"
 
@@ -39,8 +41,9 @@ BLOCK_SCHEMA = "part int, block int, doc_ids array<long>, counts array<long>, fr
 class WordEncoder:
     """Ids of texts by a tokenizer that drops white space and lets no token cross it.
 
-    Words repeat, so each is looked up first. Letters with punctuation behind them are two pre-tokens, which are kept
-    apart; ASCII letters are lower-cased before, as the tokenizer would. Anything else goes to the library as it stands.
+    Words repeat, so each different one of many texts is looked up once. Letters with punctuation behind them are two
+    pre-tokens, which are kept apart; ASCII letters are lower-cased before, as the tokenizer would. Anything else goes to
+    the library as it stands.
     """
 
     def __init__(self, path: str) -> None:
@@ -51,49 +54,58 @@ class WordEncoder:
         vocabulary = self._library.get_vocab()
         self._closing = np.zeros(max(vocabulary.values()) + 1, bool)
         self._closing[[number for token, number in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self._words: dict[bytes, bytes] = {}
-        self._old: dict[bytes, bytes] = {}
-        self._parts: dict[str, bytes] = {}
+        self._parts: dict[str, bytes] = {}  # ids of a part by itself
         self._old_parts: dict[str, bytes] = {}
 
-    def encode_many(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for at in range(0, len(texts), 1000):
-            yield from self._encode([text.encode().split() for text in texts[at : at + 1000]])
-
-    def _encode(self, texts: list[list[bytes]]) -> Iterator[np.ndarray]:
-        absent = set(chain.from_iterable(texts)).difference(self._words)
-        moved = absent.intersection(self._old)
-        self._words.update((word, self._old[word]) for word in moved)
-        self._learn(list(absent - moved))
-        known = self._words.__getitem__
-        for words in texts:
-            yield np.frombuffer(b"".join(map(known, words)), "<u4")
-        if len(self._words) > KEPT_WORDS:
-            self._words, self._old = {}, self._words
-        if len(self._parts) > KEPT_WORDS:
-            self._parts, self._old_parts = {}, self._parts
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Look up new words: letters and the punctuation behind them by themselves, other words as they stand."""
-        plain, other = {}, []
-        for word in words:
-            text = word.decode()
-            found = _PLAIN.fullmatch(text)
-            if found and found[1].isalpha():
-                core = found[1]
-                plain[word] = (core.lower() if core.isascii() else core, found[2])
-            else:
-                other.append(text)
-        fresh = {part for parts in plain.values() for part in parts}.difference(self._parts)
-        fresh.discard("")
-        moved = fresh.intersection(self._old_parts)
-        self._parts.update((part, self._old_parts[part]) for part in moved)
-        fresh -= moved
-        self._encode_parts(list(fresh))
+    def encode_many(self, texts: pa.Array | list[str]) -> Iterator[np.ndarray]:
+        for some in groups(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, TEXTS_TOGETHER):
+            words, ends = words_of(some, lower=False)
+            which = words.indices.to_numpy()
+            ids, first, count = self._ids(words.dictionary)
+            flat, borders = _gathered(ids, first[which], count[which])
+            borders = np.append(0, borders)[np.append(0, ends)].tolist()
+            for start, stop in zip(borders, borders[1:]):
+                yield flat[start:stop]
+
+    def _ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of different words, and for each word where its ids begin and how many it has."""
+        letters = pc.utf8_rtrim(words, characters=_MARKS)
+        plain = pc.utf8_is_alpha(letters).to_numpy(zero_copy_only=False).copy()
+        # A few letters become a letter and a mark of its own, which the punctuation would go with.
+        special = pc.and_(pc.invert(pc.string_is_ascii(letters)), pc.not_equal(letters, words)).to_numpy(zero_copy_only=False) & plain
+        plain[special] = [unicodedata.normalize("NFC", some).lower().isalpha() for some in letters.filter(pa.array(special)).to_pylist()]
+        plain = pa.array(plain)
+        letters, marked = letters.filter(plain), words.filter(plain)
+        marks = pc.replace_substring_regex(marked, f"^[^{_MARKS}]+", "").dictionary_encode()
+        letters = pc.if_else(pc.string_is_ascii(letters), pc.ascii_lower(letters), letters).dictionary_encode()
+        parts, others, ends = (x.to_pylist() for x in (letters.dictionary, words.filter(pc.invert(plain)), marks.dictionary))
+        self._learn([part for part in parts + ends if part], others)
         known = self._parts
-        self._words.update((word, known[core] + known[rest] if rest else known[core]) for word, (core, rest) in plain.items())
-        for text, ids in zip(other, self._library.encode_batch_fast(other, add_special_tokens=False)):
-            self._words[text.encode()] = np.array(ids.ids, "<u4").tobytes()
+        found = [known[part] if part else b"" for part in (*parts, *others, *ends)]
+        count = np.array([len(ids) for ids in found], np.int64) // 4
+        first = np.cumsum(count) - count
+        plain = plain.to_numpy(zero_copy_only=False)
+        # Two parts for each word: its letters and the marks behind them, or the word as it stands and nothing.
+        pair = np.full((len(words), 2), len(found))
+        pair[plain, 0], pair[plain, 1] = letters.indices.to_numpy(), len(parts) + len(others) + marks.indices.to_numpy()
+        pair[~plain, 0] = len(parts) + np.arange(len(others))
+        of_pair = np.append(count, 0)[pair]
+        ids, _ = _gathered(np.frombuffer(b"".join(found), "<u4"), np.append(first, 0)[pair].ravel(), of_pair.ravel())
+        count = of_pair.sum(axis=1)
+        return ids, np.cumsum(count) - count, count
+
+    def _learn(self, parts: list[str], others: list[str]) -> None:
+        """Make sure that single pre-tokens and words as they stand have ids."""
+        if len(self._parts) > KEPT_PARTS:
+            self._parts, self._old_parts = {}, self._parts
+        known, old = self._parts, self._old_parts
+        known.update((part, old[part]) for part in (*parts, *others) if part in old and part not in known)
+        self._encode_parts(list(dict.fromkeys(part for part in parts if part not in known)))
+        others = [word for word in others if word not in known]
+        for at in range(0, len(others), 1000):
+            some = others[at : at + 1000]
+            for word, found in zip(some, self._library.encode_batch_fast(some, add_special_tokens=False)):
+                known[word] = np.array(found.ids, "<u4").tobytes()
 
     def _encode_parts(self, parts: list[str]) -> None:
         """Many pre-tokens in one call: the last id of each closes a word, which tells them apart. If their number is
@@ -110,6 +122,12 @@ class WordEncoder:
                     self._parts[part] = np.array(found.ids, "<u4").tobytes()
 
 
+def _gathered(ids: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``count`` ids from each of the places ``first`` on, one after another, and where those of each place end."""
+    ends = np.cumsum(count)
+    return ids[np.repeat(first - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+
 @lru_cache(maxsize=1)
 def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
@@ -140,7 +158,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str)
 
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            encoded = word_encoder(tokenizer).encode_many(batch.column(1).to_pylist())
+            encoded = word_encoder(tokenizer).encode_many(batch.column(1))
             for name, ids in zip(batch.column(0).to_pylist(), encoded):
                 names.append(name)
                 held.append(np.concatenate([ids, end]))

@@ -2,10 +2,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from stayledger.llm import simple8b
+from stayledger.llm import simple8b, token_files
 from stayledger.llm.query_book import WORD_TOKENIZER
 from stayledger.llm.token_files import WordEncoder, read_token_files, write_token_files
 from stayledger.session import shared_folder
@@ -67,3 +68,26 @@ def test_no_documents(spark):
     assert _written(spark, []) == []
 
 
+
+
+def test_different_words_are_looked_up_once(monkeypatch):
+    own, library = WordEncoder(WORD_TOKENIZER), Tokenizer.from_file(WORD_TOKENIZER)
+    pick = random.Random(12)
+    letters = ["a", "É", "ß", "x", "日", "ª", "İ", "क़", "'", "1", ".", "?!", ",", "_", "\x1c"]
+    words = ["".join(pick.choice(letters) for _ in range(pick.randrange(1, 6))) for _ in range(400)]
+    texts = [pick.choice([" ", "\n", "\t "]).join(pick.choices(words, k=pick.randrange(40))) for _ in range(300)]
+    expected = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    asked = []
+
+    class Counting:
+        def encode_batch_fast(self, some, **more):
+            asked.extend(word for text in some for word in text.split(" "))
+            return library.encode_batch_fast(some, **more)
+
+    own._library = Counting()
+    assert [ids.tolist() for ids in own.encode_many(pa.array(texts))] == expected
+    once = len(asked)
+    assert [ids.tolist() for ids in own.encode_many(pa.array([*texts, None]))] == [*expected, []] and len(asked) == once
+    monkeypatch.setattr(token_files, "KEPT_PARTS", 50)
+    monkeypatch.setattr(token_files, "TEXTS_TOGETHER", 500)
+    assert [ids.tolist() for ids in own.encode_many(texts)] == expected

@@ -25,20 +25,21 @@ def pack(values: np.ndarray) -> np.ndarray:
     n = len(values)
     if not n:
         return np.zeros(0, np.uint64)
-    width = np.zeros(n + 60, np.int8)  # bits of each value; what follows the last one counts as zeros
-    width[:n] = np.frexp(values.astype(np.float64))[1]
-    selector = np.zeros(n, np.int64)
-    for code, (count, bits) in LAYOUTS.items():
-        wide = np.zeros(n + 61, np.int32)
-        np.cumsum(width > bits, out=wide[1:])
-        fits = wide[count : count + n] == wide[:n]
-        selector[fits & (selector == 0)] = code
-    step = _COUNTS[selector].tolist()
+    width = np.zeros(n, np.int8)  # bits of each value; what follows the last one counts as zeros
+    width[:] = np.frexp(values.astype(np.float64))[1]
+    selector, widest, reach = np.zeros(n, np.int8), width, 1
+    for code, (count, bits) in reversed(LAYOUTS.items()):  # the last that fits holds most values
+        while reach < count:  # bits of the widest of the next ``count`` values
+            more = min(reach, count - reach)
+            widest = np.maximum(widest, np.concatenate([widest[more:], np.zeros(min(more, n), np.int8)]))
+            reach += more
+        selector[widest <= bits] = code
+    step = _COUNTS[selector].astype(np.uint8).tobytes()
     starts, at = [], 0
     while at < n:
         starts.append(at)
         at += step[at]
-    starts = np.array(starts)
+    starts = np.array(starts, np.int64)
     chosen = selector[starts]
     escaped = chosen == ESCAPE
     words = chosen.astype(np.uint64)

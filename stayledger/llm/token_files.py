@@ -14,10 +14,13 @@ document makes one block). The container is Parquet, because only Spark's writer
 from __future__ import annotations
 
 import os
+import string
 import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +31,16 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from . import simple8b
 from .shingles import groups, words_of
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 BLOCK_IDS = 1 << 16
 FRAME_WORDS = 1024
 WORD_END = "</w>"  # the mark on a token that closes a word
-KEPT_PARTS = 400_000  # per generation of a worker's cache
+KEPT_PARTS = 800_000  # known to a worker; beyond, it forgets those not in the texts at hand
+PARTS_TOGETHER = 300  # in a call of the library
 TEXTS_TOGETHER = 1 << 23  # bytes of texts whose different words are looked up together
-_MARKS = ".,;:!?"
+_BEFORE_MARKS = r"^[^!-/:-@\[-`{-~]+"  # what is not ASCII punctuation
 
 BLOCK_SCHEMA = "part int, block int, doc_ids array<long>, counts array<long>, frames array<long>, words binary"
 
@@ -41,85 +48,110 @@ BLOCK_SCHEMA = "part int, block int, doc_ids array<long>, counts array<long>, fr
 class WordEncoder:
     """Ids of texts by a tokenizer that drops white space and lets no token cross it.
 
-    Words repeat, so each different one of many texts is looked up once. Letters with punctuation behind them are two
-    pre-tokens, which are kept apart; ASCII letters are lower-cased before, as the tokenizer would. Anything else goes to
-    the library as it stands.
+    Words repeat, so each different one of many texts is looked up once. Letters with ASCII punctuation behind them are two
+    pre-tokens, which are kept apart; ASCII letters are lower-cased before, as the tokenizer would, and go straight to the
+    library's model. Anything else goes to the library as it stands.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core already
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._library = Tokenizer.from_file(path)
+        # Lower-case ASCII letters are single pre-tokens, which the normalizer and the byte alphabet leave as they are.
+        self._letters = Tokenizer(self._library.model)
+        self._letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self._library.get_vocab()
         self._closing = np.zeros(max(vocabulary.values()) + 1, bool)
         self._closing[[number for token, number in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self._parts: dict[str, bytes] = {}  # ids of a part by itself
-        self._old_parts: dict[str, bytes] = {}
+        # The number of each known part, and where its ids begin and how many it has.
+        self._known = {"": 0}
+        self._ids, self._first, self._count = np.zeros(0, "<u4"), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
     def encode_many(self, texts: pa.Array | list[str]) -> Iterator[np.ndarray]:
         for some in groups(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, TEXTS_TOGETHER):
             words, ends = words_of(some, lower=False)
             which = words.indices.to_numpy()
-            ids, first, count = self._ids(words.dictionary)
+            ids, first, count = self._words(words.dictionary)
             flat, borders = _gathered(ids, first[which], count[which])
             borders = np.append(0, borders)[np.append(0, ends)].tolist()
             for start, stop in zip(borders, borders[1:]):
                 yield flat[start:stop]
 
-    def _ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of different words, and for each word where its ids begin and how many it has."""
-        letters = pc.utf8_rtrim(words, characters=_MARKS)
+        letters = pc.utf8_rtrim(words, characters=string.punctuation)
         plain = pc.utf8_is_alpha(letters).to_numpy(zero_copy_only=False).copy()
+        marked = pc.not_equal(letters, words).to_numpy(zero_copy_only=False)
         # A few letters become a letter and a mark of its own, which the punctuation would go with.
-        special = pc.and_(pc.invert(pc.string_is_ascii(letters)), pc.not_equal(letters, words)).to_numpy(zero_copy_only=False) & plain
+        special = ~pc.string_is_ascii(letters).to_numpy(zero_copy_only=False) & marked & plain
         plain[special] = [unicodedata.normalize("NFC", some).lower().isalpha() for some in letters.filter(pa.array(special)).to_pylist()]
-        plain = pa.array(plain)
-        letters, marked = letters.filter(plain), words.filter(plain)
-        marks = pc.replace_substring_regex(marked, f"^[^{_MARKS}]+", "").dictionary_encode()
+        marked &= plain
+        marks = pc.replace_substring_regex(words.filter(pa.array(marked)), _BEFORE_MARKS, "").dictionary_encode()
+        letters = letters.filter(pa.array(plain))
         letters = pc.if_else(pc.string_is_ascii(letters), pc.ascii_lower(letters), letters).dictionary_encode()
-        parts, others, ends = (x.to_pylist() for x in (letters.dictionary, words.filter(pc.invert(plain)), marks.dictionary))
-        self._learn([part for part in parts + ends if part], others)
-        known = self._parts
-        found = [known[part] if part else b"" for part in (*parts, *others, *ends)]
-        count = np.array([len(ids) for ids in found], np.int64) // 4
-        first = np.cumsum(count) - count
-        plain = plain.to_numpy(zero_copy_only=False)
+        asked = (letters.dictionary, marks.dictionary, words.filter(pa.array(~plain)))
+        parts, ends, others = (some.to_numpy(zero_copy_only=False).tolist() for some in asked)  # to_pylist takes ten times as long
+        numbers = self._numbers(parts + ends, others)
         # Two parts for each word: its letters and the marks behind them, or the word as it stands and nothing.
-        pair = np.full((len(words), 2), len(found))
-        pair[plain, 0], pair[plain, 1] = letters.indices.to_numpy(), len(parts) + len(others) + marks.indices.to_numpy()
-        pair[~plain, 0] = len(parts) + np.arange(len(others))
-        of_pair = np.append(count, 0)[pair]
-        ids, _ = _gathered(np.frombuffer(b"".join(found), "<u4"), np.append(first, 0)[pair].ravel(), of_pair.ravel())
+        pair = np.zeros((len(words), 2), np.int64)
+        pair[plain, 0] = numbers[: len(parts)][letters.indices.to_numpy()]
+        pair[marked, 1] = numbers[len(parts) : len(parts) + len(ends)][marks.indices.to_numpy()]
+        pair[~plain, 0] = numbers[len(parts) + len(ends) :]
+        of_pair = self._count[pair]
+        ids, _ = _gathered(self._ids, self._first[pair].ravel(), of_pair.ravel())
         count = of_pair.sum(axis=1)
         return ids, np.cumsum(count) - count, count
 
-    def _learn(self, parts: list[str], others: list[str]) -> None:
-        """Make sure that single pre-tokens and words as they stand have ids."""
-        if len(self._parts) > KEPT_PARTS:
-            self._parts, self._old_parts = {}, self._parts
-        known, old = self._parts, self._old_parts
-        known.update((part, old[part]) for part in (*parts, *others) if part in old and part not in known)
-        self._encode_parts(list(dict.fromkeys(part for part in parts if part not in known)))
-        others = [word for word in others if word not in known]
-        for at in range(0, len(others), 1000):
-            some = others[at : at + 1000]
-            for word, found in zip(some, self._library.encode_batch_fast(some, add_special_tokens=False)):
-                known[word] = np.array(found.ids, "<u4").tobytes()
-
-    def _encode_parts(self, parts: list[str]) -> None:
-        """Many pre-tokens in one call: the last id of each closes a word, which tells them apart. If their number is
-        not right, the library cuts one of them differently, and each is encoded by itself."""
-        for at in range(0, len(parts), 1000):
-            some = parts[at : at + 1000]
-            ids = np.array(self._library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+    def _numbers(self, parts: list[str], others: list[str]) -> np.ndarray:
+        """Numbers of single pre-tokens and of words as they stand, in the known parts. Unknown ones are learned."""
+        asked = parts + others
+        if len(self._known) > KEPT_PARTS:
+            self._forget(asked)
+        numbers = np.array(list(map(self._known.get, asked, repeat(-1))), np.int64)
+        new = np.flatnonzero(numbers < 0).tolist()
+        single, whole = [k for k in new if k < len(parts)], [k for k in new if k >= len(parts)]
+        letters = [k for k in single if asked[k].isascii() and asked[k].isalpha()]
+        single = sorted(set(single).difference(letters))
+        new = letters + single + whole
+        learned = [
+            *self._encode_parts(self._letters, [asked[k] for k in letters]),
+            *self._encode_parts(self._library, [asked[k] for k in single]),
+            *self._encode_each([asked[k] for k in whole]),
+        ]
+        if learned:
+            numbers[new] = len(self._count) + np.arange(len(new))
+            self._known.update(zip((asked[k] for k in new), numbers[new].tolist()))
+            self._ids = np.concatenate([self._ids, *(ids for ids, _ in learned)])
+            self._count = np.concatenate([self._count, *(count for _, count in learned)])
+            self._first = np.cumsum(self._count) - self._count
+        return numbers
+
+    def _forget(self, asked: list[str]) -> None:
+        """Only those of the known parts that are asked for now stay known."""
+        kept = [part for part in dict.fromkeys(["", *asked]) if part in self._known]
+        numbers = np.array([self._known[part] for part in kept])
+        self._count = self._count[numbers]
+        self._ids, ends = _gathered(self._ids, self._first[numbers], self._count)
+        self._first = ends - self._count
+        self._known = dict(zip(kept, range(len(kept))))
+
+    def _encode_parts(self, tokenizer: Tokenizer, parts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids and their numbers, of many pre-tokens in one call: the last id of each closes a word, which tells them apart.
+        If their number is not right, the library cuts one of them differently, and each is encoded by itself."""
+        for at in range(0, len(parts), PARTS_TOGETHER):
+            some = parts[at : at + PARTS_TOGETHER]
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self._closing[ids]) + 1
             if len(ends) == len(some):
-                data, borders = ids.tobytes(), [0, *(ends * 4).tolist()]
-                self._parts.update((part, data[a:b]) for part, a, b in zip(some, borders, borders[1:]))
+                yield ids, np.diff(ends, prepend=0)
             else:
-                for part, found in zip(some, self._library.encode_batch_fast(some, add_special_tokens=False)):
-                    self._parts[part] = np.array(found.ids, "<u4").tobytes()
+                yield from self._encode_each(some)
+
+    def _encode_each(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for at in range(0, len(words), PARTS_TOGETHER):
+            found = [x.ids for x in self._library.encode_batch_fast(words[at : at + PARTS_TOGETHER], add_special_tokens=False)]
+            yield np.array([number for ids in found for number in ids], "<u4"), np.array([len(ids) for ids in found], np.int64)
 
 
 def _gathered(ids: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -91,3 +91,31 @@ def test_different_words_are_looked_up_once(monkeypatch):
     monkeypatch.setattr(token_files, "KEPT_PARTS", 50)
     monkeypatch.setattr(token_files, "TEXTS_TOGETHER", 500)
     assert [ids.tolist() for ids in own.encode_many(texts)] == expected
+
+
+def test_letters_and_any_ascii_punctuation_are_looked_up_apart():
+    own, library = WordEncoder(WORD_TOKENIZER), Tokenizer.from_file(WORD_TOKENIZER)
+    ends = ["***", "'", "'.", "_", "%%%", "@", "<|", "|>", "\\", "`]", "^-", '"}', "#&$~"]
+    letters = [f"{a}{b}{c}" for a in "asÉд" for b in "TLß日" for c in ["", "ll", "d", "endoftext"]]
+    texts = [" ".join(word + end for end in ends) for word in letters] + ["a's. <|endoftext|>*** x<|endoftext|>' ***b* I'LL'"]
+    expected = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    asked = []
+
+    class Counting:
+        def encode_batch_fast(self, some, **more):
+            asked.extend(word for text in some for word in text.split(" "))
+            return library.encode_batch_fast(some, **more)
+
+    own._library = Counting()
+    assert [ids.tolist() for ids in own.encode_many(texts)] == expected
+    assert len(asked) <= len(letters) + len(ends) + len(texts[-1].split())
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 2**64 - 1), st.integers(0, 70000), st.integers(0, 1)), max_size=200))
+def test_words_hold_as_many_values_as_fit(values):
+    words, at = simple8b.pack(np.array(values, np.uint64)), 0
+    for held in simple8b.values_per_word(words).tolist():
+        fits = [n for n, bits in simple8b.LAYOUTS.values() if all(int(float(v)).bit_length() <= bits for v in values[at : at + n])]
+        assert held in (0, max(fits, default=1))
+        at += held

@@ -37,7 +37,7 @@ if TYPE_CHECKING:
 BLOCK_IDS = 1 << 16
 FRAME_WORDS = 1024
 WORD_END = "</w>"  # the mark on a token that closes a word
-KEPT_PARTS = 800_000  # known to a worker; beyond, it forgets those not in the texts at hand
+KEPT_PARTS = 500_000  # known to a worker; beyond, it forgets those that did not come again
 PARTS_TOGETHER = 300  # in a call of the library
 TEXTS_TOGETHER = 1 << 23  # bytes of texts whose different words are looked up together
 _BEFORE_MARKS = r"^[^!-/:-@\[-`{-~]+"  # what is not ASCII punctuation
@@ -67,6 +67,7 @@ class WordEncoder:
         # The number of each known part, and where its ids begin and how many it has.
         self._known = {"": 0}
         self._ids, self._first, self._count = np.zeros(0, "<u4"), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self._again = np.zeros(1, bool)  # whether it was asked for since it was learned or others were forgotten
 
     def encode_many(self, texts: pa.Array | list[str]) -> Iterator[np.ndarray]:
         for some in groups(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, TEXTS_TOGETHER):
@@ -109,6 +110,7 @@ class WordEncoder:
         if len(self._known) > KEPT_PARTS:
             self._forget(asked)
         numbers = np.array(list(map(self._known.get, asked, repeat(-1))), np.int64)
+        self._again[numbers[numbers >= 0]] = True
         new = np.flatnonzero(numbers < 0).tolist()
         single, whole = [k for k in new if k < len(parts)], [k for k in new if k >= len(parts)]
         letters = [k for k in single if asked[k].isascii() and asked[k].isalpha()]
@@ -125,15 +127,19 @@ class WordEncoder:
             self._ids = np.concatenate([self._ids, *(ids for ids, _ in learned)])
             self._count = np.concatenate([self._count, *(count for _, count in learned)])
             self._first = np.cumsum(self._count) - self._count
+            self._again = np.concatenate([self._again, np.zeros(len(new), bool)])
         return numbers
 
     def _forget(self, asked: list[str]) -> None:
-        """Only those of the known parts that are asked for now stay known."""
-        kept = [part for part in dict.fromkeys(["", *asked]) if part in self._known]
-        numbers = np.array([self._known[part] for part in kept])
+        """Only those of the known parts that came again or are asked for now stay known."""
+        known = self._known
+        self._again[[0, *(known[part] for part in asked if part in known)]] = True
+        again = self._again.tobytes()
+        kept = [part for part, number in known.items() if again[number]]
+        numbers = np.array([known[part] for part in kept])
         self._count = self._count[numbers]
         self._ids, ends = _gathered(self._ids, self._first[numbers], self._count)
-        self._first = ends - self._count
+        self._first, self._again = ends - self._count, np.zeros(len(kept), bool)
         self._known = dict(zip(kept, range(len(kept))))
 
     def _encode_parts(self, tokenizer: Tokenizer, parts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -19,7 +19,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.numbering import number_rows
 from ..session import shared_folder
@@ -42,30 +42,38 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(one.alias("k1"), two.alias("k2"), whole.alias("doc"))
 
 
-def _name(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of groups with two or more members, with the group's name. The join key is a struct, unlike the
+def _name(rows: DataFrame, keys: list[str], kept: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of groups with two or more members, with the group's name and the columns ``kept``. The join key is a struct, unlike the
     aggregation's, so that both sides are shuffled for the join and a large group can be split."""
     members = rows.groupBy(*keys).agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     named = members.select(F.struct(*keys).alias("key"), F.col("first").alias("name"))
-    return rows.select("pos", "upto", F.struct(*keys).alias("key")).join(named, "key").drop("key")
+    return rows.select("pos", "upto", *kept, F.struct(*keys).alias("key")).join(named, "key").drop("key")
 
 
-def _repeats(named: DataFrame, length: int, min_words: int) -> DataFrame:
+def _repeats(named: DataFrame, length: int | Column, min_words: int) -> DataFrame:
     """Where repeats of ``length`` lines with enough words start that have an earlier copy."""
     return named.filter((F.col("name") != F.col("pos")) & (F.element_at("upto", -1) >= min_words)).select("pos", F.lit(length).alias("n"))
 
 
-def _between(active: DataFrame, length: int, n: int, min_words: int) -> DataFrame:
-    """Repeats of n lines, n between ``length`` and twice as many, from the groups of ``length``. If the first and the
-    last ``length`` lines both have enough words, they are repeats by themselves and cover all n, so such runs are left
-    out; equal runs have equal words, so all copies of a run are either left out or not."""
-    ahead = Window.partitionBy(F.shiftright("pos", _LINE_BITS)).orderBy("pos").rangeBetween(n - length, n - length)
-    later = F.first("upto").over(ahead)
-    pairs = active.select("pos", "name", F.first("name").over(ahead).alias("next"), "upto", later.alias("later")).filter("next IS NOT NULL")
-    first, last = F.element_at("upto", -1), F.element_at("later", -1)
-    words = first + last - F.element_at("later", 2 * length - n)
-    some = pairs.filter((words >= min_words) & ((first < min_words) | (last < min_words)))
-    return _repeats(_name(some.withColumn("upto", F.array(words)), ["name", "next"]), n, min_words)
+def _between(active: DataFrame, length: int, min_words: int) -> DataFrame:
+    """Repeats of n lines, for each n between ``length`` and twice as many, from the groups of ``length``. If the first and
+    the last ``length`` lines both have enough words, they are repeats by themselves and cover all n, so such runs are left
+    out; equal runs have equal words, so all copies of a run are either left out or not. All n are found in one pass: a
+    branch of the plan for each would be planned, compiled and run by the driver side by side."""
+    whole = Window.partitionBy(F.shiftright("pos", _LINE_BITS)).orderBy("pos")
+    lengths = range(length + 1, 2 * length)
+    ahead = [(n, whole.rangeBetween(n - length, n - length)) for n in lengths]
+    seen = [column for n, at in ahead for column in (F.first("name").over(at).alias(f"next{n}"), F.first("upto").over(at).alias(f"later{n}"))]
+    first = F.element_at("upto", -1)
+
+    def run(n: int) -> Column:
+        last = F.element_at(f"later{n}", -1)
+        words = first + last - F.element_at(f"later{n}", 2 * length - n)
+        some = F.col(f"next{n}").isNotNull() & (words >= min_words) & ((first < min_words) | (last < min_words))
+        return F.when(some, F.struct(F.lit(n).alias("n"), F.col(f"next{n}").alias("next"), F.array(words).alias("upto")))
+
+    runs = active.select("pos", "name", "upto", *seen).select("pos", "name", F.inline(F.array_compact(F.array(*map(run, lengths)))))
+    return _repeats(_name(runs, ["n", "name", "next"], ("n",)), F.col("n"), min_words)
 
 
 def line_flags(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -92,7 +100,8 @@ def line_flags(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         repeats.append(_repeats(active, length, min_words))
         if length >= min_words:
             break
-        repeats += [_between(active, length, n, min_words) for n in range(length + 1, 2 * length)]
+        if length > 1:
+            repeats.append(written(_between(active, length, min_words), "line-repeats"))
         ahead = Window.partitionBy(F.shiftright("pos", _LINE_BITS)).orderBy("pos").rangeBetween(length, length)
         pairs = active.select("pos", "name", F.first("name").over(ahead).alias("next"), "upto", F.first("upto").over(ahead).alias("later"))
         pairs = pairs.filter("next IS NOT NULL")

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from stayledger.llm import components as operator
 from stayledger.llm.components import components
 
 
@@ -38,3 +39,16 @@ def test_components(spark, name):
     found = components(edges).collect()
     assert {tuple(row) for row in found} == _expected(CASES[name])
     assert len(found) == len({row.node for row in found})
+
+
+def test_a_round_reads_a_table_twice_at_most_in_a_query(spark, monkeypatch):
+    """The driver plans and compiles every reading; one query for a whole round had sixteen."""
+    scans = []
+
+    def watched(df, name, write=operator.written):
+        scans.append(df._jdf.queryExecution().sparkPlan().toString().count("FileScan"))
+        return write(df, name)
+
+    monkeypatch.setattr(operator, "written", watched)
+    components(spark.createDataFrame(CASES["random"], "u long, v long"))
+    assert len(scans) > 3 and max(scans) <= 2

@@ -3,6 +3,7 @@ import random
 import duckdb
 import pytest
 
+from stayledger.llm import line_runs as operator
 from stayledger.llm.line_runs import line_report, without_repeats
 from stayledger.llm.oracle_book import OP5
 
@@ -100,3 +101,18 @@ def test_runs_of_any_length(spark):
     for min_words in (8, 5, 1):
         assert {r.doc_id: r.n_removed for r in line_report(docs, min_words).collect()} == all_lengths(rows, min_words)
     assert {r.doc_id: r.n_removed for r in line_report(docs).collect()}[1] == 3
+
+
+def test_no_query_holds_all_lengths(spark, monkeypatch):
+    """The driver plans, compiles and runs all branches of a query side by side; those of all lengths in one took it the
+    most memory of the pipeline. A query names the runs of one length at most, or unites what is named."""
+    sizes = []
+
+    def watched(df, name, write=operator.written):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        sizes.append((plan.count("Window") + plan.count("Join"), name))
+        return write(df, name)
+
+    monkeypatch.setattr(operator, "written", watched)
+    without_repeats(spark.createDataFrame(corpus()[:20], "doc_id long, text string"))
+    assert len(sizes) > 5 and max(sizes)[0] <= 6

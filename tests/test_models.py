@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stayledger.operators import classifiers, evaluation, preparation, tree_tables
 from stayledger.operators.preparation import row_hash
-from stayledger.plans import model_flows
+from stayledger.plans import model_flows, query_book
 
 
 @pytest.fixture(scope="module")
@@ -269,3 +269,9 @@ def test_the_test_part_is_scored_when_asked_for(house):
     trained = model_flows.train_cancellation(house, trees=2, depth=2, most_rows=300)
     assert "scored" not in vars(trained)
     assert trained.scored.count() == trained.test.count() and trained.scored.columns[0] == "booking_id"
+
+
+def test_the_registered_boosting_learns_from_all_rows(house, monkeypatch):
+    monkeypatch.setattr(query_book, "_models", {})
+    monkeypatch.setattr(model_flows, "train_churn", lambda house, **options: options)
+    assert query_book._trained_boosting(house) == {}

@@ -271,7 +271,8 @@ def test_the_test_part_is_scored_when_asked_for(house):
     assert trained.scored.count() == trained.test.count() and trained.scored.columns[0] == "booking_id"
 
 
-def test_the_registered_boosting_learns_from_all_rows(house, monkeypatch):
+@pytest.mark.parametrize("fit, trained", [("train_churn", "_trained_boosting"), ("train_cancellation", "_trained_forest")])
+def test_the_registered_fits_learn_from_all_rows(house, monkeypatch, fit, trained):
     monkeypatch.setattr(query_book, "_models", {})
-    monkeypatch.setattr(model_flows, "train_churn", lambda house, **options: options)
-    assert query_book._trained_boosting(house) == {}
+    monkeypatch.setattr(model_flows, fit, lambda house, **options: options)
+    assert getattr(query_book, trained)(house) == {}

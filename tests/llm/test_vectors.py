@@ -1,5 +1,6 @@
 import math
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from stayledger.llm import cells
 from stayledger.llm import posting_lists
 from stayledger.llm.cells import near_vectors
 from stayledger.llm.posting_lists import nearest
+from stayledger.llm.storage import written
 
 
 def rows_of(n=700, d=8, seed=1):
@@ -57,6 +59,46 @@ def test_near_vectors(spark, monkeypatch, block):
     assert sorted(map(tuple, near_vectors(table.repartition(5)).collect()), key=repr) == brute_force(rows)
 
 
+def test_linked_pairs_meet_once():
+    """Near the borders of eleven cells, with blocks of 50: every pair of links shares one task, where it is compared."""
+    pick = np.random.default_rng(4)
+    rows = pick.normal(size=(900, 6))
+    centres = cells.spherical_means(rows, 11)
+    home, visits = cells.homes_and_visits(rows, centres, cells._apart(centres), 0.9)
+    h, v = cells._blocks(np.bincount(home, minlength=11), visits.sum(axis=0), 50)
+    node = pick.integers(-(2**62), 2**62, 900)
+    met = np.zeros((900, 900), int)
+    groups = {}
+    for row, *task, side in cells._tasks(node, home, visits, h, v).T.tolist():
+        groups.setdefault(tuple(task), ([], []))[side].append(row)
+    for (cell, kind, i, j), (left, right) in groups.items():
+        if kind == 0 and i == j:
+            met[np.ix_(left, left)] += 1
+        else:
+            met[np.ix_(left, right)] += 1
+            met[np.ix_(right, left)] += 1
+    unit = cells._unit(rows)
+    linked = np.triu(unit @ unit.T >= 0.9, 1)
+    assert linked.sum() > 500 and (home[:, None] != home)[linked].any() and (met[linked] == 1).all()
+
+
+def _shuffle_bytes(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return sum(f.stat().st_size for folder in folders for f in Path(folder).rglob("shuffle_*.data"))
+
+
+def test_vectors_without_clusters_stay_off_the_disk(spark, monkeypatch):
+    """A few copies of each vector lie in shuffle files at a time, and none after."""
+    pick = np.random.default_rng(6)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(pick.normal(size=(3000, 32)))], "vec_id long, embedding array<float>").repartition(4)
+    for name, size in (("CELL", 200), ("BLOCK", 200)):
+        monkeypatch.setattr(cells, name, size)
+    sizes = [_shuffle_bytes(spark)]
+    monkeypatch.setattr(cells, "written", lambda df, name: (written(df, name), sizes.append(_shuffle_bytes(spark)))[0])
+    assert near_vectors(table).filter("n_links = 0 AND kept").count() == 3000
+    assert max(sizes) - sizes[0] < 4 * 3000 * 32 * 4
+
+
 def test_nothing_to_compare(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert near_vectors(table).collect() == []

@@ -226,6 +226,20 @@ def test_node_table_in_sql(spark, house, tmp_path, kind, one_hot):
     assert given == pytest.approx([found.get(i, 0.0) for i in range(len(given))], abs=1e-12)
 
 
+def test_a_large_forest_is_sent_in_parts(spark, house, monkeypatch):
+    data = model_flows.cancellation_data(house).drop("part").filter("booking_id % 5 = 0")
+    model = classifiers.fit_cancellation(data, trees=5, depth=5)
+    nodes = tree_tables.node_table(spark, model)
+    monkeypatch.setattr(tree_tables, "NODES_SENT", 2 * nodes.count() // 5)
+    sent = []
+    arrays = tree_tables._tree_arrays
+    monkeypatch.setattr(tree_tables, "_tree_arrays", lambda part: sent.append(part.count()) or arrays(part))
+    found = tree_tables.score_by_nodes(classifiers.score(model, data, "p"), model, nodes, keep=("p",))
+    assert found.columns == ["booking_id", "p", "by_nodes"] and found.count() == data.count()
+    assert found.filter(F.abs(F.col("p") - F.col("by_nodes")) > 1e-12).count() == 0
+    assert len(sent) > 1 and sum(sent) == nodes.count() and max(sent) < nodes.count()
+
+
 def test_broken_trees_are_found(spark, house):
     data = model_flows.cancellation_data(house).drop("part")
     nodes = tree_tables.node_table(spark, classifiers.fit_cancellation(data, trees=3, depth=3))
